@@ -131,8 +131,11 @@ def lineitem_flows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def event_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return as_records(events(spark, sf_dir))
+
+
+def as_records(e: DataFrame) -> DataFrame:
     """Events as name -> text records: some lack a feature, some hold no number."""
-    e = events(spark, sf_dir)
     k = F.regexp_extract("props", "[0-9]+", 0)
     kind = F.col("event_type")
     amount = F.when(kind == "view", kind).when(kind == "signup", F.lit(None)).otherwise(

@@ -68,11 +68,16 @@ def new_run_id(spark: SparkSession) -> str:
 def save_run(spark: SparkSession, root: str, run_id: str, **parts) -> str:
     """Add the parts of a run (config, metrics, features, ...) to the experiment table."""
     rows = [(run_id, kind, json.dumps(v, default=str)) for kind, v in parts.items()]
-    spark.createDataFrame(rows, RUN_SCHEMA).write.mode("append").partitionBy(
-        "experiment_id").parquet(root)
+    append_runs(spark.createDataFrame(rows, RUN_SCHEMA), root)
     return run_id
 
 
+def append_runs(parts: DataFrame, root: str) -> str:
+    """Add rows (experiment_id, kind, payload) to the experiment table."""
+    parts.repartition("experiment_id").write.mode("append").partitionBy("experiment_id").parquet(root)
+    return root
+
+
 def list_runs(spark: SparkSession, root: str) -> DataFrame:
     """Runs by id with their config and metrics as JSON text; a missing part is NULL."""
     if path_exists(spark, root):

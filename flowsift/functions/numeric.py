@@ -10,8 +10,7 @@ from flowsift.functions.text import strip
 
 # Plain decimal numbers and the infinity words. The cast alone would also take
 # Java forms such as 1.5d.
-NUMBER = r"^[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]+)?$"
-INFINITY = r"^[+-]?(?i:inf|infinity)$"
+NUMBER = r"^[+-]?(?:(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?|(?i:inf|infinity))$"
 NOT_A_NUMBER = r"^[+-]?(?i:nan)$"
 INF = float("inf")
 EPSILON = 1e-10  # fixed value: keeps percentage changes finite
@@ -24,13 +23,13 @@ def to_number(c: Column, dtype: DataType | None = None) -> Column:
     if dtype is not None and not isinstance(dtype, StringType):
         return F.lit(None).cast("double")
     text = strip(c)
-    return F.when(text.rlike(NUMBER) | text.rlike(INFINITY), text.try_cast("double"))
+    return F.when(text.rlike(NUMBER), text.try_cast("double"))
 
 
 def is_number_text(c: Column) -> Column:
     """True when a text reads as a float, NaN and infinity words included."""
     text = strip(c)
-    return text.rlike(NUMBER) | text.rlike(INFINITY) | text.rlike(NOT_A_NUMBER)
+    return text.rlike(NUMBER) | text.rlike(NOT_A_NUMBER)
 
 
 def nan_to_null(c: Column) -> Column:

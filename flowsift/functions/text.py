@@ -9,13 +9,12 @@ from pyspark.sql import functions as F
 
 from flowsift.spec import ATTACK, BENIGN, DEFAULT_SPEC, OTHER, FlowSpec
 
-# Characters that count as white space at either end of a text. Spark's trim
-# only takes spaces away. Works in Java and RE2 regular expressions alike.
-SPACE_CLASS = (
-    r"[\s\x{0b}\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
-    r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+# Characters that count as white space at either end of a text. Spark's plain trim
+# only takes spaces away.
+SPACES = "".join(
+    [chr(c) for c in (*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680)]
+    + [chr(c) for c in (*range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)]
 )
-ENDS = f"^{SPACE_CLASS}+|{SPACE_CLASS}+$"
 
 # Texts that stand for a missing value in CSV files (fixed values, pandas docs).
 NA_TOKENS = [
@@ -27,7 +26,7 @@ NA_TOKENS = [
 
 def strip(c: Column) -> Column:
     """Remove white space at both ends, all Unicode spaces included."""
-    return F.regexp_replace(c, ENDS, "")
+    return F.btrim(c, F.lit(SPACES))
 
 
 def na_to_null(c: Column) -> Column:
@@ -37,7 +36,7 @@ def na_to_null(c: Column) -> Column:
 
 def binary_label(c: Column) -> Column:
     """BENIGN for missing, blank and benign-like labels, ATTACK for all others."""
-    benign = c.isNull() | c.rlike(f"^{SPACE_CLASS}*$") | F.lower(c).contains("benign")
+    benign = c.isNull() | (strip(c) == "") | F.lower(c).contains("benign")
     return F.when(benign, BENIGN).otherwise(ATTACK)
 
 

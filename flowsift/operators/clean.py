@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 from functools import reduce
-from operator import or_
+from operator import add, and_
 
 from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from flowsift.functions.numeric import display, finite, is_infinite, ratio, to_number
+from flowsift.functions.numeric import INF, display, is_infinite, ratio, to_number
 from flowsift.functions.text import binary_label, category_label, na_to_null
 from flowsift.spec import BENIGN, DEFAULT_SPEC, FlowSpec
 
@@ -73,10 +73,8 @@ def dedupe_first(
 
 
 def drop_unusable(df: DataFrame, features: list[str]) -> DataFrame:
-    """Infinities become NULL, rows with a NULL feature go."""
-    return df.withColumns({f: finite(F.col(f"`{f}`")) for f in features}).na.drop(
-        "any", subset=[f"`{f}`" for f in features]
-    )
+    """Rows with a missing or infinite feature go."""
+    return df.where(_usable(features))
 
 
 def clean_flows(
@@ -93,22 +91,26 @@ def clean_flows(
     return dedupe_first(coerced, keys, order, [spec.original_label_col, *order]).drop(BAD_TEXT)
 
 
-def _unusable(features: list[str]) -> Column:
-    return reduce(or_, [finite(F.col(f"`{f}`")).isNull() for f in features])
+def _usable(features: list[str]) -> Column:
+    # One plain comparison per feature. NULL and NaN do not pass it either. The
+    # optimizer derives constraints from filters, and one expression over all
+    # features at once has too many equivalent forms.
+    return reduce(and_, [F.abs(F.col(f"`{f}`")) < F.lit(INF) for f in features])
 
 
 def _report_columns(features: list[str]) -> dict[str, Column]:
     copies = F.col(COPIES)
     zero = F.lit(0).cast("bigint")
-    bad = _unusable(features)
-    inf = reduce(lambda a, b: a + b, [is_infinite(F.col(f"`{f}`")).cast("bigint") for f in features])
+    usable = F.count_if(_usable(features))
+    raw = F.coalesce(F.sum(copies), zero)
+    inf = reduce(add, [is_infinite(F.col(f"`{f}`")).cast("bigint") for f in features])
     return {
-        "raw_rows": F.coalesce(F.sum(copies), zero),
-        "cleaned_rows": F.count_if(~bad),
-        "removed_rows": F.coalesce(F.sum(copies), zero) - F.count_if(~bad),
+        "raw_rows": raw,
+        "cleaned_rows": usable,
+        "removed_rows": raw - usable,
         "duplicates_removed": F.coalesce(F.sum(copies - 1), zero),
         "inf_replaced": F.coalesce(F.sum(inf), zero),
-        "nan_rows_dropped": F.count_if(bad),
+        "nan_rows_dropped": F.count(F.lit(1)) - usable,
     }
 
 
@@ -128,7 +130,7 @@ def write_cleaned(deduped: DataFrame, features: list[str], path: str) -> dict:
 def class_distribution(df: DataFrame, label: str, digits: int | None = None) -> DataFrame:
     """Rows and percentage per class. Missing labels are not counted."""
     c = F.col(f"`{label}`")
-    counts = df.where(c.isNotNull()).groupBy(c.alias("class")).agg(F.count(F.lit(1)).alias("n"))
+    counts = df.groupBy(c.alias("class")).agg(F.count(c).alias("n")).where(F.col("n") > 0)
     total = F.sum("n").over(Window.partitionBy(F.lit(0)))  # one row per class
     return counts.withColumn("pct", display(F.col("n") / total * 100.0, digits))
 

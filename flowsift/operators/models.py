@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import math
 import time
 from collections.abc import Callable
 from dataclasses import dataclass, field
 from itertools import combinations
+from multiprocessing.pool import ThreadPool
 
 import numpy as np
 from pyspark.errors import AnalysisException
@@ -22,6 +24,7 @@ from pyspark.ml.linalg import Vectors
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.util import inheritable_thread_target
 
 from flowsift.functions.numeric import display
 from flowsift.operators.features import Scaling, cell_variance, fit_scaling, with_class_weights
@@ -31,6 +34,7 @@ from flowsift.spec import CV_FOLDS, RBF_GRID, SEED
 
 LABEL, WEIGHT = "y", "weight"
 MAX_ITER, TOLERANCE = 50, 1e-4
+CELLS_PER_TASK = 4_000_000
 
 
 @dataclass
@@ -117,12 +121,18 @@ def _fit(
     try:
         n = held.count()
         start = time.perf_counter()
-        model = build(held, n).fit(prepare(held, features))
+        data = few_tasks(prepare(held, features), n * len(features))
+        model = build(held, n).fit(data)
         return model, time.perf_counter() - start
     finally:
         held.unpersist()
 
 
+def few_tasks(df: DataFrame, cells: int) -> DataFrame:
+    """No more partitions than the data is worth: every solver step is a job over all of them."""
+    return df.coalesce(max(1, math.ceil(cells / CELLS_PER_TASK)))
+
+
 def train_linear_svm(train: DataFrame, features: list[str], C: float = 1.0, **settings) -> Fitted:
     model, seconds = _fit(
         train, features, lambda held, n: build_svm(features, n, "linear", C, **settings))
@@ -309,26 +319,35 @@ class PairwiseSVM:
 
 
 def train_pairwise_svm(
-    train: DataFrame, features: list[str], C: float = 1.0, max_iter: int = MAX_ITER
+    train: DataFrame, features: list[str], C: float = 1.0, max_iter: int = MAX_ITER,
+    parallelism: int = 4,
 ) -> PairwiseSVM:
+    """All pairs on the same held vectors, a few fits at a time."""
     start = time.perf_counter()
     scaling = fit_scaling(train, features)
     weighted = with_class_weights(scaling.transform(train), LABEL, WEIGHT)
     data = VectorAssembler(inputCols=features, outputCol="scaled").transform(weighted).select(
         "scaled", F.col(LABEL).cast("int").alias("_class"), WEIGHT).persist()
     try:
-        sums = {r["_class"]: r["w"] for r in
-                data.groupBy("_class").agg(F.sum(WEIGHT).alias("w")).collect()}
-        classes = sorted(sums)
-        pairs = {}
-        for a, b in combinations(classes, 2):
-            two = data.where(F.col("_class").isin(a, b)).withColumn(
-                LABEL, (F.col("_class") == a).cast("double"))
-            svc = _svc("scaled", C, sums[a] + sums[b], max_iter, TOLERANCE).fit(two)
-            pairs[a, b] = ([float(w) for w in svc.coefficients], float(svc.intercept))
+        sizes = data.groupBy("_class").agg(F.count(F.lit(1)).alias("n"), F.sum(WEIGHT).alias("w"))
+        sums = {r["_class"]: (r["n"], r["w"]) for r in sizes.collect()}
+
+        def fit(pair: tuple[int, int]) -> tuple[list[float], float]:
+            (na, wa), (nb, wb) = sums[pair[0]], sums[pair[1]]
+            two = data.where(F.col("_class").isin(*pair)).withColumn(
+                LABEL, (F.col("_class") == pair[0]).cast("double"))
+            svc = _svc("scaled", C, wa + wb, max_iter, TOLERANCE).fit(
+                few_tasks(two, (na + nb) * len(features)))
+            return [float(w) for w in svc.coefficients], float(svc.intercept)
+
+        pairs = list(combinations(sorted(sums), 2))
+        task = inheritable_thread_target(train.sparkSession)(fit)
+        with ThreadPool(max(1, min(parallelism, len(pairs)))) as pool:
+            fits = pool.map(task, pairs)
     finally:
         data.unpersist()
-    return PairwiseSVM(features, scaling, classes, pairs, time.perf_counter() - start)
+    return PairwiseSVM(
+        features, scaling, sorted(sums), dict(zip(pairs, fits)), time.perf_counter() - start)
 
 
 # --- principal components -------------------------------------------------------

@@ -18,7 +18,8 @@ def pin_small(df: DataFrame, max_rows: int = MAX_ROWS) -> tuple[DataFrame, list[
     got = df.limit(max_rows + 1).toArrow()
     if got.num_rows > max_rows:
         return df, None
-    local = df.sparkSession.createDataFrame(got, df.schema)
+    # One partition: further steps on so few rows need no shuffle.
+    local = df.sparkSession.createDataFrame(got, df.schema).coalesce(1)
     return F.broadcast(local), got.to_pylist()
 
 

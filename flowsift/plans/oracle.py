@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from flowsift.functions.text import SPACE_CLASS
 from flowsift.operators.stats import shifted_features
 from flowsift.plans import tables as T
 from flowsift.plans.catalog import ANY, PER_CLASS, SAMPLE, SPLIT_DAY, SPLIT_YEAR
 
+SPACE_CLASS = (
+    r"[\s\x{0b}\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
+    r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+)
 EV = T.EV_FEATURES
 EV_LIST = ", ".join(EV)
 EVENT_FLOWS = """

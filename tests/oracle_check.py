@@ -47,6 +47,18 @@ def difference(spark_rows: list[tuple], sql_rows: list[tuple]) -> str | None:
     return f"{len(odd)} rows differ, first {odd[0]}" if odd else None
 
 
+KINDS = {
+    "VARCHAR": "string", "BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double",
+    "BOOLEAN": "boolean", "DATE": "date",
+}
+
+
+def type_difference(spark_types: list[tuple[str, str]], sql_types: list[tuple[str, str]]):
+    """Columns whose types are not the same in both engines."""
+    sql = {n: KINDS.get(str(t), str(t)) for n, t in sql_types}
+    return [f"{n} {t}/{sql[n]}" for n, t in spark_types if sql[n] != t]
+
+
 def check(spark, con, name: str, query, sql: str | None, sf_dir: str) -> tuple[str, str | None, float]:
     start = time.time()
     df = query(spark, sf_dir)
@@ -59,7 +71,9 @@ def check(spark, con, name: str, query, sql: str | None, sf_dir: str) -> tuple[s
     want = cur.fetchall()
     if sorted(columns) != sorted(df.columns):
         return "", f"columns {sorted(df.columns)} against {sorted(columns)}", seconds
-    return f"{len(got)} rows", difference(rows_of(df.columns, got), rows_of(columns, want)), seconds
+    odd = type_difference(df.dtypes, [(d[0], d[1]) for d in cur.description])
+    note = f", types {odd}" if odd else ""
+    return f"{len(got)} rows{note}", difference(rows_of(df.columns, got), rows_of(columns, want)), seconds
 
 
 def main() -> int:

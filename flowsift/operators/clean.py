@@ -5,7 +5,7 @@ from __future__ import annotations
 from functools import reduce
 from operator import add, and_
 
-from pyspark.sql import Column, DataFrame, Observation, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
@@ -120,11 +120,13 @@ def clean_report(deduped: DataFrame, features: list[str]) -> DataFrame:
 
 
 def write_cleaned(deduped: DataFrame, features: list[str], path: str) -> dict:
-    """Write the cleaned table; the report counts are taken while writing."""
-    seen = Observation()
-    observed = deduped.observe(seen, *[c.alias(k) for k, c in _report_columns(features).items()])
-    drop_unusable(observed, features).drop(COPIES).write.mode("overwrite").parquet(path)
-    return dict(seen.get)
+    """Write the cleaned table and return the report counts.
+
+    Land `deduped` first, both steps read it. The counts are an aggregate and no
+    Observation: once a session has one, Spark 4.1 cannot ship linear SVM models.
+    """
+    drop_unusable(deduped, features).drop(COPIES).write.mode("overwrite").parquet(path)
+    return clean_report(deduped, features).first().asDict()
 
 
 def class_distribution(df: DataFrame, label: str, digits: int | None = None) -> DataFrame:

@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 import math
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from flowsift.functions.numeric import display, percent_of
 from flowsift.functions.order import gaussian, order_hash
-from flowsift.operators.small import unpivot_row
+from flowsift.operators.small import pin_small, unpivot_row
 from flowsift.spec import SEED
 
 QUARTILES = (0.25, 0.5, 0.75)
@@ -39,7 +41,7 @@ def feature_statistics(
     the moments; quartiles exact, or from the sketch with exact=False.
     """
     names = ["n", "mean", "std", "min", "max", "skew", "kurt", "missing"]
-    row = df.agg(*_moments(features))
+    row, known = pin_small(df.agg(*_moments(features)))
     wide = {k: [F.col(f"{k}{i}") for i in range(len(features))] for k in names}
     base = unpivot_row(row, wide, features)
     n = F.col("n").cast("double")
@@ -49,7 +51,9 @@ def feature_statistics(
     kurt = F.when(n > 3, F.when(constant, 0.0).otherwise(
         (n - 1.0) / ((n - 2.0) * (n - 3.0)) * ((n + 1.0) * F.col("kurt") + 6.0)))
     if exact:
-        quantiles = exact_quantiles(df, features, QUARTILES)
+        ranges = [tuple(known[0][f"{k}{i}"] for k in ("n", "min", "max"))
+                  for i in range(len(features))]
+        quantiles = exact_quantiles(df, features, QUARTILES, ranges)
     else:
         approx = df.agg(*[
             F.percentile_approx(f"`{f}`", list(QUARTILES), ACCURACY).alias(f"q{i}")
@@ -67,94 +71,102 @@ def feature_statistics(
     )
 
 
-def exact_quantiles(df: DataFrame, features: list[str], qs=QUARTILES) -> DataFrame:
+def exact_quantiles(
+    df: DataFrame, features: list[str], qs=QUARTILES, ranges: list[tuple] | None = None
+) -> DataFrame:
     """Linear-interpolated quantiles, one row per feature with columns q_0, q_1, ...
 
     The exact percentile aggregate keeps all distinct values of a feature in one
     task. Here a quantile sketch gives an interval that holds the wanted ranks,
     rows below it are counted and only the values inside are grouped and ordered.
-    The interval is narrowed again while it holds too many values.
+    The interval is narrowed again while it holds too many values. `ranges` are
+    (count, min, max) per feature where they are known already. Features hold no NaN.
     """
     spark = df.sparkSession
-    k = len(features)
     col = [F.col(f"`{f}`") for f in features]
-    sizes = df.agg(*[F.count(c).alias(f"n{i}") for i, c in enumerate(col)],
-                   *[F.min(c).alias(f"lo{i}") for i, c in enumerate(col)],
-                   *[F.max(c).alias(f"hi{i}") for i, c in enumerate(col)],
-                   *[_sketch(c, [_margin(q, d) for q in qs for d in (-1, 1)]).alias(f"s{i}")
-                     for i, c in enumerate(col)]).first()
-    # (feature, quantile) -> interval and the two ranks inside the whole column
+    if ranges is None:
+        row = df.agg(*[fn(c) for c in col for fn in (F.count, F.min, F.max)]).first()
+        ranges = [tuple(row[3 * i : 3 * i + 3]) for i in range(len(features))]
+    # (feature, quantile) -> interval, rows below and inside, and the two ranks
     spans = {}
-    for i in range(k):
-        if not sizes[f"n{i}"]:
-            continue
+    for i, (n, lo, hi) in enumerate(ranges):
         for j, q in enumerate(qs):
-            pos = q * (sizes[f"n{i}"] - 1)
-            lo, hi = sizes[f"s{i}"][2 * j], sizes[f"s{i}"][2 * j + 1]
-            spans[i, j] = {
-                "lo": sizes[f"lo{i}"] if _margin(q, -1) == 0 else lo,
-                "hi": sizes[f"hi{i}"] if _margin(q, 1) == 1 else hi,
-                "pos": pos, "first": math.floor(pos) + 1, "last": math.ceil(pos) + 1,
-            }
+            if n:
+                pos = q * (n - 1)
+                spans[i, j] = {
+                    "lo": lo, "hi": hi, "below": 0, "inside": n, "part": pos - math.floor(pos),
+                    "first": math.floor(pos) + 1, "last": math.ceil(pos) + 1,
+                }
     if not spans:
         empty = ", ".join(f"q_{j} double" for j in range(len(qs)))
         return spark.createDataFrame([], f"feature string, {empty}")
-    while True:
-        counts = df.agg(*[
-            agg for (i, j), s in spans.items() for agg in (
-                F.count_if(col[i] < F.lit(s["lo"])).alias(f"b{i}_{j}"),
-                F.count_if((col[i] >= F.lit(s["lo"])) & (col[i] <= F.lit(s["hi"])))
-                .alias(f"c{i}_{j}"),
-            )
+
+    def within(i: int, lo: float, hi: float) -> Column:
+        return (col[i] >= F.lit(lo)) & (col[i] <= F.lit(hi))
+
+    todo = {ij for ij, s in spans.items() if s["lo"] < s["hi"]}
+    while todo:
+        # Quantiles of a feature with the same interval share a sketch.
+        shared: dict[tuple, list] = {}
+        for i, j in sorted(todo):
+            shared.setdefault((i, spans[i, j]["lo"], spans[i, j]["hi"]), []).append((i, j))
+        order = [ij for ijs in shared.values() for ij in ijs]
+        sketches = df.agg(*[
+            _sketch(F.when(within(*key), col[key[0]]), [q for ij in ijs for q in _around(spans[ij])])
+            for key, ijs in shared.items()
         ]).first()
-        for (i, j), s in spans.items():
-            s["below"], s["inside"] = counts[f"b{i}_{j}"], counts[f"c{i}_{j}"]
-        wide = {ij: s for ij, s in spans.items() if s["inside"] > FINE and s["lo"] < s["hi"]}
-        if not wide:
-            break
-        before = {ij: (s["lo"], s["hi"]) for ij, s in wide.items()}
-        got = df.agg(*[
-            _sketch(F.when((col[i] >= F.lit(s["lo"])) & (col[i] <= F.lit(s["hi"])), col[i]), [
-                max(0.0, (s["first"] - s["below"]) / s["inside"] - 2.0 / ACCURACY),
-                min(1.0, (s["last"] - s["below"]) / s["inside"] + 2.0 / ACCURACY),
-            ]).alias(f"s{i}_{j}") for (i, j), s in wide.items()
+        flat = [v for values in sketches for v in values]
+        ends = list(zip(flat[::2], flat[1::2]))
+        counts = df.agg(*[
+            F.count_if(c) for (i, j), (lo, hi) in zip(order, ends)
+            for c in (col[i] < F.lit(lo), within(i, lo, hi))
         ]).first()
-        for (i, j), s in wide.items():
-            s["lo"], s["hi"] = got[f"s{i}_{j}"]
-        if all(before[ij] == (s["lo"], s["hi"]) for ij, s in wide.items()):
-            break  # the same few values over and over: grouping makes them few rows
-    inside = F.array(*[
-        F.when((col[i] >= F.lit(s["lo"])) & (col[i] <= F.lit(s["hi"])),
-               F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), col[i].alias("v")))
-        for (i, j), s in spans.items()
-    ])
-    values = df.select(F.explode(F.array_compact(inside)).alias("x")).groupBy(
-        "x.i", "x.j", "x.v").agg(F.count(F.lit(1)).alias("n"))
-    order = Window.partitionBy("i", "j").orderBy("v")
-    table = spark.createDataFrame(
-        [(i, j, s["below"], s["first"], s["last"], s["pos"] - math.floor(s["pos"]))
-         for (i, j), s in spans.items()],
-        "i int, j int, below bigint, first bigint, last bigint, part double",
-    )
-    upto = F.sum("n").over(order)
-    ranked = values.withColumn("upto", upto).join(F.broadcast(table), ["i", "j"])
+        for k, ij in enumerate(order):
+            s, (lo, hi), (below, inside) = spans[ij], ends[k], counts[2 * k : 2 * k + 2]
+            fits = below < s["first"] and s["last"] <= below + inside
+            narrower = fits and inside < s["inside"]
+            if narrower:
+                s.update(lo=lo, hi=hi, below=below, inside=inside)
+            # Nothing gained: few values, very often. Grouping makes them few rows.
+            if not narrower or inside <= FINE or lo == hi:
+                todo.discard(ij)
+    rows = [(i, j, s["below"], s["first"], s["last"], s["part"]) for (i, j), s in spans.items()]
+    table = F.broadcast(spark.createDataFrame(  # one row per feature and quantile
+        rows, "i int, j int, below bigint, first bigint, last bigint, part double"))
+    single = [(i, j, s["lo"], s["inside"]) for (i, j), s in spans.items() if s["lo"] == s["hi"]]
+    values = spark.createDataFrame(single, "i int, j int, v double, n bigint")
+    wide = {ij: s for ij, s in spans.items() if s["lo"] < s["hi"]}
+    if wide:
+        held = {ij: within(ij[0], s["lo"], s["hi"]) for ij, s in wide.items()}
+        cells = F.array_compact(F.array(*[
+            F.when(c, F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"),
+                               col[i].cast("double").alias("v")))
+            for (i, j), c in held.items()
+        ]))
+        found = df.select(F.explode(F.when(reduce(or_, held.values()), cells)).alias("x"))
+        values = values.unionByName(
+            found.groupBy("x.i", "x.j", "x.v").agg(F.count(F.lit(1)).alias("n")))
+    upto = F.sum("n").over(Window.partitionBy("i", "j").orderBy("v"))
+    ranked = values.withColumn("upto", upto).join(table, ["i", "j"])
     end = F.col("below") + F.col("upto")
     start = end - F.col("n")
-    at = ranked.groupBy("i", "j").agg(
-        F.max(F.when((start < F.col("first")) & (F.col("first") <= end), F.col("v"))).alias("a"),
-        F.max(F.when((start < F.col("last")) & (F.col("last") <= end), F.col("v"))).alias("b"),
-        F.max("part").alias("part"),
-    )
+    at = lambda rank: F.max(F.when(
+        (start < F.col(rank)) & (F.col(rank) <= end), F.col("v")))
+    ends = ranked.groupBy("i", "j").agg(
+        at("first").alias("a"), at("last").alias("b"), F.max("part").alias("part"))
     value = F.col("a") + (F.col("b") - F.col("a")) * F.col("part")
-    named = at.withColumn("feature", F.element_at(F.array(*[F.lit(f) for f in features]),
-                                                  F.col("i") + 1))
+    names = F.array(*[F.lit(f) for f in features])
+    named = ends.withColumn("feature", F.element_at(names, F.col("i") + 1))
     return named.groupBy("feature").agg(*[
         F.max(F.when(F.col("j") == j, value)).alias(f"q_{j}") for j in range(len(qs))
     ])
 
 
-def _margin(q: float, side: int) -> float:
-    return min(1.0, max(0.0, q + side * 2.0 / ACCURACY))
+def _around(s: dict) -> list[float]:
+    """Shares of the rows inside that enclose both ranks, sketch error and rounding included."""
+    slack = 2.0 / ACCURACY + 2.0 / s["inside"]
+    return [max(0.0, (s["first"] - s["below"]) / s["inside"] - slack),
+            min(1.0, (s["last"] - s["below"]) / s["inside"] + slack)]
 
 
 def _sketch(c: Column, qs: list[float]) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from functools import reduce
 from operator import add, and_
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
@@ -133,7 +133,7 @@ def class_distribution(df: DataFrame, label: str, digits: int | None = None) ->
     """Rows and percentage per class. Missing labels are not counted."""
     c = F.col(f"`{label}`")
     counts = df.groupBy(c.alias("class")).agg(F.count(c).alias("n")).where(F.col("n") > 0)
-    total = F.sum("n").over(Window.partitionBy(F.lit(0)))  # one row per class
+    total = counts.agg(F.sum("n")).scalar()
     return counts.withColumn("pct", display(F.col("n") / total * 100.0, digits))
 
 

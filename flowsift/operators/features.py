@@ -40,9 +40,9 @@ def class_weights(df: DataFrame, label: str) -> DataFrame:
     """Balanced weight of every class: rows / (classes * rows of the class)."""
     c = F.col(f"`{label}`")
     counts = df.groupBy(c.alias("class")).agg(F.count(F.lit(1)).alias("n"))
-    every = Window.partitionBy(F.lit(0))  # one row per class
-    total, k = F.sum("n").over(every), F.count(F.lit(1)).over(every)
-    return counts.withColumn("weight", total.cast("double") / (k * F.col("n")).cast("double"))
+    total = counts.agg(F.sum("n").cast("double")).scalar()
+    k = counts.agg(F.count(F.lit(1))).scalar()
+    return counts.withColumn("weight", total / (k * F.col("n")).cast("double"))
 
 
 def with_class_weights(df: DataFrame, label: str, out: str = "weight") -> DataFrame:

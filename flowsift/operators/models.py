@@ -34,6 +34,7 @@ from flowsift.spec import CV_FOLDS, RBF_GRID, SEED
 
 LABEL, WEIGHT = "y", "weight"
 MAX_ITER, TOLERANCE = 50, 1e-4
+DIMENSIONS = 512
 CELLS_PER_TASK = 4_000_000
 
 
@@ -76,7 +77,7 @@ def scaling_stages(features: list[str], n: int) -> list:
 
 def build_svm(
     features: list[str], n: int, kernel: str = "linear", C: float = 1.0, gamma: float = 1.0,
-    dimensions: int = 512, max_iter: int = MAX_ITER, tol: float = TOLERANCE, seed: int = SEED,
+    dimensions: int = DIMENSIONS, max_iter: int = MAX_ITER, tol: float = TOLERANCE, seed: int = SEED,
 ) -> Pipeline:
     """Scaler and SVM for n training rows. kernel "rbf" puts random Fourier features between."""
     if kernel not in ("linear", "rbf"):
@@ -114,14 +115,18 @@ def build_random_forest(
 
 
 def _fit(
-    train: DataFrame, features: list[str], build: Callable[[DataFrame, int], Pipeline]
+    train: DataFrame, features: list[str], build: Callable[[DataFrame, int], Pipeline],
+    width: int | None = None,
 ) -> tuple[PipelineModel, float]:
-    """Fit on the prepared rows, held in memory and on disk since several passes read them."""
+    """Fit on the prepared rows, held in memory and on disk since several passes read them.
+
+    width is the length of the vectors the solver sees.
+    """
     held = train.select(*[F.col(f"`{f}`") for f in features], LABEL).persist()
     try:
         n = held.count()
         start = time.perf_counter()
-        data = few_tasks(prepare(held, features), n * len(features))
+        data = few_tasks(prepare(held, features), n * (width or len(features)))
         model = build(held, n).fit(data)
         return model, time.perf_counter() - start
     finally:
@@ -151,7 +156,8 @@ def train_rbf_svm(
     train: DataFrame, features: list[str], C: float = 1.0, gamma: float | str = "scale", **settings
 ) -> Fitted:
     model, seconds = _fit(train, features, lambda held, n: build_svm(
-        features, n, "rbf", C, gamma_value(held, features, gamma), **settings))
+        features, n, "rbf", C, gamma_value(held, features, gamma), **settings),
+        settings.get("dimensions", DIMENSIONS))
     return Fitted(model, features, "rbf", C, gamma, seconds)
 
 
@@ -172,6 +178,7 @@ def search_rbf_svm(
     start = time.perf_counter()
     try:
         n = data.count()
+        few = few_tasks(data, n * settings.get("dimensions", DIMENSIONS))
         widths = [gamma_value(data, features, g) for g in grid["gamma"]]
         n_fold = n * (folds - 1) / folds
         pipeline = build_svm(features, n, "rbf", grid["C"][0], widths[0], seed=seed, **settings)
@@ -187,7 +194,7 @@ def search_rbf_svm(
         search = CrossValidator(
             estimator=pipeline, estimatorParamMaps=points, evaluator=f1, numFolds=folds,
             foldCol="fold", parallelism=parallelism,
-        ).fit(data)
+        ).fit(few)
         results = [
             {"kernel": "rbf", "C": c, "gamma": str(g), "cv_f1_mean": mean, "cv_f1_std": std}
             for (c, g), mean, std in zip(
@@ -197,7 +204,7 @@ def search_rbf_svm(
         best = max(range(len(results)), key=lambda i: (results[i]["cv_f1_mean"], -i))
         C, gamma = results[best]["C"], grid["gamma"][best % len(grid["gamma"])]
         refit = build_svm(
-            features, n, "rbf", C, widths[best % len(widths)], seed=seed, **settings).fit(data)
+            features, n, "rbf", C, widths[best % len(widths)], seed=seed, **settings).fit(few)
         return Fitted(refit, features, "rbf", C, gamma, time.perf_counter() - start, results)
     finally:
         data.unpersist()

@@ -269,11 +269,12 @@ digits as (
   select greatest(0, ceil(ln(count(*) / 50000.0) / ln(16)))::int as d from called),
 hashed as (
   select y, {", ".join(names)}, r.repeat_no,
+    substr(md5(concat_ws('|', '42|bucket', user_id, flow_day, copy_no)), 1, d) as bucket,
     md5(concat_ws('|', '', '42', r.repeat_no, user_id, flow_day, copy_no)) as h
-  from called, range(1, 11) r(repeat_no)),
+  from called, digits, range(1, 11) r(repeat_no)),
 paired as (
-  select y, {", ".join(names)}, repeat_no, {donors} from hashed, digits
-  window w as (partition by repeat_no, substr(h, 1, d) order by h)),
+  select y, {", ".join(names)}, repeat_no, {donors} from hashed
+  window w as (partition by repeat_no, bucket order by h)),
 per as (select repeat_no, {drops} from paired group by 1)
 {rows}"""
 

@@ -49,14 +49,14 @@ def test_record_map(spark):
 @pytest.mark.parametrize("hot", [False, True])
 def test_permutation_is_a_bijection(spark, monkeypatch, hot):
     monkeypatch.setattr(importance, "BUCKET_ROWS", 100)
-    monkeypatch.setattr(importance, "HOT", 3)
+    monkeypatch.setattr(importance, "HOT", 2)
     key = F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id")) if hot else F.col("id")
     df = spark.range(1000).select(key.alias("k"), F.col("id").cast("double").alias("x"))
     out = importance.permuted(df, ["x"], ["k"], 2)
     for repeat in (1, 2):
         rows = out.where(F.col("repeat") == repeat).select("x", "_d0").collect()
         assert sorted(r["x"] for r in rows) == sorted(r["_d0"] for r in rows) == list(range(1000))
-        assert sum(r["x"] == r["_d0"] for r in rows) < 20  # rows alone in a small bucket
+        assert sum(r["x"] == r["_d0"] for r in rows) < 5
     if not hot:
         moved = out.groupBy("x").agg(F.count_distinct("_d0").alias("n")).where("n = 2").count()
         assert moved > 900

@@ -11,6 +11,7 @@ from pyspark.sql.types import StringType
 
 from flowsift.functions.numeric import INF, display, is_infinite, ratio, to_number
 from flowsift.functions.text import binary_label, category_label, na_to_null
+from flowsift.operators.small import pin_small
 from flowsift.spec import BENIGN, DEFAULT_SPEC, FlowSpec
 
 BAD_TEXT = "_bad_text"
@@ -150,11 +151,17 @@ def validation_report(
     deduped: DataFrame, features: list[str], missing: list[str],
     spec: FlowSpec = DEFAULT_SPEC, source: str | None = None, fingerprint: str | None = None,
 ) -> DataFrame:
-    """The whole report as one row: counts, features and class tables as maps."""
+    """The whole report as one row: counts, features and class tables as maps.
+
+    original_class_distribution is NULL when there are too many raw labels for one
+    row; class_distribution on the raw label gives it as a table of any size.
+    """
     label, original = spec.label_col, spec.original_label_col
     cells = deduped.groupBy(F.col(f"`{label}`").alias("label"), F.col(f"`{original}`").alias("raw"))
-    cells = cells.agg(*[c.alias(k) for k, c in _report_columns(features).items()])
+    cells, few = pin_small(cells.agg(*[c.alias(k) for k, c in _report_columns(features).items()]))
     counts = [F.sum(k).alias(k) for k in _report_columns(features)]
+    if few is None:  # more labels than one row should hold
+        cells = cells.groupBy("label").agg(*counts).withColumn("raw", F.lit(None).cast("string"))
 
     by_class = cells.groupBy("label").agg(*counts, F.collect_list(
         F.struct("raw", F.col("cleaned_rows").alias("n"))).alias("raws"))
@@ -184,7 +191,8 @@ def validation_report(
         ))).alias("class_percentages"),
         F.when(two, F.round(F.array_max(sizes) / F.array_min(sizes), 2)).otherwise(0.0)
         .alias("imbalance_ratio"),
-        F.map_from_arrays(names, n_of).alias("original_class_distribution"),
+        (F.map_from_arrays(names, n_of) if few is not None
+         else F.lit(None).cast("map<string,bigint>")).alias("original_class_distribution"),
         F.array(*[F.lit(c) for c in [*features, label, original]]).alias("columns"),
     )
 

@@ -3,14 +3,20 @@
 Sampling, splitting and fold assignment all say: order the rows of each class by
 a hash and cut the order at certain ranks. A window per class would put a class
 with nearly all rows into one task. Here only the hash values at the cuts are
-searched: count rows per hash prefix, keep the prefixes that hold a cut, refine
-until the exact hash is known, then compare every row with the cut hashes of its
-class. The table itself is scanned but never shuffled.
+searched, then every row is compared with the cut hashes of its class. The table
+itself is scanned but never shuffled.
+
+Hashes are uniform, so the hash at a rank lies close to rank / rows. One pass
+counts the rows below an interval around it and the hashes inside, which gives
+the exact hash. Repeated keys can spoil the estimate. It is checked, and if an
+interval misses, the hash is found by counting rows per prefix and refining.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -19,6 +25,8 @@ from flowsift.operators.small import pin_small
 
 CLASS, HASH, COPIES = "_class", "_hash", "_copies"
 HASH_WIDTH = 32
+SIGMAS = 8  # half width of the interval around an expected hash
+UNIT_DIGITS = 13  # hex digits of an interval end, exact in a double
 STEP = 3  # hex digits per refinement: 4096 prefixes per class
 PREFIX_ROWS = 200_000  # prefix counts of up to 48 classes are kept as a local table
 FINE = 2_000_000  # rows per prefix that one window task may order
@@ -44,7 +52,8 @@ def slice_rows(
     """
     cols = df.columns
     keyed = df.withColumn(CLASS, class_key(by)).withColumn(HASH, order)
-    found, rows = _locate(keyed.select(CLASS, HASH), cuts)
+    found, rows = _estimate(keyed.select(CLASS, HASH), cuts, n_cuts) or _locate(
+        keyed.select(CLASS, HASH), cuts)
     cut_table = _per_class(found, n_cuts)
     if rows is not None:
         cut_table = F.broadcast(cut_table)
@@ -64,6 +73,56 @@ def slice_rows(
     return whole.unionByName(split)
 
 
+def _estimate(keyed: DataFrame, cuts: Cuts, n_cuts: int):
+    """_locate by intervals around the expected hashes; None when one of them misses."""
+    totals, rows = pin_small(keyed.groupBy(CLASS).agg(F.count(F.lit(1)).alias("n")))
+    if rows is None:
+        return None
+    share, n = F.col("rank") / F.col("class_n"), F.col("class_n").cast("double")
+    slack = SIGMAS * F.sqrt(share * (1.0 - share) / n) + 20.0 / n
+    wanted, wanted_rows = pin_small(
+        cuts(totals).join(totals.withColumnRenamed("n", "class_n"), CLASS).where("rank > 0")
+        .select(CLASS, "cut", "rank", _hex(share - slack).alias("lo"), _hex(share + slack).alias("hi"))
+    )
+    if not wanted_rows:
+        return None
+    ends = F.broadcast(wanted.groupBy(CLASS).agg(*[
+        F.max(F.when(F.col("cut") == j, F.col(c))).alias(f"_{c}{j}")
+        for j in range(n_cuts) for c in ("lo", "hi")
+    ]))
+    held = [
+        F.coalesce(F.col(HASH).between(F.col(f"_lo{j}"), F.col(f"_hi{j}")), F.lit(False))
+        for j in range(n_cuts)
+    ]
+    counts = (
+        keyed.join(ends, CLASS)
+        .groupBy(CLASS, F.when(reduce(or_, held), F.col(HASH)).alias(HASH))
+        .agg(F.count(F.lit(1)).alias("n"),
+             *[F.count_if(F.col(HASH) < F.col(f"_lo{j}")).alias(f"_b{j}") for j in range(n_cuts)])
+    )
+    whole = Window.partitionBy(CLASS)
+    below = counts.withColumns({f"_b{j}": F.sum(f"_b{j}").over(whole) for j in range(n_cuts)})
+    below_cut = F.element_at(F.array(*[F.col(f"_b{j}") for j in range(n_cuts)]), F.col("cut") + 1)
+    inside = (
+        below.where(F.col(HASH).isNotNull()).join(wanted, CLASS)
+        .where(F.col(HASH).between(F.col("lo"), F.col("hi")))
+        .withColumn("_last", below_cut + F.sum("n").over(
+            Window.partitionBy(CLASS, "cut").orderBy(HASH)))
+    )
+    before = F.col("_last") - F.col("n")
+    hits, found = pin_small(
+        inside.where((F.col("rank") > before) & (F.col("rank") <= F.col("_last")))
+        .select(CLASS, "cut", HASH, "n", (F.col("rank") - before).alias("rank"))
+    )
+    return (hits, found) if found is not None and len(found) == len(wanted_rows) else None
+
+
+def _hex(share: Column) -> Column:
+    """First hex digits of the hash at a share of the hash range; above all hashes from 1 on."""
+    at = F.floor(F.greatest(share, F.lit(0.0)) * float(16**UNIT_DIGITS)).cast("bigint")
+    return F.when(share >= 1, "g").otherwise(F.lpad(F.lower(F.hex(at)), UNIT_DIGITS, "0"))
+
+
 def _locate(keyed: DataFrame, cuts: Cuts, weight: str | None = None):
     """The hash at every cut: (_class, cut, _hash, n rows with that hash, rank in them)."""
     size = F.count(F.lit(1)) if weight is None else F.sum(weight)

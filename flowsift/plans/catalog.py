@@ -177,17 +177,22 @@ def file_fingerprints(spark, sf):
     return flow_files.file_fingerprints(spark, sf, "*.parquet")
 
 
-@query
-def csv_scan_clean(spark, sf):
-    """Flows written as a messy CSV, read back, resolved and cleaned."""
+def _flow_csv(spark: SparkSession, sf: str) -> str:
+    """Flows in key order as CSV files with blank-padded names."""
     path = scratch_path(spark, "flows-csv")
     flows = T.event_flows(spark, sf).orderBy(*T.EV_KEY)
     messy = flows.select(
         *[F.col(f).alias(f" {f} ") for f in T.EV_FEATURES], F.col("raw_label").alias(" Raw Label "))
     (messy.write.option("header", True).option("encoding", "ISO-8859-1")
      .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))
+    return path
+
+
+@query
+def csv_scan_clean(spark, sf):
+    """Flows written as a messy CSV, read back, resolved and cleaned."""
     shaped, names, _ = flow_files.shape_flows(
-        flow_files.read_flow_csv(spark, path), T.EV_SPEC, [flow_files.ROW_ID])
+        flow_files.read_flow_csv(spark, _flow_csv(spark, sf)), T.EV_SPEC, [flow_files.ROW_ID])
     deduped = clean.clean_flows(shaped, names, [flow_files.ROW_ID], T.EV_SPEC)
     return clean.drop_unusable(deduped, names).select(
         *names, F.col("raw_label").alias("label"), "original_label")
@@ -505,6 +510,25 @@ def saved_model_scores(spark, sf):
         *T.EV_KEY, "decision_score", "column_score", "prediction")
 
 
+@query
+def score_csv_file(spark, sf):
+    """Every row of the flow CSV scored with a saved logistic regression."""
+    train = _split_flows(spark, sf).where("not is_test")
+    fitted = models.train_benchmark("logistic_regression", train, T.EV_FEATURES)
+    saved = models.save_model(fitted.model, scratch_path(spark, "model"))
+    return jobs.score_file(spark, _flow_csv(spark, sf), saved, T.EV_FEATURES).drop("Raw Label")
+
+
+@query
+def training_run(spark, sf):
+    """The whole training run on the flow CSV with a small grid: its listed metrics."""
+    out = scratch_path(spark, "training")
+    jobs.training_run(
+        spark, _flow_csv(spark, sf), out, T.EV_SPEC, grid={"C": [10.0], "gamma": ["scale"]},
+        repeats=2, dimensions=64, max_iter=10)
+    return artifacts.list_runs(spark, f"{out}/runs").select("experiment_id", "metrics", "features")
+
+
 @query
 def logreg_scores(spark, sf):
     split = _split_flows(spark, sf)

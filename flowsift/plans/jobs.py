@@ -240,6 +240,7 @@ def training_run(
     sizes = {r["is_test"]: r["count"] for r in sample.groupBy("is_test").count().collect()}
     meta = {
         "experiment_id": run_id,
+        "timestamp": artifacts.utc_now(spark),
         "dataset": path,
         "random_state": seed,
         "sample_size": sample_size,

@@ -58,11 +58,19 @@ def load_metadata(spark: SparkSession, path: str) -> dict:
     return json.loads(rows[0]["meta"]) if rows else {}
 
 
+def _utc(spark: SparkSession, form: str) -> str:
+    now = F.to_utc_timestamp(F.current_timestamp(), F.current_timezone())
+    return spark.range(1).select(F.date_format(now, form)).first()[0]
+
+
+def utc_now(spark: SparkSession) -> str:
+    """Time stamp of a run in UTC."""
+    return _utc(spark, "yyyy-MM-dd'T'HH:mm:ss'Z'")
+
+
 def new_run_id(spark: SparkSession) -> str:
     """EXP-<date>-<time> in UTC."""
-    stamp = F.date_format(F.to_utc_timestamp(F.current_timestamp(), F.current_timezone()),
-                          "yyyy-MM-dd-HHmmss")
-    return RUN_PREFIX + spark.range(1).select(stamp).first()[0]
+    return RUN_PREFIX + _utc(spark, "yyyy-MM-dd-HHmmss")
 
 
 def save_run(spark: SparkSession, root: str, run_id: str, **parts) -> str:

@@ -132,6 +132,11 @@ def test_copies_are_expanded_in_chunks(spark, monkeypatch):
 def test_refinement_and_many_classes_give_the_same_rows(spark, monkeypatch):
     df = flows(spark, {"a": 900, "b": 300})
     want = ids(sampling.stratified_sample(df, 77, "label", ["id"]))
+    folds = sorted(map(tuple, sampling.assign_folds(df, "label", ["id"], 4).collect()))
+    monkeypatch.setattr(slicing, "SIGMAS", 0.01)  # intervals that miss
+    assert ids(sampling.stratified_sample(df, 77, "label", ["id"])) == want
+    monkeypatch.setattr(slicing, "_estimate", lambda *_: None)
+    assert folds == sorted(map(tuple, sampling.assign_folds(df, "label", ["id"], 4).collect()))
     monkeypatch.setattr(slicing, "FINE", 0.0001)  # refine digit group by digit group
     assert ids(sampling.stratified_sample(df, 77, "label", ["id"])) == want
     monkeypatch.setattr(slicing, "pin_small", lambda d, n=0: (d, None))  # class table too large
@@ -139,6 +144,14 @@ def test_refinement_and_many_classes_give_the_same_rows(spark, monkeypatch):
     assert ids(sampling.stratified_sample(df, 77, "label", ["id"])) == want
 
 
+def test_whole_classes_and_close_cuts(spark):
+    df = flows(spark, {"a": 5, "b": 2, "c": 1})
+    folds = sampling.assign_folds(df, "label", ["id"], 5)
+    assert sorted(r["count"] for r in folds.groupBy("fold").count().collect()) == [1, 1, 2, 2, 2]
+    assert sampling.top_n_sample(df, 2, ["id"], "label").count() == 5
+    assert sampling.stratified_sample(df, 7, "label", ["id"]).count() == 7
+
+
 def test_shuffle_is_a_seeded_order(spark):
     df = flows(spark, {"a": 200})
     one = [r["id"] for r in sampling.shuffle_rows(df, ["id"]).collect()]

@@ -1,4 +1,6 @@
 import hashlib
+import re
+from datetime import datetime, timezone
 
 import pytest
 from pyspark.sql import functions as F
@@ -62,6 +64,16 @@ def test_validation_report(spark, dirty):
     assert r["columns"] == ["a", "b", "Label", "Original_Label"]
 
 
+def test_report_with_too_many_labels_for_a_row(spark, dirty, monkeypatch):
+    monkeypatch.setattr(clean, "pin_small", lambda d: (d, None))
+    deduped, features, missing = load(spark, dirty)
+    r = clean.validation_report(deduped, features, missing, SPEC).first()
+    assert r["original_class_distribution"] is None and r["raw_rows"] == 12
+    assert r["class_distribution"] == {"ATTACK": 2, "BENIGN": 2}
+    table = clean.class_distribution(clean.drop_unusable(deduped, features), "Original_Label")
+    assert {x["class"]: x["n"] for x in table.collect()} == {"BENIGN": 1, "Bot": 1, "DDoS": 1}
+
+
 def test_written_report_equals_the_query(spark, dirty, tmp_path):
     deduped, features, _ = load(spark, dirty)
     report = clean.write_cleaned(deduped, features, str(tmp_path / "cleaned"))
@@ -146,4 +158,6 @@ def test_runs(spark, tmp_path):
     rows = artifacts.list_runs(spark, root).collect()
     assert [r["experiment_id"] for r in rows] == ["EXP-1", "EXP-2"]
     assert rows[0]["metrics"] is None and rows[1]["metrics"] == '{"f1": 0.5}'
-    assert artifacts.new_run_id(spark).startswith("EXP-20")
+    assert re.fullmatch(r"EXP-\d{4}-\d\d-\d\d-\d{6}", artifacts.new_run_id(spark))
+    stamp = datetime.fromisoformat(artifacts.utc_now(spark))
+    assert abs((datetime.now(timezone.utc) - stamp).total_seconds()) < 60

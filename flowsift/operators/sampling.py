@@ -124,8 +124,8 @@ def expected_test_rows(n: int, test_size: float = TEST_SIZE) -> int:
     return math.ceil(n * test_size)
 
 
-def _class(label: str | None) -> Column:
-    return F.lit("") if label is None else F.col(label)
+def _class(label: str | None) -> Column | None:
+    return None if label is None else F.col(label)
 
 
 def _cols(names: list[str]) -> list[Column]:

@@ -41,17 +41,21 @@ def class_key(c: Column) -> Column:
 
 
 def slice_rows(
-    df: DataFrame, by: Column, order: Column, cuts: Cuts, n_cuts: int, out: str = "slice"
+    df: DataFrame, by: Column | None, order: Column, cuts: Cuts, n_cuts: int, out: str = "slice"
 ) -> DataFrame:
     """Add the number of the slice each row falls into, 0 to n_cuts.
 
     cuts gets the class sizes (_class, n) and returns (_class, cut, rank): slice
     `cut` ends with the row of that rank, counted from 1; ranks rise with cut.
+    Without `by` the whole table is one class.
     Rows with equal hashes are cut exactly too: by content, and identical rows
     by number.
     """
     cols = df.columns
-    keyed = df.withColumn(CLASS, class_key(by)).withColumn(HASH, order)
+    keyed = df.withColumn(HASH, order)
+    # Without classes all rows share an empty text. A literal would make the joins
+    # below pair rows without a key.
+    keyed = keyed.withColumn(CLASS, F.substring(HASH, 1, 0) if by is None else class_key(by))
     found, rows = _estimate(keyed.select(CLASS, HASH), cuts, n_cuts) or _locate(
         keyed.select(CLASS, HASH), cuts)
     cut_table = _per_class(found, n_cuts)

@@ -14,7 +14,7 @@ from array import array
 from collections.abc import Iterator
 
 #: Entries of a worker's dictionary, and the longest cut it keeps.
-REMEMBERED = 1_000_000
+REMEMBERED = 300_000
 LONGEST = 64
 #: Characters handled at once, so that the list of cuts stays small.
 AT_ONCE = 1_000_000

@@ -5,7 +5,18 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from flowsift.llm import bpe_codec, pack_bfd, pack_nnls
+from flowsift.llm import (
+    ann_scan,
+    bpe_codec,
+    jaccard_join,
+    kd_shards,
+    language_cnn,
+    line_runs,
+    pack_bfd,
+    pack_nnls,
+    quality_rules,
+    suffix_dedup,
+)
 
 QUERIES: dict = {}
 ORACLE: dict = {}
@@ -37,3 +48,44 @@ def op5_byte_bpe(spark, sf):
 @query
 def op9_nnls_pack(spark, sf):
     return pack_nnls.digests(pack_nnls.pack(documents(spark, sf), ENGLISH, PATTERN))
+
+
+@query
+def op2_quality_rules(spark, sf):
+    docs = documents(spark, sf)
+    rules = quality_rules.learn(docs, spark.read.parquet(f"{sf}/labels.parquet"))
+    return quality_rules.judge(docs, rules).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
+        "rule", "kept")
+
+
+@query
+def op10_byte_cnn_language(spark, sf):
+    return language_cnn.classify(documents(spark, sf))
+
+
+@query
+def op3_adaptive_scan(spark, sf):
+    rows = spark.read.parquet(f"{sf}/embeddings.parquet")
+    return ann_scan.search(rows, rows.where("vec_id % 20 = 0"))
+
+
+@query
+def op4_kd_shards(spark, sf):
+    return kd_shards.shard(documents(spark, sf), shards=16)
+
+
+@query
+def op6_suffix_dedup(spark, sf):
+    return suffix_dedup.digests(documents(spark, sf))
+
+
+@query
+def op7_line_runs(spark, sf):
+    done = line_runs.dedup(documents(spark, sf))
+    return done.select("doc_id", "text", "line_runs.*")
+
+
+@query
+def op8_jaccard_join(spark, sf):
+    return jaccard_join.near_classes(documents(spark, sf))

@@ -8,14 +8,15 @@ Consecutive windows with the same sampled gram are a run, and its bytes are the
 1. Runs are dealt by their gram in buckets of bounded size, packed as bytes; copies of a context
    within a part of the input go as one. Grams that one document alone has drop out here. A
    context that a smaller document has too is removed whole.
-2. What is left are different contexts of a gram. Their bytes are fetched, cut by a second sampled
-   gram (32 bytes) and dealt by both. In every group the contexts' suffixes are sorted by the
-   difference-cover algorithm: sort sampled triples, recurse on names, merge the others. Adjacent
-   prefixes of `length` bytes are compared, and each class of equal windows learns its smallest
-   document.
+2. What is left are different contexts of a gram. Their bytes are fetched, equal ones combined, and
+   dealt by gram. In every group the contexts' suffixes are sorted by the difference-cover
+   algorithm: sort sampled triples, recurse on names, merge the others. Adjacent prefixes of
+   `length` bytes are compared, and each class of equal windows learns its smallest document. A
+   gram with very many contexts, as at the ends of a passage that a part of all documents holds,
+   is split into its windows, each dealt by itself, so that no group grows with the corpus.
 3. Intervals are collected per document and cut out.
 
-Grams and contexts are compared by 64-bit hashes, windows of different contexts by their bytes.
+Grams and whole contexts are compared by 64-bit hashes, windows of different contexts by bytes.
 
 Cases: null text counts as empty; texts shorter than `length` bytes are left alone; matches never
 cross documents; strings are judged on the input, so chains of copies all point to the smallest
@@ -39,7 +40,8 @@ from flowsift.llm.tokens import batches_by_size
 
 LENGTH = 50
 GRAM = 16
-SECOND_GRAM = 32
+#: Contexts of a gram beyond which it is split into windows.
+MANY = 500
 #: Windows of a run at most; bytes of text handled at once; runs aimed at in a bucket.
 RUN = 64
 PART_BYTES = 4_000_000
@@ -50,7 +52,7 @@ BATCH_BYTES = 16_000_000
 
 
 def gram_hashes(data: np.ndarray, size: int) -> np.ndarray:
-    """Hash of the `size` bytes from each position on; size is 16 or 32."""
+    """Hash of the `size` bytes from each position on; size is a multiple of 8."""
     words = np.empty(max(len(data) - 7, 0), np.uint64)
     for k in range(8):
         words[k::8] = data[k:k + (len(data) - k) // 8 * 8].view("<u8")
@@ -151,14 +153,14 @@ def _dealt(rows: DataFrame, buckets: int, length: int) -> DataFrame:
                                 "contexts binary, at binary, count binary")
 
 
-FOUND = "row long, doc long, at int, size int, name long, whole boolean"
+FOUND = "row long, doc long, at int, size int, name long, whole boolean, many boolean"
 
 
 def _judged(dealt: DataFrame, buckets: int, length: int) -> DataFrame:
     """Runs that are removed whole (bytes at .. at + size), and, for grams with different contexts
     of different documents, one run of each context to be compared."""
     schema = pa.schema([("row", pa.int64()), ("doc", pa.int64()), ("at", pa.int32()), ("size", pa.int32()),
-                        ("name", pa.int64()), ("whole", pa.bool_())])
+                        ("name", pa.int64()), ("whole", pa.bool_()), ("many", pa.bool_())])
 
     def joined(table, column, kind):
         return np.frombuffer(b"".join(v.as_py() for v in table.column(column)), kind)
@@ -173,7 +175,8 @@ def _judged(dealt: DataFrame, buckets: int, length: int) -> DataFrame:
         size = count + np.int32(length - 1)
         if bucket >= buckets:
             return pa.table(list(map(pa.array, (
-                row, doc, at, size, np.zeros(len(row), np.int64), np.ones(len(row), bool)))), schema=schema)
+                row, doc, at, size, np.zeros(len(row), np.int64), np.ones(len(row), bool),
+                np.zeros(len(row), bool)))), schema=schema)
         name, context = joined(table, "names", np.uint64), joined(table, "contexts", np.uint64)
         order = np.lexsort((at, doc, context, name))
         name, context, doc, row, at, size = (v[order] for v in (name, context, doc, row, at, size))
@@ -191,45 +194,47 @@ def _judged(dealt: DataFrame, buckets: int, length: int) -> DataFrame:
         ask = ~whole & (contexts > 1) & (most > least)
         kept = whole | ask
         return pa.table(list(map(pa.array, (
-            row[kept], doc[kept], at[kept], size[kept], name[kept].view(np.int64), whole[kept]))), schema=schema)
+            row[kept], doc[kept], at[kept], size[kept], name[kept].view(np.int64), whole[kept],
+            (contexts > MANY)[kept]))), schema=schema)
 
     return dealt.groupBy("bucket").applyInArrow(run, FOUND)
 
 
 def _fetched(rows: DataFrame, asked: DataFrame, length: int) -> DataFrame:
-    """Bytes of the runs to be compared, cut again by the second gram: name, row, doc, at, bytes."""
-    per = asked.groupBy("row").agg(F.collect_list(F.struct("at", "size", "name")).alias("asked"))
+    """Bytes of the runs to be compared: name, row, doc, at, bytes. The windows of grams with many
+    contexts get names of their own."""
+    per = asked.groupBy("row").agg(F.collect_list(F.struct("at", "size", "name", "many")).alias("asked"))
     both = rows.join(per, "row").select("row", "doc", "text", "asked")
 
     def run(batches):
         for batch in batches:
-            out = [[], [], [], [], []]
-            size = 0
+            out, size = [[], [], [], [], []], 0
             for row, doc, text, asked in zip(*(batch.column(i) for i in range(4))):
-                data = np.frombuffer(text.as_py().encode(), np.uint8)
-                row, doc = row.as_py(), doc.as_py()
-                asked = asked.as_py()
-                pieces = [data[a["at"]:a["at"] + a["size"]] for a in asked]
-                offsets = np.concatenate(([0], np.cumsum([len(p) for p in pieces])))
-                joined = np.concatenate(pieces)
-                of, start, count, second = runs(joined, offsets, length, SECOND_GRAM)
-                first = np.array([a["name"] for a in asked], np.int64).view(np.uint64)
-                begins = np.array([a["at"] for a in asked], np.int64)
-                names = scrambled(first[of] ^ second).view(np.int64)
-                whole = joined.tobytes()
-                out[0] += names.tolist()
-                out[1] += [row] * len(of)
-                out[2] += [doc] * len(of)
-                out[3] += (begins[of] + start - offsets[of]).tolist()
-                out[4] += [whole[a:b] for a, b in zip(start.tolist(), (start + count + length - 1).tolist())]
-                size += len(whole)
+                row, doc, text = row.as_py(), doc.as_py(), text.as_py().encode()
+                for a in asked.as_py():
+                    at, n, name = a["at"], a["size"], a["name"]
+                    if a["many"]:
+                        starts = np.arange(n - length + 1)
+                        data = np.frombuffer(text[at:at + n], np.uint8)
+                        own = PartHashes(data).of(starts, starts + length) ^ np.int64(name).view(np.uint64)
+                        names = scrambled(own).view(np.int64).tolist()
+                        pieces = [text[at + k:at + k + length] for k in range(len(names))]
+                    else:
+                        names, pieces = [name], [text[at:at + n]]
+                    out[0] += names
+                    out[1] += [row] * len(names)
+                    out[2] += [doc] * len(names)
+                    out[3] += range(at, at + len(names))
+                    out[4] += pieces
+                    size += sum(map(len, pieces))
                 if size > BATCH_BYTES // 4:
                     yield _pieces(out)
                     out, size = [[], [], [], [], []], 0
             if out[0]:
                 yield _pieces(out)
 
-    return both.mapInArrow(run, "name long, row long, doc long, at int, bytes binary")
+    return both.mapInArrow(run, "name long, row long, doc long, at int, bytes binary").withColumn(
+        "hash", F.xxhash64("bytes"))
 
 
 def _pieces(out: list[list]) -> pa.RecordBatch:
@@ -242,54 +247,61 @@ def _compared(pieces: DataFrame, groups: int, length: int) -> DataFrame:
     """Intervals of the pieces that smaller documents cover, by suffix sorting in every group."""
     # A piece that several documents have is sorted once, for the smallest of them; the others
     # contain nothing that it does not.
-    least = pieces.groupBy("name", "bytes").agg(F.min("doc").alias("first"))
-    names = least.groupBy("name").agg(F.count(F.lit(1)).alias("n"), F.min("first").alias("a"),
-                                      F.max("first").alias("b")).where("n > 1 and a < b").select("name")
-    same = pieces.join(least, ["name", "bytes"]).where("doc > first").select(
-        "row", "at", F.octet_length("bytes").alias("size"))
-    several = least.join(names, "name", "left_semi").withColumn("group", F.pmod(F.col("name"), F.lit(groups)))
-    schema = pa.schema([("name", pa.int64()), ("bytes", pa.binary()), ("from", pa.int32()), ("size", pa.int32())])
+    least = land(pieces.groupBy("name", "hash").agg(
+        F.min("doc").alias("first"), F.first("bytes").alias("bytes")), "least")
+    places = pieces.select("name", "hash", "row", "doc", "at", F.octet_length("bytes").alias("size"))
+    same = places.join(least.select("name", "hash", "first"), ["name", "hash"]).where("doc > first").select(
+        "row", "at", "size")
+    dealt = least.withColumn("group", F.pmod(F.col("name"), F.lit(groups)))
+    schema = pa.schema([("name", pa.int64()), ("hash", pa.int64()), ("from", pa.int32()), ("size", pa.int32())])
 
     def run(table: pa.Table) -> pa.Table:
-        table = table.combine_chunks()
-        data, offsets = flat(table.column("bytes"))
-        doc = np.asarray(table.column("first"))
-        sizes = np.diff(offsets)
-        # Values from 2 on, with a 1 after every piece; what stands behind it never counts, as
-        # windows that cross it are left out.
-        text = np.ones(len(data) + len(sizes), np.int64)
-        piece = np.repeat(np.arange(len(sizes)), sizes)
-        text[np.arange(len(data)) + piece] = data + np.int64(2)
-        begin = offsets[:-1] + np.arange(len(sizes))
-        order = suffix_array(text)
-        of = np.searchsorted(begin, order, "right") - 1
-        inside = order - begin[of] + length <= sizes[of]
-        order, of = order[inside], of[inside]
-        same = equal_prefixes(text, order, length)
-        heads = np.flatnonzero(~same)
-        smallest = np.minimum.reduceat(doc[of], heads)[np.cumsum(~same) - 1]
-        hit = smallest < doc[of]
-        order, of = np.sort(order[hit]), of[hit]
-        of = np.searchsorted(begin, order, "right") - 1
-        fresh = np.ones(len(order), bool)
-        fresh[1:] = (order[1:] != order[:-1] + 1) | (of[1:] != of[:-1])
-        first = np.flatnonzero(fresh)
-        last = np.append(first[1:], len(order)) - 1
-        if not len(first):
+        name, doc = np.asarray(table.column("name")), np.asarray(table.column("first"))
+        order = np.lexsort((doc, name))
+        fresh = np.concatenate(([True], name[order[1:]] != name[order[:-1]]))
+        heads = np.flatnonzero(fresh)
+        of = np.cumsum(fresh) - 1
+        # Names whose contexts are all of one document have nothing to give.
+        several = np.minimum.reduceat(doc[order], heads) < np.maximum.reduceat(doc[order], heads)
+        table = table.take(pa.array(np.sort(order[several[of]]))).combine_chunks()
+        if not len(table):
             return schema.empty_table()
-        at = pa.array(of[first])
-        return pa.table([table.column("name").combine_chunks().take(at),
-                         table.column("bytes").combine_chunks().take(at),
-                         pa.array((order[first] - begin[of[first]]).astype(np.int32)),
-                         pa.array((order[last] - order[first] + length).astype(np.int32))], schema=schema)
-
-    hits = several.groupBy("group").applyInArrow(run, "name long, bytes binary, from int, size int")
-    # Only for the documents for which the class was sorted; larger ones are covered whole.
-    partly = pieces.join(hits, ["name", "bytes"]).select(
+        data, offsets = flat(table.column("bytes"))
+        piece, first, size = covered_parts(data, offsets, np.asarray(table.column("first")), length)
+        at = pa.array(piece)
+        return pa.table([table.column("name").take(at), table.column("hash").take(at),
+                         pa.array(first.astype(np.int32)), pa.array(size.astype(np.int32))], schema=schema)
+
+    hits = dealt.groupBy("group").applyInArrow(run, "name long, hash long, from int, size int")
+    # Only for the document that a piece was sorted for; larger ones are covered whole.
+    partly = places.drop("size").join(hits, ["name", "hash"]).select(
         "row", (F.col("at") + F.col("from")).alias("at"), "size")
     return same.unionAll(partly)
 
 
+def covered_parts(data: np.ndarray, offsets: np.ndarray, doc: np.ndarray, length: int):
+    """Parts of pieces that pieces of smaller documents cover: piece, start in it, size."""
+    sizes = np.diff(offsets)
+    # Values from 2 on, with a 1 after every piece; what stands behind it never counts, as windows
+    # that cross it are left out.
+    text = np.ones(len(data) + len(sizes), np.int64)
+    text[np.arange(len(data)) + np.repeat(np.arange(len(sizes)), sizes)] = data + np.int64(2)
+    begin = offsets[:-1] + np.arange(len(sizes))
+    order = suffix_array(text)
+    of = np.searchsorted(begin, order, "right") - 1
+    inside = order - begin[of] + length <= sizes[of]
+    order, of = order[inside], of[inside]
+    same = equal_prefixes(text, order, length)
+    smallest = np.minimum.reduceat(doc[of], np.flatnonzero(~same))[np.cumsum(~same) - 1]
+    order = np.sort(order[smallest < doc[of]])
+    of = np.searchsorted(begin, order, "right") - 1
+    fresh = np.ones(len(order), bool)
+    fresh[1:] = (order[1:] != order[:-1] + 1) | (of[1:] != of[:-1])
+    first = np.flatnonzero(fresh)
+    last = np.append(first[1:], len(order)) - 1 if len(first) else first
+    return of[first], order[first] - begin[of[first]], order[last] - order[first] + length
+
+
 def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """row and `spans` (at, size) in bytes, which may overlap, of everything to be removed."""
     rows = keyed(docs).where(F.octet_length("text") >= length)
@@ -299,7 +311,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     asked = found.where("not whole")
     bytes_asked = asked.agg(F.sum("size")).first()[0] or 0
     pieces = land(_fetched(rows, asked, length), "pieces")
-    groups = max(1, 3 * bytes_asked // SORTED_BYTES)
+    groups = max(1, bytes_asked // SORTED_BYTES)
     spans = found.where("whole").select("row", "at", "size").unionAll(_compared(pieces, groups, length))
     out = land(spans.groupBy("row").agg(F.sort_array(F.collect_set(F.struct("at", "size"))).alias("spans")), "spans")
     drop(found, pieces)

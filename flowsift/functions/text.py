@@ -42,7 +42,7 @@ def binary_label(c: Column) -> Column:
 
 def category_label(c: Column, spec: FlowSpec = DEFAULT_SPEC) -> Column:
     """Attack category; missing is BENIGN, unknown or blank text is Other."""
-    pairs = chain.from_iterable(spec.category_of().items())
+    pairs = chain.from_iterable(spec.categories.items())
     table = F.create_map(*[F.lit(x) for x in pairs])
     return F.when(c.isNull(), BENIGN).otherwise(
         F.coalesce(F.try_element_at(table, F.lower(strip(c))), F.lit(OTHER))

@@ -11,7 +11,6 @@ from pyspark.sql.types import StringType
 
 from flowsift.functions.numeric import INF, display, is_infinite, ratio, to_number
 from flowsift.functions.text import binary_label, category_label, na_to_null
-from flowsift.operators.small import pin_small
 from flowsift.spec import BENIGN, DEFAULT_SPEC, FlowSpec
 
 BAD_TEXT = "_bad_text"
@@ -120,14 +119,10 @@ def clean_report(deduped: DataFrame, features: list[str]) -> DataFrame:
     return deduped.agg(*[c.alias(k) for k, c in _report_columns(features).items()])
 
 
-def write_cleaned(deduped: DataFrame, features: list[str], path: str) -> dict:
-    """Write the cleaned table and return the report counts.
-
-    Land `deduped` first, both steps read it. The counts are an aggregate and no
-    Observation: once a session has one, Spark 4.1 cannot ship linear SVM models.
-    """
+def write_cleaned(deduped: DataFrame, features: list[str], path: str) -> DataFrame:
+    """Write the cleaned table and read it back."""
     drop_unusable(deduped, features).drop(COPIES).write.mode("overwrite").parquet(path)
-    return clean_report(deduped, features).first().asDict()
+    return deduped.sparkSession.read.parquet(path)
 
 
 def class_distribution(df: DataFrame, label: str, digits: int | None = None) -> DataFrame:
@@ -150,36 +145,28 @@ def imbalance(df: DataFrame, label: str, digits: int | None = None) -> DataFrame
 def validation_report(
     deduped: DataFrame, features: list[str], missing: list[str],
     spec: FlowSpec = DEFAULT_SPEC, source: str | None = None, fingerprint: str | None = None,
+    corrupt: int = 0,
 ) -> DataFrame:
-    """The whole report as one row: counts, features and class tables as maps.
+    """The whole report as one row: counts, features and the two classes as maps.
 
-    original_class_distribution is NULL when there are too many raw labels for one
-    row; class_distribution on the raw label gives it as a table of any size.
+    Raw labels are free text, so their distribution is a table of its own:
+    class_distribution of the raw label. `corrupt` is the number of malformed lines
+    that were set aside when the files were read.
     """
     label, original = spec.label_col, spec.original_label_col
-    cells = deduped.groupBy(F.col(f"`{label}`").alias("label"), F.col(f"`{original}`").alias("raw"))
-    cells, few = pin_small(cells.agg(*[c.alias(k) for k, c in _report_columns(features).items()]))
-    counts = [F.sum(k).alias(k) for k in _report_columns(features)]
-    if few is None:  # more labels than one row should hold
-        cells = cells.groupBy("label").agg(*counts).withColumn("raw", F.lit(None).cast("string"))
-
-    by_class = cells.groupBy("label").agg(*counts, F.collect_list(
-        F.struct("raw", F.col("cleaned_rows").alias("n"))).alias("raws"))
+    by_class = deduped.groupBy(F.col(f"`{label}`").alias("label")).agg(
+        *[c.alias(k) for k, c in _report_columns(features).items()])
     entry = F.struct(F.col("label"), F.col("cleaned_rows"))
     row = by_class.agg(
-        *counts,
+        *[F.coalesce(F.sum(k), F.lit(0).cast("bigint")).alias(k) for k in _report_columns(features)],
         F.sort_array(F.collect_list(F.when(F.col("cleaned_rows") > 0, entry))).alias("classes"),
-        F.flatten(F.collect_list("raws")).alias("raws"),
     )
-    kept = F.filter("raws", lambda r: r["raw"].isNotNull() & (r["n"] > 0))
-    names = F.array_sort(F.array_distinct(F.transform(kept, lambda r: r["raw"])))
-    n_of = F.transform(names, lambda x: F.aggregate(
-        F.filter(kept, lambda r: r["raw"] == x), F.lit(0).cast("bigint"), lambda a, r: a + r["n"]))
     sizes = F.transform("classes", lambda c: c["cleaned_rows"])
     two = (F.size("classes") == 2) & (F.array_min(sizes) > 0)
     return row.select(
         F.lit(source).cast("string").alias("dataset_path"),
         F.lit(fingerprint).cast("string").alias("dataset_hash"),
+        F.lit(corrupt).cast("bigint").alias("corrupt_rows"),
         *_report_columns(features),
         F.array(*[F.lit(f) for f in spec.features]).alias("features_requested"),
         F.array(*[F.lit(f) for f in features]).alias("features_resolved"),
@@ -191,8 +178,6 @@ def validation_report(
         ))).alias("class_percentages"),
         F.when(two, F.round(F.array_max(sizes) / F.array_min(sizes), 2)).otherwise(0.0)
         .alias("imbalance_ratio"),
-        (F.map_from_arrays(names, n_of) if few is not None
-         else F.lit(None).cast("map<string,bigint>")).alias("original_class_distribution"),
         F.array(*[F.lit(c) for c in [*features, label, original]]).alias("columns"),
     )
 

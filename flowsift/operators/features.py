@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flowsift.functions.text import encode_label
+from flowsift.operators.numbering import numbered
 from flowsift.operators.small import pin_small, unpivot_row
 from flowsift.spec import DEFAULT_SPEC, FlowSpec
 
@@ -26,8 +27,7 @@ def label_index(df: DataFrame, label: str) -> DataFrame:
     """Label and its index in sorted order, one row per label."""
     c = F.col(f"`{label}`")
     labels = df.where(c.isNotNull()).select(c.alias("class")).distinct()
-    order = Window.partitionBy(F.lit(0)).orderBy("class")  # one row per label
-    return labels.withColumn("index", (F.row_number().over(order) - 1).cast("int"))
+    return numbered(labels, ["class"], "index").withColumn("index", F.col("index").cast("int"))
 
 
 def index_labels(df: DataFrame, label: str, out: str = "y") -> DataFrame:

@@ -59,9 +59,19 @@ def confusion_long(df: DataFrame, y: str, p: str) -> DataFrame:
         F.count(F.lit(1)).alias("n"))
 
 
-def confusion_matrix(df: DataFrame, y: str, p: str, classes: list) -> DataFrame:
-    """k x k matrix: one row per true class, one column per predicted class."""
+def confusion_matrix(df: DataFrame, y: str, p: str, classes: list | None = None) -> DataFrame:
+    """k x k matrix: one row per true class, one column per predicted class.
+
+    The classes are the sorted labels of both columns. A list may add classes that do
+    not occur or set their order; a label that is not in it is an error.
+    """
     cells = confusion_long(df, y, p)
+    both = F.explode(F.array("truth", "predicted"))
+    seen = sorted(r[0] for r in cells.select(both.alias("c")).distinct().collect() if r[0] is not None)
+    if classes is None:
+        classes = seen
+    elif set(seen) - set(classes):
+        raise ValueError(f"Labels outside the given classes: {sorted(set(seen) - set(classes))}")
     counts = cells.groupBy("truth").pivot("predicted", classes).agg(F.sum("n"))
     rows = df.sparkSession.createDataFrame([(c,) for c in classes], cells.select("truth").schema)
     return rows.join(counts, "truth", "left").na.fill(0)

@@ -30,10 +30,13 @@ from flowsift.functions.numeric import display
 from flowsift.operators.features import Scaling, cell_variance, fit_scaling, with_class_weights
 from flowsift.operators.fourier import RandomFourier
 from flowsift.operators.sampling import assign_folds
+from flowsift.sources import artifacts
 from flowsift.spec import CV_FOLDS, RBF_GRID, SEED
 
 LABEL, WEIGHT = "y", "weight"
-MAX_ITER, TOLERANCE = 50, 1e-4
+# Solvers run until the objective's relative change is below the tolerance. The count is
+# only there to end a run that never gets there, which Fitted.converged tells.
+MAX_ITER, TOLERANCE = 10_000, 1e-4
 DIMENSIONS = 512
 CELLS_PER_TASK = 4_000_000
 
@@ -49,6 +52,17 @@ class Fitted:
     gamma: float | str | None = None
     seconds: float = 0.0
     grid: list[dict] = field(default_factory=list)
+    iterations: int | None = None
+    converged: bool | None = None
+
+    def __post_init__(self) -> None:
+        """Steps of the last solver, and whether it ended by its tolerance."""
+        last = self.model.stages[-1]
+        if getattr(last, "hasSummary", False):
+            summary = last.summary() if callable(last.summary) else last.summary
+            self.iterations = int(summary.totalIterations)
+            if hasattr(last, "getMaxIter"):
+                self.converged = self.iterations < last.getMaxIter()
 
 
 def prepare(train: DataFrame, features: list[str]) -> DataFrame:
@@ -81,7 +95,7 @@ def build_svm(
 ) -> Pipeline:
     """Scaler and SVM for n training rows. kernel "rbf" puts random Fourier features between."""
     if kernel not in ("linear", "rbf"):
-        raise ValueError(f"Unknown kernel: {kernel}")
+        raise ValueError(f"kernel {kernel!r} is neither linear nor rbf")
     stages = scaling_stages(features, n)
     source = "scaled"
     if kernel == "rbf":
@@ -107,10 +121,12 @@ def build_logistic_regression(features: list[str], n: int, C: float = 1.0) -> Pi
 
 
 def build_random_forest(
-    features: list[str], n: int, trees: int = 100, max_depth: int = 10, seed: int = SEED
+    features: list[str], n: int, trees: int = 100, max_depth: int = 30, seed: int = SEED
 ) -> Pipeline:
-    return Pipeline(stages=[*scaling_stages(features, n), RandomForestClassifier(
-        featuresCol="scaled", labelCol=LABEL, weightCol=WEIGHT, numTrees=trees,
+    """Trees need no scaling. 30 is the deepest that MLlib grows."""
+    assembler = VectorAssembler(inputCols=features, outputCol="assembled")
+    return Pipeline(stages=[assembler, RandomForestClassifier(
+        featuresCol="assembled", labelCol=LABEL, weightCol=WEIGHT, numTrees=trees,
         maxDepth=max_depth, featureSubsetStrategy="sqrt", seed=seed)])
 
 
@@ -126,13 +142,21 @@ def _fit(
     try:
         n = held.count()
         start = time.perf_counter()
-        data = few_tasks(prepare(held, features), n * (width or len(features)))
+        data = placed(prepare(held, features), features, n * (width or len(features)))
         model = build(held, n).fit(data)
         return model, time.perf_counter() - start
     finally:
         held.unpersist()
 
 
+def placed(df: DataFrame, features: list[str], cells: int) -> DataFrame:
+    """Rows in partitions and in an order that their content decides: a forest draws its samples
+    per partition, so the fit depends on nothing else."""
+    tasks = max(1, math.ceil(cells / CELLS_PER_TASK))
+    content = [F.col(f"`{f}`") for f in features] + [F.col(LABEL)]
+    return df.repartition(tasks, F.xxhash64(*content)).sortWithinPartitions(*content)
+
+
 def few_tasks(df: DataFrame, cells: int) -> DataFrame:
     """No more partitions than the data is worth: every solver step is a job over all of them."""
     return df.coalesce(max(1, math.ceil(cells / CELLS_PER_TASK)))
@@ -210,15 +234,18 @@ def search_rbf_svm(
         data.unpersist()
 
 
+# Kind of model -> the name it has in result tables, and its builder.
+BENCHMARKS = {
+    "logistic_regression": ("Logistic Regression", build_logistic_regression),
+    "random_forest": ("Random Forest", build_random_forest),
+}
+
+
 def train_benchmark(kind: str, train: DataFrame, features: list[str], **settings) -> Fitted:
-    builders = {
-        "logistic_regression": build_logistic_regression,
-        "random_forest": build_random_forest,
-    }
-    if kind not in builders:
-        raise ValueError(f"Unknown benchmark model: {kind}")
-    model, seconds = _fit(
-        train, features, lambda held, n: builders[kind](features, n, **settings))
+    if kind not in BENCHMARKS:
+        raise ValueError(f"{kind!r} is none of the benchmark models {sorted(BENCHMARKS)}")
+    build = BENCHMARKS[kind][1]
+    model, seconds = _fit(train, features, lambda held, n: build(features, n, **settings))
     return Fitted(model, features, kind, None, None, seconds)
 
 
@@ -231,7 +258,7 @@ def load_model(spark: SparkSession, path: str) -> PipelineModel:
     try:
         spark.read.text(f"{path.rstrip('/')}/metadata")
     except AnalysisException as error:
-        raise FileNotFoundError(f"No model found at {path}") from error
+        raise FileNotFoundError(f"{path} holds no saved pipeline") from error
     return PipelineModel.load(path)
 
 
@@ -253,7 +280,7 @@ def model_info(fitted: Fitted, train: DataFrame) -> dict:
     if fitted.kernel not in ("linear", "rbf"):
         return {
             "type": type(last).__name__.removesuffix("Model").removesuffix("Classification"),
-            "kernel": "N/A (not SVM)", "n_features": len(fitted.features),
+            "kernel": None, "n_features": len(fitted.features),
         }
     counts = {str(int(r["y"])): r["n"] for r in support_vectors(fitted, train).collect()}
     info = {
@@ -276,6 +303,19 @@ def support_vectors(fitted: Fitted, train: DataFrame) -> DataFrame:
     return scored.groupBy(LABEL).agg(F.count_if(margin <= 1.0).alias("n"))
 
 
+def svm_objective(df: DataFrame, y: str, score: Column, squared_norm: float, C: float) -> DataFrame:
+    """What a linear SVM minimises, |w|^2 / 2 + C * sum(weight * hinge), for any score column:
+    per class the rows, those on or inside the margin and their weighted hinge loss."""
+    weighted = with_class_weights(df, y, "_w")
+    sign = F.when(F.col(y) == 1, 1.0).otherwise(-1.0)
+    hinge = F.greatest(F.lit(0.0), 1.0 - sign * score)
+    per = weighted.groupBy(y).agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(sign * score <= 1.0).alias("inside"),
+        F.sum(F.col("_w") * hinge).alias("hinge"))
+    total = per.agg(F.sum("hinge")).scalar()
+    return per.withColumn("objective", F.lit(squared_norm / 2) + F.lit(float(C)) * total)
+
+
 # --- multiclass -----------------------------------------------------------------
 
 
@@ -312,6 +352,24 @@ class PairwiseSVM:
             total = total + self.scaling.column(f) * F.lit(w)
         return total
 
+    def save(self, spark: SparkSession, path: str) -> str:
+        """Scaling and coefficients as JSON; load gives the model back."""
+        state = {
+            "features": self.features, "mean": self.scaling.mean, "std": self.scaling.std,
+            "classes": self.classes,
+            "pairs": [[a, b, w, c] for (a, b), (w, c) in self.pairs.items()],
+        }
+        return artifacts.save_metadata(spark, state, path)
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> "PairwiseSVM":
+        state = artifacts.load_metadata(spark, path)
+        if not state:
+            raise FileNotFoundError(f"{path} holds no saved pairwise model")
+        scaling = Scaling(state["features"], state["mean"], state["std"])
+        pairs = {(a, b): (w, c) for a, b, w, c in state["pairs"]}
+        return cls(state["features"], scaling, state["classes"], pairs)
+
     def transform(self, df: DataFrame) -> DataFrame:
         wins = {
             f"_w{a}_{b}": F.when(self.score((a, b)) > 0, F.lit(a)).otherwise(F.lit(b))

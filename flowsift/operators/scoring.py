@@ -18,7 +18,7 @@ class MissingFeatures(ValueError):
     """Required columns are absent."""
 
     def __init__(self, missing: list[str], available: list[str], required: list[str]):
-        super().__init__(f"Missing required features: {missing}")
+        super().__init__(f"no column for {len(missing)} of {len(required)} features: {missing}")
         self.missing, self.available, self.required = missing, available, required
 
 
@@ -65,6 +65,15 @@ def usable_features(df: DataFrame, features: list[str]) -> DataFrame:
     return df.withColumns({f: finite(to_number(F.col(f"`{f}`"), t)) for f, t in types.items()})
 
 
+def _set_aside(df: DataFrame, features: list[str]) -> tuple[DataFrame, list[Column]]:
+    """Usable features under their names, and the input's columns as they were read."""
+    held = {f"_raw_{i}": F.col(f"`{f}`") for i, f in enumerate(features)}
+    ready = usable_features(require_columns(df, features).withColumns(held), features)
+    read = [F.col(f"_raw_{features.index(c)}").alias(c) if c in features else F.col(f"`{c}`")
+            for c in df.columns]
+    return ready, read
+
+
 def all_present(features: list[str]) -> Column:
     return reduce(and_, [F.col(f"`{f}`").isNotNull() for f in features])
 
@@ -81,10 +90,11 @@ def score_rows(
 
     The score is a column expression, so the whole step stays in generated code.
     """
-    ready = usable_features(require_columns(df, features), features)
-    value = F.when(all_present(features), score)
-    return ready.withColumn("decision_score", value).withColumn(
-        "prediction", class_of(F.col("decision_score"), threshold))
+    ready, read = _set_aside(df, features)
+    scored = ready.withColumn("_score", F.when(all_present(features), score))
+    return scored.select(
+        *read, F.col("_score").alias("decision_score"),
+        class_of(F.col("_score"), threshold).alias("prediction"))
 
 
 def decision_of(model: PipelineModel) -> Column:
@@ -100,17 +110,12 @@ def decision_of(model: PipelineModel) -> Column:
 
 def score_with_model(df: DataFrame, model: PipelineModel, features: list[str]) -> DataFrame:
     """score_rows for a fitted MLlib pipeline. All rows are kept."""
-    ready = usable_features(require_columns(df, features), features)
-    valid = all_present(features)
-    filled = ready.withColumn("_valid", valid).withColumns(
-        {f"_raw_{i}": F.col(f"`{f}`") for i, f in enumerate(features)}
-    ).withColumns({f: F.coalesce(F.col(f"`{f}`"), F.lit(0.0)) for f in features})
-    out = model.transform(filled)
-    scored = out.withColumn("decision_score", F.when(F.col("_valid"), decision_of(model)))
-    named = scored.withColumn("_class", class_of(F.col("decision_score")))
-    keep = [F.col(f"`{c}`") if c not in features else
-            F.col(f"_raw_{features.index(c)}").alias(c) for c in df.columns]
-    return named.select(*keep, "decision_score", F.col("_class").alias("prediction"))
+    ready, read = _set_aside(df, features)
+    filled = ready.withColumn("_valid", all_present(features)).withColumns(
+        {f: F.coalesce(F.col(f"`{f}`"), F.lit(0.0)) for f in features})
+    scored = model.transform(filled).withColumn("_score", F.when(F.col("_valid"), decision_of(model)))
+    return scored.select(
+        *read, F.col("_score").alias("decision_score"), class_of(F.col("_score")).alias("prediction"))
 
 
 def score_summary(scored: DataFrame) -> DataFrame:

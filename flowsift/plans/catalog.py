@@ -4,21 +4,22 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flowsift.functions.numeric import finite, is_infinite, to_number
+from flowsift.functions.numeric import finite, is_infinite, nan_to_null, to_number
 from flowsift.functions.text import binary_label, category_label, decode_label, encode_label
 from flowsift.operators import clean, features, importance, metrics, models, sampling, scoring, stats
 from flowsift.plans import jobs
 from flowsift.plans import tables as T
-from flowsift.session import scratch_path
+from flowsift.session import landed, scratch_path
 from flowsift.sources import artifacts, flow_files
 from flowsift.streaming import flows as streams
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
-SAMPLE, PER_CLASS, ANY = 20000, 2000, 5000
+SAMPLE, PER_CLASS, ANY, TRAINING = 20000, 2000, 5000, 1500
 SPLIT_DAY, SPLIT_YEAR = "2024-01-16", 1998
 
 
@@ -32,13 +33,13 @@ def query(fn: Query) -> Query:
 
 @query
 def flow_label_binary(spark, sf):
-    return T.event_flows(spark, sf).select(
+    return T.labelled_flows(spark, sf).select(
         *T.EV_KEY, "raw_label", binary_label(F.col("raw_label")).alias("label"))
 
 
 @query
 def flow_label_multiclass(spark, sf):
-    return T.event_flows(spark, sf).select(
+    return T.labelled_flows(spark, sf).select(
         *T.EV_KEY, "raw_label", category_label(F.col("raw_label")).alias("category"))
 
 
@@ -100,8 +101,7 @@ def flow_validation_report(spark, sf):
               "nan_rows_dropped"]
     return report.select(
         *counts, F.array_join("features_missing", ";").alias("features_missing"),
-        "num_features", _pairs("class_distribution"), _pairs("original_class_distribution"),
-        "imbalance_ratio")
+        "num_features", _pairs("class_distribution"), "imbalance_ratio")
 
 
 @query
@@ -126,14 +126,14 @@ def imbalance_ratio(spark, sf):
 
 @query
 def encode_labels(spark, sf):
-    flows = T.event_flows(spark, sf).withColumn("label", binary_label(F.col("raw_label")))
+    flows = T.labelled_flows(spark, sf).withColumn("label", binary_label(F.col("raw_label")))
     code = encode_label(F.col("label"))
     return flows.select(*T.EV_KEY, "label", code.alias("code"), decode_label(code).alias("back"))
 
 
 @query
 def multiclass_index(spark, sf):
-    labelled = clean.label_flows(T.event_flows(spark, sf), T.EV_SPEC)
+    labelled = clean.label_flows(T.labelled_flows(spark, sf), T.EV_SPEC)
     return features.index_labels(labelled, "original_label", "code").select(
         *T.EV_KEY, "original_label", "code")
 
@@ -168,8 +168,8 @@ def validate_records(spark, sf):
 @query
 def table_fingerprint(spark, sf):
     li = T.table(spark, sf, "lineitem")
-    return flow_files.row_fingerprint(
-        li, ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_returnflag", "l_linestatus"])
+    li = li.withColumn("l_shipdate", F.unix_micros(F.col("l_shipdate").cast("timestamp")))
+    return flow_files.row_fingerprint(li, T.LI_COLUMNS)
 
 
 @query
@@ -188,11 +188,55 @@ def _flow_csv(spark: SparkSession, sf: str) -> str:
     return path
 
 
+def _ragged_csv(spark: SparkSession, sf: str) -> str:
+    """Flow keys and sums as CSV lines, some with a field too many and some with one too few;
+    every file has a header."""
+    path = scratch_path(spark, "ragged-csv")
+    short = F.concat_ws(",", "user_id", "flow_day")
+    line = F.concat(short, F.lit(","), F.col("tot_fwd").cast("int").cast("string"))
+    kind = F.col("user_id") % 7
+    lines = T.event_flows(spark, sf).where("copy_no = 0").select(
+        F.when(kind == 1, F.concat(line, F.lit(",surplus"))).when(kind == 2, short).otherwise(line)
+        .alias("value"))
+
+    def with_header(batches):
+        first = True
+        for batch in batches:
+            if first:
+                batch = pd.concat([pd.DataFrame({"value": ["user_id,flow_day,Label"]}), batch])
+                first = False
+            yield batch
+
+    lines.mapInPandas(with_header, "value string").write.text(path)
+    return path
+
+
+@query
+def csv_ragged_rows(spark, sf):
+    """Lines of a CSV with malformed ones among them: values, or the whole line as it stands."""
+    rows = flow_files.read_flow_csv(spark, _ragged_csv(spark, sf))
+    good, bad = flow_files.split_corrupt(rows)
+    return good.select("user_id", "flow_day", F.lit(None).cast("string").alias("line")).unionByName(
+        bad.select(F.lit(None).cast("string").alias("user_id"),
+                   F.lit(None).cast("string").alias("flow_day"), "line"))
+
+
+@query
+def training_sample(spark, sf):
+    """Sample and split of the training run, from the flow CSV; keyed by what the rows hold."""
+    shaped, names, _ = flow_files.shape_flows(flow_files.split_corrupt(
+        flow_files.read_flow_csv(spark, _flow_csv(spark, sf)))[0], T.EV_SPEC, [flow_files.ROW_ID])
+    deduped = clean.clean_flows(shaped, names, [flow_files.ROW_ID], T.EV_SPEC)
+    sample = jobs.training_sample(
+        landed(clean.drop_unusable(deduped, names), "cleaned"), names, T.EV_SPEC, TRAINING)
+    return sample.select(jobs.KEY, F.col("raw_label").alias("label"), models.LABEL, "is_test")
+
+
 @query
 def csv_scan_clean(spark, sf):
     """Flows written as a messy CSV, read back, resolved and cleaned."""
-    shaped, names, _ = flow_files.shape_flows(
-        flow_files.read_flow_csv(spark, _flow_csv(spark, sf)), T.EV_SPEC, [flow_files.ROW_ID])
+    shaped, names, _ = flow_files.shape_flows(flow_files.split_corrupt(
+        flow_files.read_flow_csv(spark, _flow_csv(spark, sf)))[0], T.EV_SPEC, [flow_files.ROW_ID])
     deduped = clean.clean_flows(shaped, names, [flow_files.ROW_ID], T.EV_SPEC)
     return clean.drop_unusable(deduped, names).select(
         *names, F.col("raw_label").alias("label"), "original_label")
@@ -275,8 +319,8 @@ def standardize(spark, sf):
 @query
 def cell_variance(spark, sf):
     li = T.lineitem_flows(spark, sf)
-    scaled = features.fit_scaling(li, T.LI_FEATURES[:2]).transform(li)
-    out = features.cell_variance(scaled, T.LI_FEATURES)
+    li = li.withColumn("l_extendedprice", F.col("l_extendedprice") / 1000)
+    out = features.cell_variance(li, T.LI_FEATURES)
     return out.select(*[F.round(c, 6).alias(c) for c in out.columns])
 
 
@@ -287,9 +331,7 @@ def feature_statistics(spark, sf):
 
 @query
 def feature_statistics_flows(spark, sf):
-    flows = T.event_flows(spark, sf)
-    names = ["flow_duration", "len_fwd", "len_bwd", "fwd_mean", "rst", "ack"]
-    return stats.feature_statistics(flows, names, 3)
+    return stats.feature_statistics(_cleaned(spark, sf), T.EV_FEATURES, 3)
 
 
 @query
@@ -302,11 +344,10 @@ def distribution_compare(spark, sf):
 @query
 def distribution_compare_tables(spark, sf):
     """The same comparison for two tables: flows of two periods."""
-    flows = T.event_flows(spark, sf)
-    names = ["len_fwd", "len_bwd", "rst", "ack", "tot_fwd"]
+    flows = _cleaned(spark, sf)
     day = F.col("flow_day")
     return stats.distribution_comparison(
-        flows.where(day < SPLIT_DAY), flows.where(day >= SPLIT_DAY), names, (4, 2))
+        flows.where(day < SPLIT_DAY), flows.where(day >= SPLIT_DAY), T.EV_FEATURES, (4, 2))
 
 
 @query
@@ -361,8 +402,7 @@ def confusion_multiclass(spark, sf):
 
 @query
 def confusion_pivot(spark, sf):
-    return metrics.confusion_matrix(
-        T.category_flows(spark, sf), "truth", "called", ["BENIGN", "Bot", "DDoS"])
+    return metrics.confusion_matrix(T.category_flows(spark, sf), "truth", "called")
 
 
 @query
@@ -377,10 +417,9 @@ def threshold_sweep(spark, sf):
 
 @query
 def drift_impact(spark, sf):
-    scored = T.scored_flows(spark, sf)
     day = F.col("flow_day")
-    return metrics.drift_impact(
-        scored.where(day < SPLIT_DAY), scored.where(day >= SPLIT_DAY), "y", "p")
+    return metrics.impact_of_sides(
+        T.scored_flows(spark, sf), day < SPLIT_DAY, day >= SPLIT_DAY, "y", "p")
 
 
 def _model_rows(spark: SparkSession, sf: str) -> DataFrame:
@@ -417,7 +456,8 @@ def _batch(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def score_batch(spark, sf):
     return _batch(spark, sf).select(
-        *T.EV_KEY, *T.SCORE_FEATURES, "bytes_s", "decision_score", "prediction")
+        *T.EV_KEY, *T.SCORE_FEATURES, nan_to_null(F.col("bytes_s")).alias("bytes_s"),
+        "decision_score", "prediction")
 
 
 @query
@@ -471,21 +511,14 @@ def experiment_runs(spark, sf):
     return artifacts.list_runs(spark, root).select("experiment_id", "config", "metrics")
 
 
-# --- fitted models (no SQL twin) ------------------------------------------------
-
-
-def _landed(df: DataFrame, name: str) -> DataFrame:
-    """Written to the shared scratch folder and read back: fits make many passes."""
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+# --- fitted models --------------------------------------------------------------
 
 
 def _split_flows(spark: SparkSession, sf: str) -> DataFrame:
-    flows = _landed(
+    flows = landed(
         jobs.cleaned_for_training(T.event_flows(spark, sf), T.EV_FEATURES, T.EV_KEY, T.EV_SPEC),
         "cleaned")
-    return _landed(sampling.train_test_split(flows, T.EV_KEY, models.LABEL), "split")
+    return landed(sampling.train_test_split(flows, T.EV_KEY, models.LABEL), "split")
 
 
 def _scores(split: DataFrame, fitted: models.Fitted) -> DataFrame:
@@ -585,8 +618,8 @@ def model_importance(spark, sf):
 
 def _category_split(spark: SparkSession, sf: str) -> DataFrame:
     cleaned = clean.add_category(_cleaned(spark, sf), "category", T.EV_SPEC)
-    flows = _landed(features.index_labels(cleaned, "category", models.LABEL), "categories")
-    return _landed(sampling.train_test_split(flows, T.EV_KEY, models.LABEL), "category-split")
+    flows = landed(features.index_labels(cleaned, "category", models.LABEL), "categories")
+    return landed(sampling.train_test_split(flows, T.EV_KEY, models.LABEL), "category-split")
 
 
 @query
@@ -606,11 +639,55 @@ def pairwise_scores(spark, sf):
 
 @query
 def multiclass_run(spark, sf):
-    cleaned = _landed(_cleaned(spark, sf), "cleaned")
+    cleaned = landed(_cleaned(spark, sf), "cleaned")
     done = jobs.multiclass_experiment(cleaned, T.EV_FEATURES, T.EV_KEY, T.EV_SPEC)
     return done[1]
 
 
+@query
+def category_split_sizes(spark, sf):
+    """Rows per category and side of the multiclass split."""
+    return _category_split(spark, sf).groupBy("category", models.LABEL, "is_test").agg(
+        F.count(F.lit(1)).alias("n"))
+
+
+@query
+def binary_split_sizes(spark, sf):
+    """Rows per label and side of the binary split that the model queries share."""
+    return _split_flows(spark, sf).groupBy(models.LABEL, "is_test").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query
+def pairwise_given(spark, sf):
+    """Votes of a pairwise model with given coefficients, saved and loaded before use."""
+    flows = T.event_flows(spark, sf)
+    scaling = features.fit_scaling(flows, T.GIVEN_FEATURES)
+    given = models.PairwiseSVM(T.GIVEN_FEATURES, scaling, [0, 1, 2], T.GIVEN_PAIRS)
+    loaded = models.PairwiseSVM.load(spark, given.save(spark, scratch_path(spark, "pairwise")))
+    return loaded.transform(flows).select(*T.EV_KEY, "prediction")
+
+
+@query
+def svm_objective_given(spark, sf):
+    """Objective, hinge loss and rows inside the margin for given coefficients."""
+    flows = T.scored_flows(spark, sf)
+    out = models.svm_objective(flows, "y", F.col("score"), T.GIVEN_NORM, 1.0)
+    return out.select("y", "n", "inside", F.round("hinge", 6).alias("hinge"),
+                      F.round("objective", 6).alias("objective"))
+
+
+@query
+def pca_two_features(spark, sf):
+    """Explained variance and loadings of two standardised columns."""
+    li = T.lineitem_flows(spark, sf)
+    two = T.LI_FEATURES[:2]
+    fitted = models.fit_pca(features.fit_scaling(li, two).transform(li), two, 2)
+    rows = [(f"pc{k + 1}", e, abs(w[0]), abs(w[1]))
+            for k, (e, w) in enumerate(zip(fitted.explained, fitted.loadings))]
+    return spark.createDataFrame(rows, "component string, explained double, a double, b double").select(
+        "component", *[F.round(c, 9).alias(c) for c in ("explained", "a", "b")])
+
+
 @query
 def pca_projection(spark, sf):
     li = T.lineitem_flows(spark, sf)
@@ -621,7 +698,7 @@ def pca_projection(spark, sf):
 
 @query
 def pca_explained(spark, sf):
-    flows = _landed(_cleaned(spark, sf), "cleaned")
+    flows = landed(_cleaned(spark, sf), "cleaned")
     scaled = features.fit_scaling(flows, T.EV_FEATURES).transform(flows)
     return models.fit_pca(scaled, T.EV_FEATURES, 2).table(spark)
 
@@ -663,7 +740,8 @@ def drift_run(spark, sf):
 
 def _event_stream(spark: SparkSession, sf: str) -> DataFrame:
     schema = T.table(spark, sf, "events").schema
-    raw = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf)
+    # As a pattern, so that the table may be a file or a folder of files.
+    raw = spark.readStream.schema(schema).parquet(f"{sf}/events.parque[t]")
     return raw.withColumn("ts", F.col("ts").cast("timestamp"))
 
 
@@ -676,17 +754,19 @@ def stream_score(spark, sf):
         "event_id", "decision_score", "prediction")
     path = scratch_path(spark, "stream-scores")
     streams.write_available(scored, path, scratch_path(spark, "stream-checkpoint")).awaitTermination()
-    return spark.read.parquet(path)
+    return spark.read.schema(scored.schema).parquet(path)
 
 
 @query
 def stream_quarantine(spark, sf):
     good, bad = scratch_path(spark, "valid"), scratch_path(spark, "quarantine")
-    streams.split_records(
-        T.as_records(_event_stream(spark, sf)), "record", ["k", "amount"], good, bad,
-        scratch_path(spark, "stream-checkpoint")).awaitTermination()
-    both = spark.read.parquet(good).withColumn("sink", F.lit("valid")).unionByName(
-        spark.read.parquet(bad).withColumn("sink", F.lit("quarantine")))
+    records = T.as_records(_event_stream(spark, sf))
+    streams.split_records(records, "record", ["k", "amount"], good, bad,
+                          scratch_path(spark, "stream-checkpoint")).awaitTermination()
+    checked = scoring.validate_records(records, "record", ["k", "amount"]).schema
+    sink = lambda path, name: spark.read.schema(checked).parquet(path).withColumn(
+        "sink", F.lit(name))
+    both = sink(good, "valid").unionByName(sink(bad, "quarantine"))
     return both.select(
         "event_id", "sink", F.array_join("missing_features", ";").alias("missing"),
         F.array_join("invalid_features", ";").alias("invalid"))

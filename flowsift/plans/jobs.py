@@ -8,11 +8,13 @@ from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from flowsift.functions.order import content_key
 from flowsift.functions.text import encode_label
 from flowsift.operators import metrics as M
 from flowsift.operators import models
 from flowsift.operators.clean import (
     add_category,
+    class_distribution,
     clean_flows,
     drop_unusable,
     validation_report,
@@ -23,22 +25,24 @@ from flowsift.operators.importance import linear_coefficients, model_permutation
 from flowsift.operators.sampling import stratified_sample, train_test_split
 from flowsift.operators.scoring import decision_of
 from flowsift.operators.stats import distribution_comparison, perturb_columns
+from flowsift.session import landed
 from flowsift.sources import artifacts
 from flowsift.sources.flow_files import (
+    CORRUPT,
     ROW_ID,
-    file_fingerprints,
+    fingerprint_columns,
     read_flow_csv,
-    row_fingerprint,
     shape_flows,
+    split_corrupt,
 )
 from flowsift.spec import DEFAULT_SPEC, SAMPLE_SIZE, SEED, FlowSpec
 
 RESULT = (
     "model string, kernel string, C string, gamma string, train_time double, "
-    "accuracy double, precision double, recall double, f1 double"
+    "iterations int, converged boolean, accuracy double, precision double, recall double, f1 double"
 )
 LINEAR, RBF = "Linear SVM", "RBF SVM (best)"
-FINGERPRINT_BYTES = 1 << 30  # larger files are fingerprinted by row
+KEY = "_key"  # content key of a cleaned row
 
 
 @dataclass
@@ -55,9 +59,20 @@ class BinaryRun:
     grid: list[dict] = field(default_factory=list)
 
 
+def scored_rows(fitted: models.Fitted, test: DataFrame, keep: list[str] = ()) -> DataFrame:
+    """Label, prediction and decision score of labelled rows, written once: metrics, sweep and
+    report read them without running the model again."""
+    scored = fitted.model.transform(test).select(
+        *keep, models.LABEL, "prediction", decision_of(fitted.model).alias("decision_score"))
+    return landed(scored, "scored")
+
+
 def evaluate(fitted: models.Fitted, test: DataFrame) -> dict:
     """Metrics and confusion counts of a fitted model on labelled rows."""
-    scored = fitted.model.transform(test)
+    return measure(fitted.model.transform(test))
+
+
+def measure(scored: DataFrame) -> dict:
     return M.binary_metrics(scored, models.LABEL, "prediction").first().asDict()
 
 
@@ -66,6 +81,7 @@ def result_row(spark: SparkSession, name: str, fitted: models.Fitted, m: dict) -
     row = (
         name, fitted.kernel if svm else "N/A", str(fitted.C) if svm else "N/A",
         str(fitted.gamma) if fitted.gamma is not None else "N/A", float(fitted.seconds),
+        fitted.iterations, fitted.converged,
         m["accuracy"], m["precision"], m["recall"], m["f1"],
     )
     return spark.createDataFrame([row], RESULT)
@@ -82,11 +98,12 @@ def binary_experiment(
         LINEAR: models.train_linear_svm(train, features, 1.0, **linear_settings),
         RBF: models.search_rbf_svm(train, features, key, grid, seed=seed, **settings),
     }
-    measured = {name: evaluate(f, test) for name, f in fits.items()}
+    scores = {name: scored_rows(f, test) for name, f in fits.items()}
+    measured = {name: measure(rows) for name, rows in scores.items()}
     comparison = M.compare_models([result_row(spark, n, fits[n], measured[n]) for n in fits])
     best_name = M.best_model(comparison, [LINEAR, RBF]).first()["model"]
     best = fits[best_name]
-    scored = best.model.transform(test).withColumn("decision_score", decision_of(best.model))
+    scored = scores[best_name]
     if best.kernel == "linear":
         weights = best.model.stages[-1].coefficients
         importance = linear_coefficients(spark, features, list(weights))
@@ -109,22 +126,25 @@ def benchmark_experiment(
 ) -> DataFrame:
     """Logistic regression and random forest result rows."""
     rows = []
-    for kind, name in (("logistic_regression", "Logistic Regression"),
-                       ("random_forest", "Random Forest")):
+    for kind, (name, _) in models.BENCHMARKS.items():
         fitted = models.train_benchmark(kind, train, features, **(settings or {}).get(kind, {}))
         rows.append(result_row(train.sparkSession, name, fitted, evaluate(fitted, test)))
     return M.compare_models(rows)
 
 
+def ablation_subsets(features: list[str], spec: FlowSpec) -> list[tuple[str, str, list[str]]]:
+    """Name, description and features of every ablation that leaves two features or more."""
+    subsets = [(name, text, [f for f in spec.without_groups(excluded) if f in features])
+               for name, (text, excluded) in spec.ablations.items()]
+    return [s for s in subsets if len(s[2]) >= 2]
+
+
 def ablation_experiment(
     train: DataFrame, test: DataFrame, features: list[str], spec: FlowSpec, **settings
 ) -> DataFrame:
     """Linear SVM per feature subset on the same split; subsets below two features are left out."""
     rows = []
-    for name, (description, excluded) in spec.ablations.items():
-        subset = [f for f in spec.without_groups(excluded) if f in features]
-        if len(subset) < 2:
-            continue
+    for name, description, subset in ablation_subsets(features, spec):
         fitted = models.train_linear_svm(train, subset, **settings)
         m = evaluate(fitted, test)
         rows.append((name, description, len(subset), subset, m["accuracy"], m["precision"],
@@ -137,8 +157,8 @@ def ablation_experiment(
 def multiclass_experiment(
     sample: DataFrame, features: list[str], key: list[str], spec: FlowSpec, seed: int = SEED,
     **settings,
-) -> tuple[DataFrame, DataFrame, models.PairwiseSVM] | None:
-    """Pairwise linear SVM over the attack categories: metrics, report, model.
+) -> tuple[DataFrame, DataFrame, DataFrame, models.PairwiseSVM] | None:
+    """Pairwise linear SVM over the attack categories: metrics, report, confusion counts, model.
 
     None when there are not more than two categories.
     """
@@ -148,10 +168,12 @@ def multiclass_experiment(
     indexed = index_labels(named, "category", models.LABEL)
     split = train_test_split(indexed, key, models.LABEL, seed=seed)
     fitted = models.train_pairwise_svm(split.where("not is_test"), features, **settings)
-    scored = fitted.transform(split.where("is_test"))
+    scored = landed(
+        fitted.transform(split.where("is_test")).select(models.LABEL, "prediction"), "scored")
     return (
         M.multiclass_metrics(scored, models.LABEL, "prediction"),
         M.classification_report(scored, models.LABEL, "prediction"),
+        M.confusion_long(scored, models.LABEL, "prediction"),
         fitted,
     )
 
@@ -170,12 +192,29 @@ def drift_run(
     )
 
 
-def fingerprint(spark: SparkSession, path: str, raw: DataFrame) -> str:
-    """File hash of a single file of moderate size, else a row fingerprint of the table."""
-    files = file_fingerprints(spark, path).drop("fingerprint").limit(2).collect()
-    if len(files) == 1 and files[0]["bytes"] <= FINGERPRINT_BYTES:
-        return file_fingerprints(spark, path).first()["fingerprint"]
-    return row_fingerprint(raw, [c for c in raw.columns if c != ROW_ID]).first()["fingerprint"]
+def input_summary(raw: DataFrame) -> dict:
+    """Fingerprint of all rows, whatever the number of files, and the number of malformed lines.
+    One pass over the files."""
+    values = [c for c in raw.columns if c != ROW_ID]
+    rows, fingerprint = fingerprint_columns(raw, values)
+    return raw.agg(
+        rows.alias("rows"), fingerprint.alias("fingerprint"),
+        F.count(F.col(CORRUPT)).alias("corrupt")).first().asDict()
+
+
+def training_sample(
+    cleaned: DataFrame, features: list[str], spec: FlowSpec, size: int, seed: int = SEED
+) -> DataFrame:
+    """Sample of cleaned rows with `y` and `is_test`.
+
+    Cleaned rows differ in features or label, so a hash of these is their key: sample, split
+    and folds depend on the rows alone, not on files, folders or partitions.
+    """
+    key = content_key(cleaned, [*features, spec.label_col])
+    sample = stratified_sample(
+        cleaned.drop(ROW_ID).withColumn(KEY, key), size, spec.label_col, [KEY], seed)
+    encoded = sample.withColumn(models.LABEL, encode_label(F.col(f"`{spec.label_col}`")))
+    return train_test_split(encoded, [KEY], models.LABEL, seed=seed)
 
 
 def training_run(
@@ -187,28 +226,31 @@ def training_run(
     """Load, clean, sample, split, train, evaluate and save everything under `out`.
 
     Cleaned rows, sample and split are written once and read back, which cuts the
-    lineage before the iterative fits. Returns the run id.
+    lineage before the iterative fits. Malformed lines go to `quarantine`. Returns the run id.
     """
     run_id = artifacts.new_run_id(spark)
     home = f"{out.rstrip('/')}/{run_id}"
     raw = read_flow_csv(spark, path)
-    flows, features, missing = shape_flows(raw, spec, [ROW_ID])
-    deduped = clean_flows(flows, features, [ROW_ID], spec)
-    deduped.write.parquet(f"{home}/deduped")
+    known = input_summary(raw)
+    good, bad = split_corrupt(raw)
+    if known["corrupt"]:
+        bad.write.parquet(f"{home}/quarantine")
+    flows, features, missing = shape_flows(good, spec, [ROW_ID])
+    clean_flows(flows, features, [ROW_ID], spec).write.parquet(f"{home}/deduped")
     deduped = spark.read.parquet(f"{home}/deduped")
-    write_cleaned(deduped, features, f"{home}/cleaned")
+    cleaned = write_cleaned(deduped, features, f"{home}/cleaned")
     report = validation_report(
-        deduped, features, missing, spec, path, fingerprint(spark, path, raw))
-    artifacts.write_json(report, f"{home}/validation_report")
-    cleaned = spark.read.parquet(f"{home}/cleaned")
+        deduped, features, missing, spec, path, known["fingerprint"], known["corrupt"])
+    written = artifacts.write_json(report, f"{home}/validation_report")
+    report = artifacts.read_json(spark, written, report.schema).first().asDict(recursive=True)
+    artifacts.write_csv(
+        class_distribution(cleaned, spec.original_label_col), f"{home}/original_class_distribution")
 
-    sample = stratified_sample(cleaned, sample_size, spec.label_col, [ROW_ID], seed)
-    encoded = sample.withColumn(models.LABEL, encode_label(F.col(spec.label_col)))
-    train_test_split(encoded, [ROW_ID], models.LABEL, seed=seed).write.parquet(f"{home}/sample")
+    training_sample(cleaned, features, spec, sample_size, seed).write.parquet(f"{home}/sample")
     sample = spark.read.parquet(f"{home}/sample")
     train, test = sample.where("not is_test"), sample.where("is_test")
 
-    run = binary_experiment(train, test, features, [ROW_ID], grid, seed, repeats, **settings)
+    run = binary_experiment(train, test, features, [KEY], grid, seed, repeats, **settings)
     comparison = run.comparison
     fit_settings = {k: v for k, v in settings.items() if k in ("max_iter", "tol")}
     if benchmark:
@@ -217,13 +259,15 @@ def training_run(
     if multiclass:
         try:
             done = multiclass_experiment(
-                sample.drop("is_test", models.LABEL), features, [ROW_ID], spec, seed,
+                sample.drop("is_test", models.LABEL), features, [KEY], spec, seed,
                 **{k: v for k, v in fit_settings.items() if k == "max_iter"})
         except PySparkException as error:
             done, extra["multiclass_error"] = None, str(error)
         if done:
             artifacts.write_json(done[0], f"{home}/multiclass_metrics")
             artifacts.write_csv(done[1], f"{home}/multiclass_report")
+            artifacts.write_csv(done[2], f"{home}/multiclass_confusion")
+            done[3].save(spark, f"{home}/multiclass_model")
             extra["multiclass"] = done[0].first().asDict()
     if ablation:
         artifacts.write_json(
@@ -233,7 +277,7 @@ def training_run(
     artifacts.write_csv(run.sweep, f"{home}/threshold_analysis")
     artifacts.write_csv(run.report, f"{home}/classification_report")
     artifacts.write_csv(run.importance, f"{home}/feature_importance")
-    run.projection.drop(ROW_ID).write.parquet(f"{home}/pca_projection")
+    run.projection.drop(KEY).write.parquet(f"{home}/pca_projection")
     artifacts.write_json(artifacts.record(spark, run.metrics), f"{home}/metrics")
     models.save_model(run.best.model, f"{home}/model")
     info = models.model_info(run.best, train)
@@ -254,21 +298,40 @@ def training_run(
         "metrics": run.metrics,
         "model_info": info,
         "explained_variance": run.pca.explained,
-        "validation_report": report.first().asDict(recursive=True),
+        "validation_report": report,
         **extra,
     }
     artifacts.save_metadata(spark, meta, f"{home}/metadata")
+    artifacts.save_metadata(spark, training_summary(meta), f"{home}/training_summary")
     artifacts.save_run(
         spark, f"{out.rstrip('/')}/runs", run_id, config=meta, metrics=run.metrics,
         features={"features": features, "count": len(features)})
     return run_id
 
 
+def training_summary(meta: dict) -> dict:
+    """What a reader of a run wants first: data, models side by side, the chosen one."""
+    report = meta["validation_report"]
+    return {
+        "experiment_id": meta["experiment_id"], "dataset": meta["dataset"],
+        "rows": {k: report[k] for k in ("raw_rows", "cleaned_rows", "corrupt_rows")},
+        "classes": report["class_distribution"],
+        "train_size": meta["train_size"], "test_size": meta["test_size"],
+        "models": {r["model"]: {k: r[k] for k in ("f1", "train_time", "iterations", "converged")}
+                   for r in meta["results"]},
+        "best_model": meta["best_model"], "metrics": meta["metrics"],
+    }
+
+
 def score_file(spark: SparkSession, path: str, model_path: str, features: list[str]) -> DataFrame:
-    """Score every row of a CSV file with a saved model; unusable rows keep a NULL score."""
+    """Score every line of a CSV file with a saved model. Unusable rows keep a NULL score, and so
+    do malformed lines, which stand in `_corrupt` and have no values."""
     from flowsift.operators.scoring import require_columns, score_with_model
 
     rows = require_columns(read_flow_csv(spark, path), features)
+    broken = F.col(CORRUPT).isNotNull()
+    values = [c for c in rows.columns if c not in (CORRUPT, ROW_ID)]
+    rows = rows.withColumns({c: F.when(~broken, F.col(f"`{c}`")) for c in values})
     return score_with_model(rows, models.load_model(spark, model_path), features).drop(ROW_ID)
 
 

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from flowsift.operators.stats import shifted_features
 from flowsift.plans import tables as T
-from flowsift.plans.catalog import ANY, PER_CLASS, SAMPLE, SPLIT_DAY, SPLIT_YEAR
+from flowsift.plans.catalog import ANY, PER_CLASS, SAMPLE, SPLIT_DAY, SPLIT_YEAR, TRAINING
+from flowsift.spec import CATEGORIES as KNOWN
+from flowsift.spec import SEED
 
 SPACE_CLASS = (
     r"[\s\x{0b}\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
@@ -48,10 +49,14 @@ LABEL = (
     "or contains(lower(raw_label), 'benign') then 'BENIGN' else 'ATTACK' end"
 )
 ENDS = f"^{SPACE_CLASS}+|{SPACE_CLASS}+$"
+KINDS = " ".join(f"when '{raw}' then '{kind}'" for raw, kind in KNOWN.items())
 CATEGORY = f"""case when raw_label is null then 'BENIGN' else
-  case lower(regexp_replace(raw_label, '{ENDS}', '', 'g'))
-    when 'benign' then 'BENIGN' when 'ddos' then 'DDoS' when 'bot' then 'Bot'
-    when 'portscan' then 'PortScan' else 'Other' end end"""
+  case lower(regexp_replace(raw_label, '{ENDS}', '', 'g')) {KINDS} else 'Other' end end"""
+RAW_LABELS = "[" + ", ".join(f"'{x}'" for x in T.RAW_LABELS) + "]"
+LABELLED_FLOWS = f"""{EVENT_FLOWS},
+named_flows as (
+  select * replace (case when user_id % 50 <> 7
+    then {RAW_LABELS}[(user_id % {len(T.RAW_LABELS)} + 1)::int] end as raw_label) from flows)"""
 USABLE = " and ".join(f"isfinite({f})" for f in EV)
 DEDUPED = f"""{EVENT_FLOWS},
 labelled as (
@@ -212,18 +217,19 @@ select row_key, {", ".join(f"round(({f} - m_{f}) / s_{f}, 6) as {f}" for f in na
 
 
 def perturbed() -> str:
-    picked = shifted_features(T.LI_FEATURES)
+    names = ", ".join(f"('{f}')" for f in T.LI_FEATURES)
     out = []
     for f in T.LI_FEATURES:
-        if f not in picked:
-            out.append(f"round({f}, 5) as {f}")
-            continue
         h = f"md5(concat_ws('|', '42|{f}', row_key))"
         u1 = f"((('0x' || substr({h}, 1, 13))::bigint::double + 1.0::double) / 4503599627370496.0::double)"
         u2 = f"(('0x' || substr({h}, 14, 13))::bigint::double / 4503599627370496.0::double)"
         z = f"sqrt(-2.0::double * ln({u1})) * cos(2.0::double * pi() * {u2})"
-        out.append(f"round({f} + {z} * (select stddev_samp({f}) * 0.5::double from li), 5) as {f}")
-    return f"with {LI} select row_key, {', '.join(out)} from li"
+        out.append(f"""round({f} + case when '{f}' in (select f from picked)
+  then {z} * (select stddev_samp({f}) * 0.5::double from li) else 0 end, 5) as {f}""")
+    return f"""with {LI},
+picked as (select f from (values {names}) v(f) order by md5('{SEED}|' || f)
+           limit {max(1, len(T.LI_FEATURES) // 3)})
+select row_key, {', '.join(out)} from li"""
 
 
 def covariance() -> str:
@@ -236,12 +242,9 @@ def covariance() -> str:
 
 
 def cell_variance() -> str:
-    a, b, c, d = T.LI_FEATURES
+    of = [f"{f} / 1000" if f == "l_extendedprice" else f for f in T.LI_FEATURES]
     return f"""with {LI},
-s as (select avg({a}) as ma, stddev_pop({a}) as sa, avg({b}) as mb, stddev_pop({b}) as sb from li),
-cells as (
-  select ({a} - ma) / sa as v from li, s union all select ({b} - mb) / sb from li, s
-  union all select {c} from li union all select {d} from li)
+cells as ({" union all ".join(f"select {f} as v from li" for f in of)})
 select round(var_pop(v), 6) as variance, round(1.0 / (4.0 * var_pop(v)), 6) as gamma_scale
 from cells"""
 
@@ -265,20 +268,75 @@ def permutation() -> str:
         f"select '{f}' as feature, round(avg(x_{f}), 9) as importance_mean, "
         f"round(stddev_pop(x_{f}), 9) as importance_std from per" for f in names)
     return f"""with {SCORED},
-digits as (
-  select greatest(0, ceil(ln(count(*) / 50000.0) / ln(16)))::int as d from called),
 hashed as (
   select y, {", ".join(names)}, r.repeat_no,
-    substr(md5(concat_ws('|', '42|bucket', user_id, flow_day, copy_no)), 1, d) as bucket,
     md5(concat_ws('|', '', '42', r.repeat_no, user_id, flow_day, copy_no)) as h
-  from called, digits, range(1, 11) r(repeat_no)),
+  from called, range(1, 11) r(repeat_no)),
 paired as (
   select y, {", ".join(names)}, repeat_no, {donors} from hashed
-  window w as (partition by repeat_no, bucket order by h)),
+  window w as (partition by repeat_no order by h)),
 per as (select repeat_no, {drops} from paired group by 1)
 {rows}"""
 
 
+def row_text(columns: dict[str, str], doubles: list[str]) -> str:
+    """Values with their lengths; doubles as whole part and nine places."""
+    parts = []
+    for name, expr in columns.items():
+        text = f"({expr})::varchar"
+        if name in doubles:
+            places = f"floor(({expr} - floor({expr})) * 1e9::double + 0.5::double)::bigint"
+            text = f"(floor({expr})::bigint || '.' || {places})"
+        parts.append(f"coalesce(length({text}) || ':' || {text}, '-')")
+    return f"concat_ws('|', {', '.join(parts)})"
+
+
+def split_sizes(rows: str, label: str) -> str:
+    """Rows of each class on either side of a stratified split: sides(c, is_test, k)."""
+    return f"""split_n as (select {label} as c, count(*)::hugeint as n from {rows} group by 1),
+split_t as (
+  select c, n, sum(n) over ()::hugeint as total,
+    (sum(n) over () - ceil((sum(n) over ())::double * 0.2::double))::hugeint as n_train from split_n),
+split_q as (select *, (n * n_train) // total as quota, (n * n_train) % total as rest from split_t),
+split_turn as (
+  select *, n_train - sum(quota) over () as missing,
+    row_number() over (order by rest desc, c) as turn from split_q),
+sides as (
+  select c, n, s.is_test, cast(case when s.is_test then n - quota - (turn <= missing)::int
+    else quota + (turn <= missing)::int end as bigint) as k
+  from split_turn, (values (true), (false)) s(is_test))"""
+
+
+def training_sample() -> str:
+    key = row_text({**{f: f for f in EV}, "label": "label"}, EV)
+    hash_ = "md5(concat_ws('|', '42', _key))"
+    sampled = stratified_sample(
+        f"{CLEANED}, keyed as (select label, md5({key}) as _key from cleaned)", "keyed", "label",
+        hash_, TRAINING, "_key, label")
+    return f"""with sampled as ({sampled}),
+{split_sizes("sampled", "label")},
+ranked as (select *, row_number() over (partition by label order by {hash_}) as r from sampled)
+select _key, label, cast(label = 'ATTACK' as int) as y, r <= k as is_test
+from ranked join sides on c = label and is_test"""
+
+
+def pairwise_given() -> str:
+    names = T.GIVEN_FEATURES
+    scaled = {f: f"(({f} - m_{f}) / s_{f})" for f in names}
+    wins = []
+    for (a, b), (weights, intercept) in T.GIVEN_PAIRS.items():
+        total = " + ".join(f"{scaled[f]} * {w}::double" for f, w in zip(names, weights))
+        wins.append(f"case when {intercept}::double + {total} > 0 then {a} else {b} end as w{a}{b}")
+    pairs = ["w%d%d" % p for p in T.GIVEN_PAIRS]
+    votes = ", ".join(f"{' + '.join(f'({w} = {c})::int' for w in pairs)} as v{c}" for c in range(3))
+    return f"""with {EVENT_FLOWS},
+s as (select {", ".join(f"avg({f}) as m_{f}, stddev_pop({f}) as s_{f}" for f in names)} from flows),
+won as (select user_id, flow_day, copy_no, {", ".join(wins)} from flows, s),
+counted as (select *, {votes} from won)
+select user_id, flow_day, copy_no, cast(case when v0 >= greatest(v1, v2) then 0
+  when v1 >= v2 then 1 else 2 end as int) as prediction from counted"""
+
+
 def impact() -> str:
     both = f"""with {SCORED},
 b as (select {rates()} from (select {counts()} from called where flow_day < '{SPLIT_DAY}')),
@@ -356,10 +414,10 @@ INVENTORY = " union all ".join(
     for i, f in enumerate(T.EV_SPEC.features))
 
 ORACLE: dict[str, str] = {
-    "flow_label_binary": f"""with {EVENT_FLOWS}
-select user_id, flow_day, copy_no, raw_label, {LABEL} as label from flows""",
-    "flow_label_multiclass": f"""with {EVENT_FLOWS}
-select user_id, flow_day, copy_no, raw_label, {CATEGORY} as category from flows""",
+    "flow_label_binary": f"""with {LABELLED_FLOWS}
+select user_id, flow_day, copy_no, raw_label, {LABEL} as label from named_flows""",
+    "flow_label_multiclass": f"""with {LABELLED_FLOWS}
+select user_id, flow_day, copy_no, raw_label, {CATEGORY} as category from named_flows""",
     "flow_coerce": f"""with {EVENT_TEXT}
 select event_id, case when isfinite(number) then number end as value,
   coalesce(isinf(number), false) as infinite, number is null as missing from numbers""",
@@ -380,8 +438,7 @@ select cast(sum(copies) as bigint) as raw_rows, (select count(*) from cleaned) a
   count(*) filter (where not coalesce({USABLE}, false)) as nan_rows_dropped
 from deduped""",
     "flow_validation_report": f"""with {CLEANED},
-by_class as (select label, count(*) as n from cleaned group by 1),
-by_raw as (select original_label, count(*) as n from cleaned where original_label is not null group by 1)
+by_class as (select label, count(*) as n from cleaned group by 1)
 select cast(sum(copies) as bigint) as raw_rows, (select count(*) from cleaned) as cleaned_rows,
   cast(sum(copies) as bigint) - (select count(*) from cleaned) as removed_rows,
   cast(sum(copies) - count(*) as bigint) as duplicates_removed,
@@ -389,8 +446,6 @@ select cast(sum(copies) as bigint) as raw_rows, (select count(*) from cleaned) a
   count(*) filter (where not coalesce({USABLE}, false)) as nan_rows_dropped,
   'len_std' as features_missing, {len(EV)} as num_features,
   (select string_agg(label || '=' || n, ';' order by label) from by_class) as class_distribution,
-  (select string_agg(original_label || '=' || n, ';' order by original_label) from by_raw)
-    as original_class_distribution,
   (select case when count(*) = 2 then round(max(n)::double / min(n), 2) else 0 end from by_class)
     as imbalance_ratio
 from deduped""",
@@ -402,15 +457,15 @@ from deduped""",
 n_of as (select label, count(*) as n from cleaned group by 1)
 select count(*) as classes,
   case when count(*) = 2 then max(n)::double / min(n) else 0 end as imbalance_ratio from n_of""",
-    "encode_labels": f"""with {EVENT_FLOWS}
+    "encode_labels": f"""with {LABELLED_FLOWS}
 select user_id, flow_day, copy_no, {LABEL} as label,
   cast(case {LABEL} when 'BENIGN' then 0 when 'ATTACK' then 1 end as int) as code, {LABEL} as back
-from flows""",
-    "multiclass_index": f"""with {EVENT_FLOWS},
+from named_flows""",
+    "multiclass_index": f"""with {LABELLED_FLOWS},
 ix as (select raw_label as l, row_number() over (order by raw_label) - 1 as code
-       from (select distinct raw_label from flows where raw_label is not null))
+       from (select distinct raw_label from named_flows where raw_label is not null))
 select user_id, flow_day, copy_no, raw_label as original_label, cast(code as int) as code
-from flows left join ix on l = raw_label""",
+from named_flows left join ix on l = raw_label""",
     "ablation_projection": f"""with {EVENT_FLOWS}
 select user_id, flow_day, copy_no, flow_duration, tot_fwd, tot_bwd, len_fwd, len_bwd, fwd_mean,
   bwd_mean, len_mean, raw_label as y from flows""",
@@ -419,11 +474,44 @@ select feature, case when usable is null then 'Missing' else 'Available' end as
   description, any_value(usable) as usable from ({INVENTORY}) group by all""",
     "validate_records": f"""with {RECORDS}
 select event_id, missing = '' and invalid = '' as is_valid, missing, invalid from checked""",
-    "table_fingerprint": """
+    "table_fingerprint": f"""
 select count(*) as rows, substr(sha256(count(*)::varchar || '|' || sum(piece)::varchar), 1, 16)
   as fingerprint
-from (select ('0x' || substr(md5(concat_ws('|', l_orderkey, l_partkey, l_suppkey, l_linenumber,
-        l_returnflag, l_linestatus)), 1, 15))::bigint::hugeint as piece from lineitem)""",
+from (select ('0x' || substr(md5({row_text(
+    {f: "epoch_us(l_shipdate)" if f == "l_shipdate" else f for f in T.LI_COLUMNS}, T.LI_FEATURES)}),
+  1, 15))::bigint::hugeint as piece from lineitem)""",
+    "csv_ragged_rows": f"""with {EVENT_FLOWS},
+kept as (select user_id::varchar as u, flow_day as d, user_id % 7 as kind,
+           user_id || ',' || flow_day as short, tot_fwd::int as t from flows where copy_no = 0)
+select case when kind not in (1, 2) then u end as user_id,
+  case when kind not in (1, 2) then d end as flow_day,
+  case kind when 1 then short || ',' || t || ',surplus' when 2 then short end as line from kept""",
+    "training_sample": training_sample(),
+    "category_split_sizes": f"""with {CLEANED},
+rows_ as (select original_label as raw_label from cleaned),
+cats as (select {CATEGORY} as category from rows_),
+codes as (select category as c, row_number() over (order by category) - 1 as code
+          from (select distinct category from cats)),
+{split_sizes("cats", "category")}
+select c as category, cast(code as int) as y, is_test, k as n from sides join codes using (c) where k > 0""",
+    "binary_split_sizes": f"""with {CLEANED},
+{split_sizes("cleaned", "label")}
+select cast(c = 'ATTACK' as int) as y, is_test, k as n from sides where k > 0""",
+    "pairwise_given": pairwise_given(),
+    "svm_objective_given": f"""with {SCORED},
+w as (select y, count(*) as n, sum(count(*)) over ()::double / (count(*) over () * count(*)) as weight
+      from called group by 1),
+m as (select c.y, case when c.y = 1 then 1.0::double else -1.0::double end * score as margin, weight, n
+      from called c join w on c.y = w.y),
+per as (select y, any_value(n) as n, count(*) filter (where margin <= 1) as inside,
+          sum(weight * greatest(0::double, 1::double - margin)) as hinge from m group by 1)
+select y, n, inside, round(hinge, 6) as hinge,
+  round({T.GIVEN_NORM}::double / 2 + sum(hinge) over (), 6) as objective from per""",
+    "pca_two_features": f"""with {LI},
+r as (select abs(corr({T.LI_FEATURES[0]}, {T.LI_FEATURES[1]})) as r from li)
+select 'pc1' as component, round((1 + r) / 2, 9) as explained, round(sqrt(0.5::double), 9) as a,
+  round(sqrt(0.5::double), 9) as b from r
+union all select 'pc2', round((1 - r) / 2, 9), round(sqrt(0.5::double), 9), round(sqrt(0.5::double), 9) from r""",
     "csv_scan_clean": f"with {CLEANED} select {EV_LIST}, label, original_label from cleaned",
     "stratified_sample": stratified_sample(LI, "li", "l_returnflag", LI_HASH, SAMPLE, LI_COLS),
     "stratified_sample_flows": stratified_sample(
@@ -450,12 +538,11 @@ select user_id, flow_day, copy_no, raw_label, weight from named join w on c = ra
     "standardize": standardize(),
     "cell_variance": cell_variance(),
     "feature_statistics": statistics(LI, "li", T.LI_FEATURES, 4),
-    "feature_statistics_flows": statistics(
-        EVENT_FLOWS, "flows", ["flow_duration", "len_fwd", "len_bwd", "fwd_mean", "rst", "ack"], 3),
+    "feature_statistics_flows": statistics(CLEANED, "cleaned", EV, 3),
     "distribution_compare": comparison(
         LI, "li", T.LI_FEATURES, f"ship_year < {SPLIT_YEAR}", f"ship_year >= {SPLIT_YEAR}"),
     "distribution_compare_tables": comparison(
-        EVENT_FLOWS, "flows", ["len_fwd", "len_bwd", "rst", "ack", "tot_fwd"],
+        CLEANED, "cleaned", EV,
         f"flow_day < '{SPLIT_DAY}'", f"flow_day >= '{SPLIT_DAY}'"),
     "perturb_columns": perturbed(),
     "covariance_matrix": covariance(),
@@ -490,7 +577,9 @@ select round(sum(hits)::double / sum(support), 9) as accuracy, round(avg(f1), 9)
     "model_compare_best": f"""with {MODEL_ROWS}
 select * from model_rows order by f1 desc, list_position(['combined', 'resets', 'volume'], model)
 limit 1""",
-    "score_batch": f"with {BATCH} select * from predicted",
+    "score_batch": f"""with {BATCH}
+select p.* replace (case when not isnan(f.bytes_s) then f.bytes_s end as bytes_s)
+from predicted p join flows f using (user_id, flow_day, copy_no)""",
     "score_summary": f"""with {BATCH}
 select count(*) as total_rows, count(prediction) as valid_rows,
   count(*) - count(prediction) as nan_rows_dropped,

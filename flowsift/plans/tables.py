@@ -34,6 +34,13 @@ EV_SPEC = FlowSpec(
 )
 LI_FEATURES = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 LI_KEY = ["row_key"]
+LI_COLUMNS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", *LI_FEATURES, "l_returnflag",
+              "l_linestatus", "l_shipdate"]
+# Coefficients of models that are given and not fitted.
+GIVEN_FEATURES = ["rst", "len_fwd", "ack"]
+GIVEN_PAIRS = {(0, 1): ([0.5, -1.0, 0.25], 0.1), (0, 2): ([-0.75, 0.5, 0.0], -0.2),
+               (1, 2): ([1.0, 0.3, -0.6], 0.05)}
+GIVEN_NORM = 0.8 * 0.8 + 2 * 0.004 * 0.004
 SCORE_FEATURES = ["rst", "len_fwd", "len_bwd"]
 
 
@@ -91,6 +98,21 @@ def event_flows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: Raw labels of every kind: each known one as it is and in other writing, unknown and blank ones.
+RAW_LABELS = [
+    *CATEGORIES, *[f" {x.upper()}\t" for x in CATEGORIES],
+    "no such attack", "dos", "xss", "", "  ", "\t",
+]
+
+
+def labelled_flows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Flows whose raw labels run through all kinds, by user."""
+    flows = event_flows(spark, sf_dir)
+    at = (F.col("user_id") % len(RAW_LABELS) + 1).cast("int")
+    label = F.element_at(F.array(*[F.lit(x) for x in RAW_LABELS]), at)
+    return flows.withColumn("raw_label", F.when(F.col("user_id") % 50 != 7, label))
+
+
 def fixed_score(cols=None):
     """Linear score of a flow with given weights."""
     c = cols or {f: F.col(f) for f in SCORE_FEATURES}

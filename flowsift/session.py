@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SCRATCH_CONF = "spark.checkpoint.dir"
 
@@ -24,16 +24,25 @@ def local_session(cpus: int | str = "*", app: str = "flowsift") -> SparkSession:
         .config("spark.driver.memory", "12g")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.extraJavaOptions", "-Dderby.system.home=/tmp")
+        .config(SCRATCH_CONF, tempfile.mkdtemp(prefix="flowsift-"))
         .getOrCreate()
     )
 
 
+def landed(df: DataFrame, name: str) -> DataFrame:
+    """Written to the scratch folder and read back: for what several steps read."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """New folder name in the shared folder the cluster names in spark.checkpoint.dir."""
     root = spark.conf.get(SCRATCH_CONF, None) or spark.sparkContext.getCheckpointDir()
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
             raise ValueError(f"set {SCRATCH_CONF} to a folder all executors share")
-        root = tempfile.mkdtemp(prefix="flowsift-")
-        spark.conf.set(SCRATCH_CONF, root)
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="flowsift-"))
+        root = spark.sparkContext.getCheckpointDir()
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"

@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from flowsift.functions.order import row_text
 from flowsift.functions.text import na_to_null
 from flowsift.spec import DEFAULT_SPEC, FlowSpec
 
 ROW_ID = "_row"
+CORRUPT = "_corrupt"
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -35,14 +38,23 @@ def read_flow_csv(
     """Every column as text, missing-value tokens as NULL, names stripped.
 
     `_row` orders rows as they stand in the files; it is taken at the scan, before
-    anything is shuffled. A file whose header differs from the first one's fails
-    the read instead of shifting columns.
+    anything is shuffled. A line with more or fewer fields than the header is kept
+    whole in `_corrupt`, which is NULL for all others; split_corrupt tells them apart.
+    A file whose header differs from the first one's fails the read instead of
+    shifting columns.
     """
-    raw = (
+    reader = (
         spark.read.option("header", True)
         .option("encoding", encoding)
         .option("enforceSchema", False)
         .option("escape", '"')
+    )
+    named = reader.csv(path).schema
+    # A line is only known to be malformed when all of it is parsed.
+    raw = (
+        reader.option("mode", "PERMISSIVE").option("columnPruning", False)
+        .option("columnNameOfCorruptRecord", CORRUPT)
+        .schema(T.StructType([*named, T.StructField(CORRUPT, T.StringType())]))
         .csv(path)
     )
     position = F.struct(
@@ -50,8 +62,16 @@ def read_flow_csv(
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("row"),
     )
-    values = [na_to_null(F.col(f"`{c}`")).alias(c) for c in raw.columns]
-    return strip_names(raw.select(*values, position.alias(ROW_ID)))
+    values = [na_to_null(F.col(f"`{c}`")).alias(c) for c in named.names]
+    # Spark reads no malformed lines when nothing else of a file is asked for.
+    line = F.concat(F.col(CORRUPT), F.substring(F.coalesce(F.col(f"`{named.names[0]}`"), F.lit("")), 1, 0))
+    return strip_names(raw.select(*values, line.alias(CORRUPT), position.alias(ROW_ID)))
+
+
+def split_corrupt(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Well-formed rows without `_corrupt`, and the malformed lines as they stand in the file."""
+    good = raw.where(F.col(CORRUPT).isNull()).drop(CORRUPT)
+    return good, raw.where(F.col(CORRUPT).isNotNull()).select(F.col(CORRUPT).alias("line"), ROW_ID)
 
 
 def strip_names(df: DataFrame) -> DataFrame:
@@ -65,7 +85,7 @@ def find_label(columns: list[str], spec: FlowSpec = DEFAULT_SPEC) -> str:
     for c in columns:
         if "label" in c.lower():
             return c
-    raise ValueError(f"Label column '{spec.label_col}' not found. Available: {columns[:20]}")
+    raise ValueError(f"no column named '{spec.label_col}' and none with 'label' in its name: {columns}")
 
 
 def resolve_features(
@@ -111,11 +131,17 @@ def file_fingerprints(spark: SparkSession, path: str, glob: str | None = None) -
 def row_fingerprint(df: DataFrame, columns: list[str]) -> DataFrame:
     """Fingerprint of a table of any size that does not depend on row order.
 
-    Sum and count of a 60-bit hash per row, hashed to 16 hex digits.
+    Sum and count of a 60-bit hash per row, hashed to 16 hex digits. Values go into the
+    hash with their lengths, so no two rows of different values read alike.
     """
-    texts = [F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("\\N")) for c in columns]
-    piece = F.conv(F.substring(F.md5(F.concat_ws("|", *texts)), 1, 15), 16, 10)
+    rows, fingerprint = fingerprint_columns(df, columns)
+    return df.agg(rows.alias("rows"), fingerprint.alias("fingerprint"))
+
+
+def fingerprint_columns(df: DataFrame, columns: list[str]) -> tuple[Column, Column]:
+    """Aggregates: number of rows and fingerprint."""
+    piece = F.conv(F.substring(F.md5(row_text(df, columns)), 1, 15), 16, 10)
     total = F.coalesce(F.sum(piece.cast("decimal(20,0)")), F.lit(0)).cast("decimal(38,0)")
     rows = F.count(F.lit(1))
     text = F.concat_ws("|", rows.cast("string"), total.cast("string"))
-    return df.agg(rows.alias("rows"), F.substring(F.sha2(text, 256), 1, 16).alias("fingerprint"))
+    return rows, F.substring(F.sha2(text, 256), 1, 16)

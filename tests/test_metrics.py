@@ -27,6 +27,9 @@ def test_multiclass(spark):
     assert m["macro_f1"] == pytest.approx((1 + 0.5 + 0.5) / 3) == m["weighted_f1"]
     matrix = metrics.confusion_matrix(df, "y", "p", [0, 1, 2]).orderBy("truth").collect()
     assert [tuple(r) for r in matrix] == [(0, 2, 0, 0), (1, 0, 1, 1), (2, 0, 1, 1)]
+    assert metrics.confusion_matrix(df, "y", "p").orderBy("truth").collect() == matrix
+    with pytest.raises(ValueError, match="2"):
+        metrics.confusion_matrix(df, "y", "p", [0, 1])
 
 
 def test_report_has_every_class_and_averages(spark):

@@ -29,7 +29,9 @@ def table(spark, frame):
 
 @pytest.fixture(scope="module")
 def linear(table):
-    return models.train_linear_svm(table, FEATURES, max_iter=100)
+    fitted = models.train_linear_svm(table, FEATURES)
+    assert fitted.converged and fitted.iterations > 1
+    return fitted
 
 
 @pytest.fixture(scope="module")
@@ -147,14 +149,26 @@ def three(spark):
     return spark.createDataFrame(rows, "id int, a double, b double, y int")
 
 
-def test_pairwise_and_one_vs_rest(three):
+def test_pairwise_and_one_vs_rest(three, tmp_path):
     pairwise = models.train_pairwise_svm(three, ["a", "b"], max_iter=20)
+    path = pairwise.save(three.sparkSession, str(tmp_path / "pairwise"))
+    loaded = models.PairwiseSVM.load(three.sparkSession, path)
+    assert loaded.pairs == pairwise.pairs and loaded.scaling == pairwise.scaling
+    with pytest.raises(FileNotFoundError):
+        models.PairwiseSVM.load(three.sparkSession, str(tmp_path / "none"))
     assert sorted(pairwise.pairs) == [(0, 1), (0, 2), (1, 2)]
     assert pairwise.transform(three).where("prediction = y").count() >= 175
     ovr = models.train_one_vs_rest(three, ["a", "b"], max_iter=20)
     assert ovr.model.transform(three).where("prediction = y").count() >= 150
 
 
+def test_forest_does_not_depend_on_partitions(table):
+    settings = {"trees": 5, "max_depth": 6}
+    one, two = (models.train_benchmark("random_forest", t, FEATURES, **settings).model.stages[-1]
+                for t in (table.repartition(5), table.repartition(2, "f1")))
+    assert one.toDebugString.split("\n")[1:] == two.toDebugString.split("\n")[1:]
+
+
 def test_pca_equals_svd(table, frame):
     fitted = models.fit_pca(table, FEATURES, 2)
     x = frame[FEATURES].to_numpy()

@@ -35,7 +35,7 @@ def test_zero_is_benign(spark):
 
 def test_missing_columns(spark):
     df = spark.createDataFrame([(1,)], "random_col int")
-    with pytest.raises(scoring.MissingFeatures, match="Missing") as error:
+    with pytest.raises(scoring.MissingFeatures, match="no column for 2") as error:
         scoring.require_columns(df, ["a", "b"])
     assert error.value.missing == ["a", "b"] and error.value.available == ["random_col"]
 
@@ -49,7 +49,6 @@ def test_record_map(spark):
 @pytest.mark.parametrize("hot", [False, True])
 def test_permutation_is_a_bijection(spark, monkeypatch, hot):
     monkeypatch.setattr(importance, "BUCKET_ROWS", 100)
-    monkeypatch.setattr(importance, "HOT", 2)
     key = F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id")) if hot else F.col("id")
     df = spark.range(1000).select(key.alias("k"), F.col("id").cast("double").alias("x"))
     out = importance.permuted(df, ["x"], ["k"], 2)
@@ -62,6 +61,26 @@ def test_permutation_is_a_bijection(spark, monkeypatch, hot):
         assert moved > 900
 
 
+def test_importance_does_not_depend_on_the_number_of_buckets(spark, monkeypatch):
+    df = spark.range(900).select(
+        (F.col("id") % 300).alias("id"), F.sin(F.col("id") % 300).alias("a"),
+        F.cos(F.col("id") % 300).alias("b"))  # every row three times
+    df = df.withColumn("y", (F.col("a") > 0.1).cast("int"))
+    seen = set()
+    for rows in (5, 50, 5000):
+        monkeypatch.setattr(importance, "BUCKET_ROWS", rows)
+        out = importance.permutation_importance(
+            df.repartition(rows % 7 + 1), ["a", "b"], "y", ["id"], lambda c: c["a"] - 0.2 * c["b"], 3)
+        seen.add(tuple(sorted(map(tuple, out.collect()))))
+    assert len(seen) == 1
+
+
+def test_scored_rows_come_back_as_read(spark):
+    df = spark.createDataFrame([(1, float("inf")), (2, 1.0)], "id int, a double")
+    rows = scoring.score_rows(df, ["a"], F.col("a")).orderBy("id").collect()
+    assert [tuple(r) for r in rows] == [(1, float("inf"), None, None), (2, 1.0, 1.0, "ATTACK")]
+
+
 def test_importance_finds_the_used_feature(spark):
     df = spark.range(2000).select(
         "id", (F.pmod(F.hash("id"), F.lit(1000)) / 500 - 1).alias("used"), F.rand(1).alias("idle"))

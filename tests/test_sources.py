@@ -35,8 +35,8 @@ def dirty(tmp_path):
 
 
 def load(spark, path):
-    flows, features, missing = flow_files.shape_flows(
-        flow_files.read_flow_csv(spark, str(path)), SPEC, [flow_files.ROW_ID])
+    good, _ = flow_files.split_corrupt(flow_files.read_flow_csv(spark, str(path)))
+    flows, features, missing = flow_files.shape_flows(good, SPEC, [flow_files.ROW_ID])
     return clean.clean_flows(flows, features, [flow_files.ROW_ID], SPEC), features, missing
 
 
@@ -56,29 +56,35 @@ def test_dirty_file(spark, dirty):
 
 def test_validation_report(spark, dirty):
     deduped, features, missing = load(spark, dirty)
-    r = clean.validation_report(deduped, features, missing, SPEC, "day.csv", "f").first()
+    r = clean.validation_report(deduped, features, missing, SPEC, "day.csv", "f", 3).first()
+    assert r["corrupt_rows"] == 3 and r["dataset_hash"] == "f"
     assert r["class_distribution"] == {"ATTACK": 2, "BENIGN": 2}
     assert r["class_percentages"] == {"ATTACK": 50.0, "BENIGN": 50.0}
-    assert r["original_class_distribution"] == {"BENIGN": 1, "Bot": 1, "DDoS": 1}
     assert r["imbalance_ratio"] == 1.0 and r["features_missing"] == ["c"]
     assert r["columns"] == ["a", "b", "Label", "Original_Label"]
 
 
-def test_report_with_too_many_labels_for_a_row(spark, dirty, monkeypatch):
-    monkeypatch.setattr(clean, "pin_small", lambda d: (d, None))
+def test_raw_labels_are_a_table_of_their_own(spark, dirty):
     deduped, features, missing = load(spark, dirty)
-    r = clean.validation_report(deduped, features, missing, SPEC).first()
-    assert r["original_class_distribution"] is None and r["raw_rows"] == 12
-    assert r["class_distribution"] == {"ATTACK": 2, "BENIGN": 2}
+    report = clean.validation_report(deduped, features, missing, SPEC)
+    assert "original_class_distribution" not in report.columns
     table = clean.class_distribution(clean.drop_unusable(deduped, features), "Original_Label")
     assert {x["class"]: x["n"] for x in table.collect()} == {"BENIGN": 1, "Bot": 1, "DDoS": 1}
 
 
 def test_written_report_equals_the_query(spark, dirty, tmp_path):
     deduped, features, _ = load(spark, dirty)
-    report = clean.write_cleaned(deduped, features, str(tmp_path / "cleaned"))
-    assert report == clean.clean_report(deduped, features).first().asDict()
-    assert spark.read.parquet(str(tmp_path / "cleaned")).count() == report["cleaned_rows"]
+    cleaned = clean.write_cleaned(deduped, features, str(tmp_path / "cleaned"))
+    assert cleaned.count() == clean.clean_report(deduped, features).first()["cleaned_rows"]
+
+
+def test_ragged_lines_are_kept_whole(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("a,b,Label\n1,2,Bot\n1,2,Bot,9\n3\n4,5,\n")
+    raw = flow_files.read_flow_csv(spark, str(tmp_path / "a.csv"))
+    good, bad = flow_files.split_corrupt(raw)
+    assert sorted(map(tuple, good.drop(flow_files.ROW_ID).collect())) == [("1", "2", "Bot"), ("4", "5", None)]
+    assert sorted(r["line"] for r in bad.collect()) == ["1,2,Bot,9", "3"]
+    assert bad.count() == 2 and raw.where(F.col(flow_files.CORRUPT).isNotNull()).count() == 2
 
 
 def test_first_copy_in_file_order_survives(spark, tmp_path):
@@ -108,8 +114,9 @@ def test_resolution():
 def test_label_column():
     assert flow_files.find_label(["x", "Label", "my label"]) == "Label"
     assert flow_files.find_label(["x", "my label"]) == "my label"
-    with pytest.raises(ValueError, match="not found"):
-        flow_files.find_label(["x", "y"])
+    many = [f"column{i}" for i in range(30)]
+    with pytest.raises(ValueError, match="column29"):
+        flow_files.find_label(many)
 
 
 def test_discovery(spark, dirty, tmp_path):
@@ -128,6 +135,14 @@ def test_fingerprints(spark, dirty):
     one = flow_files.row_fingerprint(df, ["id", "s"]).first()
     assert one == flow_files.row_fingerprint(df.repartition(7), ["id", "s"]).first()
     assert one != flow_files.row_fingerprint(df.where("id > 0"), ["id", "s"]).first()
+    pairs = [("a|b", "c"), ("a", "b|c"), ("1:a", None), (None, "1:a"), ("-", None), (None, None)]
+    prints = {flow_files.row_fingerprint(
+        spark.createDataFrame([p], "x string, y string"), ["x", "y"]).first()["fingerprint"] for p in pairs}
+    assert len(prints) == len(pairs)
+    close = [1.0, 1.000001, 1e20, 2e20, float("nan"), float("inf"), None, -1.5]
+    prints = {flow_files.row_fingerprint(
+        spark.createDataFrame([(v,)], "x double"), ["x"]).first()["fingerprint"] for v in close}
+    assert len(prints) == len(close)
 
 
 def test_tables_and_records(spark, tmp_path):

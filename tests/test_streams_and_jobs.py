@@ -4,9 +4,9 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from flowsift.operators import models
+from flowsift.operators import clean, models, numbering
 from flowsift.plans import jobs
-from flowsift.sources import artifacts
+from flowsift.sources import artifacts, flow_files
 from flowsift.spec import FEATURE_GROUPS, FEATURES, FlowSpec
 from flowsift.streaming import flows as streams
 
@@ -71,6 +71,7 @@ def flow_file(tmp_path_factory):
         if i % 50 == 0:
             values[7] = "Infinity"
         lines += [",".join([*values, raw])] * (2 if i % 40 == 1 else 1)
+    lines += ["1,2,3", ",".join(["1"] * 17)]  # a field too few, one too many
     path = tmp_path_factory.mktemp("flows") / "day.csv"
     path.write_text("\n".join(lines) + "\n")
     return str(path)
@@ -79,7 +80,7 @@ def flow_file(tmp_path_factory):
 def test_training_run_end_to_end(spark, flow_file, tmp_path):
     out = str(tmp_path / "runs")
     spec = FlowSpec(
-        features=FEATURES, groups=FEATURE_GROUPS, categories={"BENIGN": ["benign"], "DDoS": ["ddos"], "Bot": ["bot"]},
+        features=FEATURES, groups=FEATURE_GROUPS, categories={"benign": "BENIGN", "ddos": "DDoS", "bot": "Bot"},
         ablations={"all": ("All", []), "none": ("Too few", list(FEATURE_GROUPS))})
     run = jobs.training_run(
         spark, flow_file, out, spec, sample_size=200, multiclass=True, ablation=True,
@@ -91,7 +92,14 @@ def test_training_run_end_to_end(spark, flow_file, tmp_path):
     assert meta == json.loads(listed[0]["config"])
     report = meta["validation_report"]
     assert report["raw_rows"] == 410 and report["duplicates_removed"] == 10
-    assert report["inf_replaced"] == 8 == report["nan_rows_dropped"]
+    assert report["inf_replaced"] == 8 == report["nan_rows_dropped"] and report["corrupt_rows"] == 2
+    assert spark.read.parquet(f"{home}/quarantine").count() == 2
+    summary = artifacts.load_metadata(spark, f"{home}/training_summary")
+    assert summary["rows"]["raw_rows"] == 410 and set(summary["models"]) == {jobs.LINEAR, jobs.RBF}
+    assert artifacts.read_csv(spark, f"{home}/multiclass_confusion", "truth int, predicted int, n int").count() >= 3
+    assert models.PairwiseSVM.load(spark, f"{home}/multiclass_model").classes == [0, 1, 2]
+    raw = spark.read.option("header", True).csv(f"{home}/original_class_distribution")
+    assert {r["class"] for r in raw.collect()} == {"BENIGN", "DDoS", "Bot"}
     assert len(report["dataset_hash"]) == 16 and report["features_missing"] == []
     assert (meta["train_size"], meta["test_size"]) == (160, 40)
     assert meta["best_model"] in (jobs.LINEAR, jobs.RBF) and meta["multiclass"]["accuracy"] > 0.8
@@ -101,7 +109,36 @@ def test_training_run_end_to_end(spark, flow_file, tmp_path):
     assert spark.read.option("header", True).csv(f"{home}/feature_importance").count() == 15
     assert spark.read.parquet(f"{home}/pca_projection").count() == 40
     scored = jobs.score_file(spark, flow_file, f"{home}/model", FEATURES)
-    assert scored.count() == 410 and scored.where("prediction is null").count() == 8
+    assert scored.count() == 412 and scored.where("prediction is null").count() == 10
+    assert scored.where("_corrupt is not null and prediction is null").count() == 2
+
+
+def test_training_sample_depends_on_the_rows_alone(spark, flow_file, tmp_path):
+    spec = FlowSpec(features=FEATURES, groups=FEATURE_GROUPS)
+    (tmp_path / "moved").mkdir()
+    copy = tmp_path / "moved" / "other.csv"
+    copy.write_text(open(flow_file).read())
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    seen = set()
+    try:
+        for path, split in ((flow_file, "4k"), (flow_file, "64k"), (str(copy), "16k")):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+            good, _ = flow_files.split_corrupt(flow_files.read_flow_csv(spark, path))
+            flows, features, _ = flow_files.shape_flows(good, spec, [flow_files.ROW_ID])
+            cleaned = clean.drop_unusable(
+                clean.clean_flows(flows, features, [flow_files.ROW_ID], spec), features)
+            rows = jobs.training_sample(cleaned, features, spec, 100).select(jobs.KEY, "is_test", "y")
+            seen.add(tuple(sorted(map(tuple, rows.collect()))))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert len(seen) == 1 and len(seen.pop()) == 100
+
+
+def test_numbers_by_range_equal_numbers_by_window(spark):
+    df = spark.range(500).select((F.col("id") * 7919 % 1009).cast("string").alias("k"))
+    one = numbering.numbered(df, ["k"], "n").collect()
+    assert sorted(one) == sorted(numbering.numbered_by_range(df, ["k"], "n").collect())
+    assert [r["k"] for r in sorted(one, key=lambda r: r["n"])] == sorted(r["k"] for r in one)
 
 
 def test_drift_run_and_benchmark(spark):
@@ -119,5 +156,5 @@ def test_drift_run_and_benchmark(spark):
 
 def test_multiclass_needs_three_classes(spark):
     df = spark.createDataFrame([(1, 1.0, "ddos"), (2, 2.0, "benign")], "id int, a double, Original_Label string")
-    spec = FlowSpec(features=["a"], categories={"BENIGN": ["benign"], "DDoS": ["ddos"]})
+    spec = FlowSpec(features=["a"], categories={"benign": "BENIGN", "ddos": "DDoS"})
     assert jobs.multiclass_experiment(df, ["a"], ["id"], spec) is None

@@ -17,19 +17,21 @@ def connect(links: DataFrame) -> DataFrame:
     as rows. Every round is written, so a lost executor costs no earlier round."""
     edges = land(links.where("a != b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
                  .distinct(), "edges")
-    size = None
-    while True:
+    while not _are_stars(edges):
         both = edges.unionAll(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = large.distinct()
+        large = land(large.distinct(), "edges")
         down = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(down, "u").where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        after = land(small.unionAll(down.select("u", F.col("m").alias("v"))).distinct(), "edges")
-        now = after.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        edges = after
-        if now == size:
-            break
-        size = now
-    members = edges.select(F.col("u").alias("class"), F.col("v").alias("comp"))
-    return members.unionAll(edges.select(F.col("v").alias("class"), F.col("v").alias("comp"))).distinct()
+        edges = land(small.unionAll(down.select("u", F.col("m").alias("v"))).distinct(), "edges")
+    return edges.select(F.col("u").alias("class"), F.col("v").alias("comp")).unionAll(
+        edges.select(F.col("v").alias("class"), F.col("v").alias("comp")).distinct())
+
+
+def _are_stars(edges: DataFrame) -> bool:
+    """Whether every class has one link down, to one that has none."""
+    roles = edges.select("u", F.lit(1).alias("down"), F.lit(0).alias("up")).unionAll(
+        edges.select("v", F.lit(0), F.lit(1)))
+    per = roles.groupBy("u").agg(F.sum("down").alias("down"), F.max("up").alias("up"))
+    return per.where((F.col("down") > 1) | ((F.col("down") > 0) & (F.col("up") > 0))).isEmpty()

@@ -8,10 +8,11 @@
 3. The shingles of a class are ordered rarest first. Two sets that are similar enough share one
    among the first few, so only those are joined on. Pairs pass a length filter, a positional
    filter and a suffix filter (shingles after the shared one, counted by ranges of their hash).
-4. Candidates of a shingle are not paired all with all: a hub, taken from the most frequent
-   component of the shingle's classes, is verified against those outside that component; links
-   join components; hubs leave. Once few pairs are left between components, all are verified. No
-   pair of different components is left out, so components are exact.
+4. The classes of a frequent shingle are not paired all with all: a few hubs, taken from its most
+   frequent component, are verified against those outside that component; links join components;
+   hubs leave, and the next round takes four times as many. Classes of a rare shingle, and what
+   few pairs are left between components in the end, are all verified. No pair of different
+   components is left out, so components are exact.
 
 Similarity is 100 * shared >= 75 * union on 64-bit hashes of shingles (46 bits or more when two
 sets are compared).
@@ -28,11 +29,11 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from flowsift.llm.components import connect
-from flowsift.llm.scratch import drop, land
+from flowsift.llm.scratch import land
 from flowsift.llm.textbytes import PartHashes, parts, scrambled, words
 
 SIZE = 5
@@ -47,7 +48,9 @@ HOT_SHARE = 500
 HOT_LEAST = 8
 LOW = 40  # bits of a shingle within its bucket
 RANGES = 8  # of the suffix filter
-ROUNDS = 12
+#: A shingle of at most so many classes has them all paired. Hubs of the first round.
+RARE = 32
+HUBS = 4
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -298,50 +301,64 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
         100 * F.col("both") >= PERCENT * (F.col("n_a") + F.col("n_b") - F.col("both"))).select("a", "b")
 
 
-def _labelled(postings: DataFrame, labels: DataFrame | None) -> DataFrame:
-    if labels is None:
-        return postings.withColumn("comp", F.col("class"))
-    return postings.join(labels, "class", "left").withColumn("comp", F.coalesce("comp", "class"))
-
-
-def components(sets: DataFrame) -> DataFrame | None:
-    """class, comp (the smallest class of its component) for classes with links; None without any."""
+def _joined(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """Labels after the links (a, b) have joined their components."""
+    ends = [labels.select(F.col("class").alias(c), F.col("comp").alias(f"comp_{c}")) for c in ("a", "b")]
+    between = links.join(ends[0], "a").join(ends[1], "b").select(
+        F.col("comp_a").alias("a"), F.col("comp_b").alias("b")).where("a != b")
+    moved = connect(between).select(F.col("class").alias("comp"), F.col("comp").alias("to"))
+    return land(labels.join(moved, "comp", "left").select(
+        "class", F.coalesce("to", "comp").alias("comp")), "labels")
+
+
+def _hubs(rows: DataFrame, most: int) -> tuple[DataFrame, DataFrame]:
+    """Codes whose classes are in several components: how many pairs are left, and up to `most`
+    rows of the largest component of each, by class."""
+    own = F.struct("class", "comp", "n", "place", "after")
+    per = rows.groupBy("code", "comp").agg(F.count(F.lit(1)).alias("k"))
+    size = F.struct("k", "comp")
+    codes = land(per.groupBy("code").agg(
+        F.sum("k").alias("k"), F.sum(F.col("k").cast("double") * F.col("k")).alias("squares"),
+        F.max(size).alias("top"), F.count(F.lit(1)).alias("comps")).where("comps > 1").select(
+        "code", "k", ((F.col("k").cast("double") * F.col("k") - F.col("squares")) / 2).alias("pairs"),
+        F.col("top.comp").alias("comp")), "codes")
+    # Of a frequent shingle only the classes of smallest hash are kept, before and after the shuffle.
+    nth = F.row_number().over(Window.partitionBy("code").orderBy("class"))
+    top = rows.join(codes.select("code", "comp"), ["code", "comp"]).withColumn("nth", nth).where(
+        F.col("nth") <= most)
+    return codes, top.select("code", "class", "comp", "n", "place", "after")
+
+
+def components(sets: DataFrame) -> DataFrame:
+    """class, comp (the smallest class of its component) of the classes in sets."""
     postings = land(_postings(sets), "postings")
-    labels, links, checked = None, None, None
-    for _ in range(ROUNDS):
-        rows = _labelled(postings, labels)
-        per = rows.groupBy("code", "comp").agg(
-            F.count(F.lit(1)).alias("k"),
-            F.min_by(F.struct("class", "comp", "n", "place", "after"), "class").alias("own"))
-        tops = per.groupBy("code").agg(
-            F.max_by("own", F.struct("k", F.col("own.class"))).alias("own"), F.sum("k").alias("k"),
-            F.sum(F.col("k").cast("double") * F.col("k")).alias("squares"),
-            F.count(F.lit(1)).alias("comps")).where("comps > 1")
-        tops = land(tops.select("code", "own.*", "k", "squares"), "hubs")
-        left = tops.agg(F.sum((F.col("k").cast("double") * F.col("k") - F.col("squares")) / 2).alias("pairs"),
-                        F.sum("k").alias("rows")).first()
+    labels = land(sets.select("class", F.col("class").alias("comp")), "labels")
+    checked, hubs = None, HUBS
+    rows = postings.withColumn("comp", F.col("class"))
+    while True:
+        codes, top = _hubs(rows, hubs)
+        left = codes.agg(F.sum("pairs").alias("pairs"), F.sum("k").alias("rows")).first()
         if not left["rows"]:
-            break
-        # Few pairs are left: verify them all. Else the hubs take out the bulk, at a pair a row.
-        last = left["pairs"] <= 4 * left["rows"]
-        going = rows.join(tops.select("code"), "code", "left_semi")
-        pairs = _pairs(going, going) if last else _pairs(going, tops)
+            return labels
+        going = rows.join(codes.select("code", F.col("k").alias("in_all")), "code")
+        # Few pairs are left: verify them all. Else the rare shingles, and the hubs of the others.
+        last = left["pairs"] <= RARE * left["rows"] and hubs > HUBS
+        if last:
+            pairs = _pairs(going, going)
+        else:
+            rare = going.where(F.col("in_all") <= RARE)
+            frequent_ = going.where(F.col("in_all") > RARE)
+            pairs = _pairs(rare, rare).unionAll(_pairs(frequent_, top)).distinct()
         if checked is not None:
             pairs = pairs.join(checked, ["a", "b"], "left_anti")
         pairs = land(pairs, "pairs")
-        found = land(_verified(pairs, sets), "links")
-        links = found if links is None else links.unionAll(found)
-        labels = connect(links)
+        labels = _joined(labels, land(_verified(pairs, sets), "links"))
         if last:
-            break
+            return labels
         checked = pairs if checked is None else checked.unionAll(pairs)
-        hubs = tops.select("code", "class")
-        postings = land(going.drop("comp").join(hubs, ["code", "class"], "left_anti"), "postings")
-    else:
-        rows = _labelled(postings, labels)
-        found = land(_verified(_pairs(rows, rows), sets), "links")
-        labels = connect(found if links is None else links.unionAll(found))
-    return labels
+        rest = frequent_.join(top.select("code", "class"), ["code", "class"], "left_anti")
+        rows = land(rest.drop("comp", "in_all").join(labels, "class"), "postings")
+        hubs *= 4
 
 
 def near_classes(docs: DataFrame) -> DataFrame:
@@ -353,12 +370,9 @@ def near_classes(docs: DataFrame) -> DataFrame:
     sets = land(_ordered(_shared(_dealt(docs, hot, buckets), buckets)), "sets")
     labels = components(sets)
     classes = names.where("n_shingles > 0").groupBy("class").agg(F.min("doc_id").alias("least"))
-    if labels is not None:
-        known = classes.join(labels, "class", "left").withColumn("comp", F.coalesce("comp", "class"))
-        least = known.groupBy("comp").agg(F.min("least").alias("component_id"))
-        classes = known.join(least, "comp").select("class", "component_id")
-    else:
-        classes = classes.select("class", F.col("least").alias("component_id"))
+    known = classes.join(labels, "class", "left").withColumn("comp", F.coalesce("comp", "class"))
+    least = known.groupBy("comp").agg(F.min("least").alias("component_id"))
+    classes = known.join(least, "comp").select("class", "component_id")
     return names.select("doc_id", "n_shingles", "class").join(classes, "class", "left").select(
         "doc_id", "n_shingles",
         F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))

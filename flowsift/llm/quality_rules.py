@@ -156,8 +156,15 @@ def labelled(docs: DataFrame, labels: DataFrame, most: int = LABELLED) -> DataFr
     chosen = marks.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
     own = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
     grow = (F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(3)) > 0).alias("grow")
-    rows = statistics(own, "bad").where(~base_failed())
-    return rows.select("bad", grow, *[feature(f).alias(f) for f in FEATURES])
+    return where_true(statistics(own, "bad"), ~base_failed()).select(
+        "bad", grow, *[feature(f).alias(f) for f in FEATURES])
+
+
+def where_true(rows: DataFrame, condition: Column) -> DataFrame:
+    """A filter that stays above the statistics. Spark pushes a plain filter below them and writes
+    their expressions into it, each as often as it is used, down to the split of the text."""
+    once = F.explode(F.when(condition, F.array(F.lit(True))))
+    return rows.select("*", once.alias("__met")).drop("__met")
 
 
 def learn(docs: DataFrame, labels: DataFrame, most: int = LABELLED) -> list[Rule]:
@@ -263,4 +270,4 @@ def good_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents that pass, with all their columns as they are."""
     rules = learn(docs, labels)
     packed = docs.select("doc_id", "text", F.struct(*docs.columns).alias("row"))
-    return judge(packed, rules, "row").where("kept").select("row.*")
+    return where_true(judge(packed, rules, "row"), F.col("kept")).select("row.*")

@@ -89,3 +89,34 @@ def op7_line_runs(spark, sf):
 @query
 def op8_jaccard_join(spark, sf):
     return jaccard_join.near_classes(documents(spark, sf))
+
+
+ORACLE["op7_line_runs"] = r"""
+with split as (
+  select doc_id, unnest(string_split(text, chr(10))) as line,
+    generate_subscripts(string_split(text, chr(10)), 1) as pos
+  from documents),
+worded as (
+  select *, row_number() over (partition by doc_id order by pos) - 1 as nth from split
+  where regexp_matches(line, '[^\x20\x09-\x0D]')),
+pairs as (
+  select doc_id, nth, line, lead(line) over (partition by doc_id order by nth) as following from worded),
+firsts as (
+  select doc_id, nth, first_value(doc_id) over w as first_doc, first_value(nth) over w as first_at
+  from pairs where following is not null
+  window w as (partition by line, following order by doc_id, nth)),
+gone as (
+  select distinct doc_id, nth + k as nth from firsts, (values (0), (1)) v(k)
+  where doc_id <> first_doc or nth >= first_at + 2),
+runs as (
+  select doc_id, count(*) as n_removed, count(*) filter (where nth - 1 <> before or before is null) as n_runs
+  from (select *, lag(nth) over (partition by doc_id order by nth) as before from gone) group by 1),
+kept as (
+  select s.doc_id, string_agg(s.line, chr(10) order by s.pos) as text
+  from split s left join worded w using (doc_id, pos) left join gone g on g.doc_id = w.doc_id and g.nth = w.nth
+  where g.nth is null group by 1),
+counts as (select doc_id, count(*) as n_lines from worded group by 1)
+select d.doc_id, case when d.text is not null then coalesce(k.text, '') end as text,
+  coalesce(n_lines, 0) as n_lines, coalesce(n_removed, 0) as n_removed, coalesce(n_runs, 0) as n_runs
+from documents d left join kept k using (doc_id) left join counts using (doc_id) left join runs using (doc_id)
+"""

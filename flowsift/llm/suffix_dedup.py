@@ -13,10 +13,11 @@ Consecutive windows with the same sampled gram are a run, and its bytes are the
    algorithm: sort sampled triples, recurse on names, merge the others. Adjacent prefixes of
    `length` bytes are compared, and each class of equal windows learns its smallest document. A
    gram with very many contexts, as at the ends of a passage that a part of all documents holds,
-   is split into its windows, each dealt by itself, so that no group grows with the corpus.
+   is split into its windows, which are combined by hash, so that no group grows with the corpus.
 3. Intervals are collected per document and cut out.
 
-Grams and whole contexts are compared by 64-bit hashes, windows of different contexts by bytes.
+Grams and whole contexts are compared by 64-bit hashes, windows of different contexts by bytes,
+those of grams with very many contexts by hash.
 
 Cases: null text counts as empty; texts shorter than `length` bytes are left alone; matches never
 cross documents; strings are judged on the input, so chains of copies all point to the smallest
@@ -41,13 +42,13 @@ from flowsift.llm.tokens import batches_by_size
 LENGTH = 50
 GRAM = 16
 #: Contexts of a gram beyond which it is split into windows.
-MANY = 500
+MANY = 20_000
 #: Windows of a run at most; bytes of text handled at once; runs aimed at in a bucket.
 RUN = 64
-PART_BYTES = 4_000_000
-BUCKET = 2_000_000
+PART_BYTES = 2_500_000
+BUCKET = 700_000
 #: Bytes of contexts aimed at in a group that is sorted.
-SORTED_BYTES = 4_000_000
+SORTED_BYTES = 1_500_000
 BATCH_BYTES = 16_000_000
 
 
@@ -201,14 +202,14 @@ def _judged(dealt: DataFrame, buckets: int, length: int) -> DataFrame:
 
 
 def _fetched(rows: DataFrame, asked: DataFrame, length: int) -> DataFrame:
-    """Bytes of the runs to be compared: name, row, doc, at, bytes. The windows of grams with many
-    contexts get names of their own."""
+    """The runs to be compared: name, row, doc, at, size, bytes. Runs of grams with many contexts
+    come as single windows without bytes, whose name says what they hold."""
     per = asked.groupBy("row").agg(F.collect_list(F.struct("at", "size", "name", "many")).alias("asked"))
     both = rows.join(per, "row").select("row", "doc", "text", "asked")
 
     def run(batches):
         for batch in batches:
-            out, size = [[], [], [], [], []], 0
+            out, size = [[] for _ in range(6)], 0
             for row, doc, text, asked in zip(*(batch.column(i) for i in range(4))):
                 row, doc, text = row.as_py(), doc.as_py(), text.as_py().encode()
                 for a in asked.as_py():
@@ -218,29 +219,30 @@ def _fetched(rows: DataFrame, asked: DataFrame, length: int) -> DataFrame:
                         data = np.frombuffer(text[at:at + n], np.uint8)
                         own = PartHashes(data).of(starts, starts + length) ^ np.int64(name).view(np.uint64)
                         names = scrambled(own).view(np.int64).tolist()
-                        pieces = [text[at + k:at + k + length] for k in range(len(names))]
+                        pieces, n = [None] * len(names), length
                     else:
                         names, pieces = [name], [text[at:at + n]]
                     out[0] += names
                     out[1] += [row] * len(names)
                     out[2] += [doc] * len(names)
                     out[3] += range(at, at + len(names))
-                    out[4] += pieces
-                    size += sum(map(len, pieces))
+                    out[4] += [n] * len(names)
+                    out[5] += pieces
+                    size += n * len(names)
                 if size > BATCH_BYTES // 4:
                     yield _pieces(out)
-                    out, size = [[], [], [], [], []], 0
+                    out, size = [[] for _ in range(6)], 0
             if out[0]:
                 yield _pieces(out)
 
-    return both.mapInArrow(run, "name long, row long, doc long, at int, bytes binary").withColumn(
+    return both.mapInArrow(run, "name long, row long, doc long, at int, size int, bytes binary").withColumn(
         "hash", F.xxhash64("bytes"))
 
 
 def _pieces(out: list[list]) -> pa.RecordBatch:
-    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary()]
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()]
     return pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(out, kinds)],
-                                      names=["name", "row", "doc", "at", "bytes"])
+                                      names=["name", "row", "doc", "at", "size", "bytes"])
 
 
 def _compared(pieces: DataFrame, groups: int, length: int) -> DataFrame:
@@ -249,10 +251,10 @@ def _compared(pieces: DataFrame, groups: int, length: int) -> DataFrame:
     # contain nothing that it does not.
     least = land(pieces.groupBy("name", "hash").agg(
         F.min("doc").alias("first"), F.first("bytes").alias("bytes")), "least")
-    places = pieces.select("name", "hash", "row", "doc", "at", F.octet_length("bytes").alias("size"))
+    places = pieces.select("name", "hash", "row", "doc", "at", "size")
     same = places.join(least.select("name", "hash", "first"), ["name", "hash"]).where("doc > first").select(
         "row", "at", "size")
-    dealt = least.withColumn("group", F.pmod(F.col("name"), F.lit(groups)))
+    dealt = least.where("bytes is not null").withColumn("group", F.pmod(F.col("name"), F.lit(groups)))
     schema = pa.schema([("name", pa.int64()), ("hash", pa.int64()), ("from", pa.int32()), ("size", pa.int32())])
 
     def run(table: pa.Table) -> pa.Table:

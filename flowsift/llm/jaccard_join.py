@@ -51,6 +51,9 @@ RANGES = 8  # of the suffix filter
 #: A shingle of at most so many classes has them all paired. Hubs of the first round.
 RARE = 32
 HUBS = 4
+#: From the second round on, all that is left is compared once it is so few pairs a row; nearly all
+#: of these end at the length and positional filters.
+FEW_PAIRS = 2_000
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -342,7 +345,7 @@ def components(sets: DataFrame) -> DataFrame:
             return labels
         going = rows.join(codes.select("code", F.col("k").alias("in_all")), "code")
         # Few pairs are left: verify them all. Else the rare shingles, and the hubs of the others.
-        last = left["pairs"] <= RARE * left["rows"] and hubs > HUBS
+        last = left["pairs"] <= FEW_PAIRS * left["rows"] and hubs > HUBS
         if last:
             pairs = _pairs(going, going)
         else:

@@ -198,6 +198,7 @@ def test_jaccard_join_on_chains_and_large_groups(spark, monkeypatch, hot):
         monkeypatch.setattr(jaccard_join, "BUCKET", 500)
         monkeypatch.setattr(jaccard_join, "RARE", 2)
         monkeypatch.setattr(jaccard_join, "HUBS", 1)
+        monkeypatch.setattr(jaccard_join, "FEW_PAIRS", 3)
     rnd = random.Random(11)
     word = lambda: "".join(rnd.choice("abcdefgh") for _ in range(4))
     data, base = [], [word() for _ in range(40)]

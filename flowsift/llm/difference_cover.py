@@ -6,12 +6,12 @@ import numpy as np
 
 
 def _sorted_by(keys: list[np.ndarray], limit: int) -> np.ndarray:
-    """Stable order by several keys below limit, the first weighing most."""
+    """Order by several keys below limit, the first weighing most. Equal keys stand in any order."""
     if len(keys) * int(limit).bit_length() <= 63:
         packed = keys[0].astype(np.int64)
         for k in keys[1:]:
             packed = packed * limit + k
-        return np.argsort(packed, kind="stable")
+        return np.argsort(packed)
     return np.lexsort(keys[::-1])
 
 
@@ -21,7 +21,8 @@ def suffix_array(text: np.ndarray) -> np.ndarray:
     if n < 3:
         return np.array(sorted(range(n), key=lambda i: text[i:].tolist()), np.int64)
     limit = int(text.max()) + 2
-    padded = np.concatenate([text.astype(np.int64), np.zeros(3, np.int64)])
+    kind = np.int32 if max(n + 3, limit) < 2 ** 31 else np.int64
+    padded = np.concatenate([text.astype(kind), np.zeros(3, kind)])
 
     # Sampled suffixes: sort their triples and name them; equal names are sorted by recursion.
     ones = np.arange(1, n + (n % 3 == 1), 3)  # one beyond the end, so that every 0 has a 1 after it
@@ -29,16 +30,17 @@ def suffix_array(text: np.ndarray) -> np.ndarray:
     sample = np.concatenate([ones, twos])
     triples = [padded[sample + k] for k in range(3)]
     order = _sorted_by(triples, limit)
-    new = np.zeros(len(order), np.int64)
-    new[0] = 1
+    new = np.zeros(len(order), bool)
+    new[0] = True
     for t in triples:
         new[1:] |= t[order[1:]] != t[order[:-1]]
-    names = np.empty(len(order), np.int64)
-    names[order] = np.cumsum(new)
+    names = np.empty(len(order), kind)
+    names[order] = np.cumsum(new, dtype=kind)
+    del triples
     if int(names.max()) < len(names):
         order = suffix_array(names)
-    rank = np.zeros(n + 3, np.int64)
-    rank[sample[order]] = np.arange(1, len(order) + 1)
+    rank = np.zeros(n + 3, kind)
+    rank[sample[order]] = np.arange(1, len(order) + 1, dtype=kind)
     sampled = sample[order]
     sampled = sampled[sampled < n]
 

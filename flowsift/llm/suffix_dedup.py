@@ -45,10 +45,10 @@ GRAM = 16
 MANY = 20_000
 #: Windows of a run at most; bytes of text handled at once; runs aimed at in a bucket.
 RUN = 64
-PART_BYTES = 2_500_000
+PART_BYTES = 1_500_000
 BUCKET = 700_000
 #: Bytes of contexts aimed at in a group that is sorted.
-SORTED_BYTES = 1_500_000
+SORTED_BYTES = 1_000_000
 BATCH_BYTES = 16_000_000
 
 
@@ -286,8 +286,8 @@ def covered_parts(data: np.ndarray, offsets: np.ndarray, doc: np.ndarray, length
     sizes = np.diff(offsets)
     # Values from 2 on, with a 1 after every piece; what stands behind it never counts, as windows
     # that cross it are left out.
-    text = np.ones(len(data) + len(sizes), np.int64)
-    text[np.arange(len(data)) + np.repeat(np.arange(len(sizes)), sizes)] = data + np.int64(2)
+    text = np.ones(len(data) + len(sizes), np.int16)
+    text[np.arange(len(data)) + np.repeat(np.arange(len(sizes)), sizes)] = data.astype(np.int16) + 2
     begin = offsets[:-1] + np.arange(len(sizes))
     order = suffix_array(text)
     of = np.searchsorted(begin, order, "right") - 1

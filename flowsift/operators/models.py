@@ -187,7 +187,7 @@ def train_rbf_svm(
 
 def search_rbf_svm(
     train: DataFrame, features: list[str], key: list[str], grid: dict | None = None,
-    folds: int = CV_FOLDS, parallelism: int = 4, seed: int = SEED, **settings,
+    folds: int = CV_FOLDS, parallelism: int = 8, seed: int = SEED, **settings,
 ) -> Fitted:
     """Cross-validated F1 for every C and gamma, refit on all rows with the best.
 

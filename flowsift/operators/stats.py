@@ -95,7 +95,7 @@ def exact_quantiles(
                 pos = q * (n - 1)
                 spans[i, j] = {
                     "lo": lo, "hi": hi, "below": 0, "inside": n, "part": pos - math.floor(pos),
-                    "first": math.floor(pos) + 1, "last": math.ceil(pos) + 1,
+                    "first": math.floor(pos) + 1, "last": math.ceil(pos) + 1, "slack": 1.0,
                 }
     if not spans:
         empty = ", ".join(f"q_{j} double" for j in range(len(qs)))
@@ -124,6 +124,9 @@ def exact_quantiles(
         for k, ij in enumerate(order):
             s, (lo, hi), (below, inside) = spans[ij], ends[k], counts[2 * k : 2 * k + 2]
             fits = below < s["first"] and s["last"] <= below + inside
+            if not fits and 2.0 * s["slack"] < ACCURACY:  # the sketch was off: ask for more
+                s["slack"] *= 8.0
+                continue
             narrower = fits and inside < s["inside"]
             if narrower:
                 s.update(lo=lo, hi=hi, below=below, inside=inside)
@@ -164,7 +167,7 @@ def exact_quantiles(
 
 def _around(s: dict) -> list[float]:
     """Shares of the rows inside that enclose both ranks, sketch error and rounding included."""
-    slack = 2.0 / ACCURACY + 2.0 / s["inside"]
+    slack = s["slack"] * (2.0 / ACCURACY + 2.0 / s["inside"])
     return [max(0.0, (s["first"] - s["below"]) / s["inside"] - slack),
             min(1.0, (s["last"] - s["below"]) / s["inside"] + slack)]
 

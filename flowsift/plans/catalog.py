@@ -554,12 +554,11 @@ def score_csv_file(spark, sf):
 
 @query
 def training_run(spark, sf):
-    """The whole training run on the flow CSV with a small grid: its listed metrics."""
+    """The whole training run on the flow CSV with all its parts: its listed metrics."""
     out = scratch_path(spark, "training")
-    jobs.training_run(
-        spark, _flow_csv(spark, sf), out, T.EV_SPEC, grid={"C": [10.0], "gamma": ["scale"]},
-        repeats=2, dimensions=64, max_iter=10)
-    return artifacts.list_runs(spark, f"{out}/runs").select("experiment_id", "metrics", "features")
+    jobs.training_run(spark, _flow_csv(spark, sf), out, T.EV_SPEC, benchmark=True, multiclass=True,
+                      ablation=True)
+    return artifacts.list_runs(spark, f"{out}/runs").select("metrics", "features")
 
 
 @query
@@ -573,22 +572,20 @@ def logreg_scores(spark, sf):
 def rf_scores(spark, sf):
     split = _split_flows(spark, sf)
     return _scores(split, models.train_benchmark(
-        "random_forest", split.where("not is_test"), T.EV_FEATURES, trees=50, max_depth=8))
+        "random_forest", split.where("not is_test"), T.EV_FEATURES))
 
 
 @query
 def rff_svm_scores(spark, sf):
     split = _split_flows(spark, sf)
     return _scores(split, models.train_rbf_svm(
-        split.where("not is_test"), T.EV_FEATURES, 10.0, "scale", dimensions=256))
+        split.where("not is_test"), T.EV_FEATURES, 10.0, "scale"))
 
 
 @query
 def rbf_grid_search(spark, sf):
     split = _split_flows(spark, sf)
-    found = models.search_rbf_svm(
-        split.where("not is_test"), T.EV_FEATURES, T.EV_KEY,
-        {"C": [1.0, 10.0], "gamma": ["scale", 0.1]}, dimensions=128, max_iter=10)
+    found = models.search_rbf_svm(split.where("not is_test"), T.EV_FEATURES, T.EV_KEY)
     return models.grid_table(spark, found.grid)
 
 
@@ -611,9 +608,9 @@ def model_importance(spark, sf):
     """Permutation importance of a fitted RBF model on its test rows."""
     split = _split_flows(spark, sf)
     fitted = models.train_rbf_svm(
-        split.where("not is_test"), T.EV_FEATURES, 10.0, "scale", dimensions=64, max_iter=10)
+        split.where("not is_test"), T.EV_FEATURES, 10.0, "scale")
     return importance.model_permutation_importance(
-        split.where("is_test"), T.EV_FEATURES, models.LABEL, T.EV_KEY, fitted.model, repeats=3)
+        split.where("is_test"), T.EV_FEATURES, models.LABEL, T.EV_KEY, fitted.model)
 
 
 def _category_split(spark: SparkSession, sf: str) -> DataFrame:
@@ -707,34 +704,48 @@ def pca_explained(spark, sf):
 def benchmark_models(spark, sf):
     split = _split_flows(spark, sf)
     return jobs.benchmark_experiment(
-        split.where("not is_test"), split.where("is_test"), T.EV_FEATURES,
-        {"random_forest": {"trees": 20, "max_depth": 6}})
+        split.where("not is_test"), split.where("is_test"), T.EV_FEATURES).drop("train_time")
 
 
 @query
 def ablation_run(spark, sf):
     split = _split_flows(spark, sf)
     return jobs.ablation_experiment(
-        split.where("not is_test"), split.where("is_test"), T.EV_FEATURES, T.EV_SPEC, max_iter=20)
+        split.where("not is_test"), split.where("is_test"), T.EV_FEATURES, T.EV_SPEC).drop("train_time")
 
 
 @query
 def binary_run(spark, sf):
-    """Linear against RBF SVM with a small grid: the comparison table."""
+    """Linear against RBF SVM: the comparison table."""
     split = _split_flows(spark, sf)
     return jobs.binary_experiment(
-        split.where("not is_test"), split.where("is_test"), T.EV_FEATURES, T.EV_KEY,
-        {"C": [10.0], "gamma": ["scale"]}, repeats=2, dimensions=64, max_iter=10).comparison
+        split.where("not is_test"), split.where("is_test"), T.EV_FEATURES,
+        T.EV_KEY).comparison.drop("train_time")
 
 
 @query
 def drift_run(spark, sf):
     split = _split_flows(spark, sf)
-    fitted = models.train_linear_svm(split.where("not is_test"), T.EV_FEATURES, max_iter=20)
+    fitted = models.train_linear_svm(split.where("not is_test"), T.EV_FEATURES)
     _, impact = jobs.drift_run(split.drop("is_test"), T.EV_FEATURES, T.EV_KEY, fitted, 1.5)
     return impact
 
 
+@query
+def drift_run_distributions(spark, sf):
+    """The other result of the drift run: how far the perturbed test rows moved."""
+    split = _split_flows(spark, sf)
+    fitted = models.train_linear_svm(split.where("not is_test"), T.EV_FEATURES)
+    return jobs.drift_run(split.drop("is_test"), T.EV_FEATURES, T.EV_KEY, fitted, 1.5)[0]
+
+
+@query
+def multiclass_confusion(spark, sf):
+    """Confusion counts of the multiclass run."""
+    cleaned = landed(_cleaned(spark, sf), "cleaned")
+    return jobs.multiclass_experiment(cleaned, T.EV_FEATURES, T.EV_KEY, T.EV_SPEC)[2]
+
+
 # --- streams --------------------------------------------------------------------
 
 

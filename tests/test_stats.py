@@ -117,3 +117,18 @@ def test_label_index(spark):
     df = spark.createDataFrame([("b",), ("a",), (None,), ("c",), ("a",)], "y string")
     got = [tuple(r) for r in features.index_labels(df, "y", "i").orderBy("y").collect()]
     assert got == [(None, None), ("a", 0), ("a", 0), ("b", 1), ("c", 2)]
+
+
+def test_quantiles_ask_again_when_a_sketch_is_off(spark, monkeypatch):
+    df = spark.range(5000).select(F.sin("id").alias("v"))
+    want = stats.exact_quantiles(df, ["v"]).first()
+    asked = []
+
+    def off(c, qs):
+        """A sketch whose first answers all lie too high."""
+        asked.append(qs)
+        return F.percentile_approx(c, qs if len(asked) > 2 else [min(1.0, q + 0.2) for q in qs], 10000)
+
+    monkeypatch.setattr(stats, "FINE", 10)
+    monkeypatch.setattr(stats, "_sketch", off)
+    assert stats.exact_quantiles(df, ["v"]).first() == want and len(asked) > 2

@@ -385,4 +385,4 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     """Documents without near copies of a document with a smaller id, with all columns as they
     are. Of rows that share an id, all stay or go together; rows without an id stay."""
     gone = near_classes(docs).where(F.col("component_id") != F.col("doc_id")).select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    return docs.join(gone.hint("merge"), "doc_id", "left_anti").select(docs.columns)

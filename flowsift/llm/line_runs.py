@@ -109,7 +109,8 @@ def dedup(docs: DataFrame, min_lines: int = MIN_LINES) -> DataFrame:
     a column of that name."""
     docs = docs.drop("line_runs")
     gone = land(later_copies(docs, min_lines), "gone")
-    rows = docs.select(row_key().alias("row"), "text", F.struct(*docs.columns).alias("doc")).join(gone, "row", "left")
+    rows = docs.select(row_key().alias("row"), "text", F.struct(*docs.columns).alias("doc")).join(
+        gone.hint("merge"), "row", "left")  # at every size alike, by a shuffle
     flat = rows.select("doc", "text", "gone")
     schema = T.StructType([
         flat.schema["doc"], T.StructField("text", T.StringType()),

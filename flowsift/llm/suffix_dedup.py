@@ -205,7 +205,7 @@ def _fetched(rows: DataFrame, asked: DataFrame, length: int) -> DataFrame:
     """The runs to be compared: name, row, doc, at, size, bytes. Runs of grams with many contexts
     come as single windows without bytes, whose name says what they hold."""
     per = asked.groupBy("row").agg(F.collect_list(F.struct("at", "size", "name", "many")).alias("asked"))
-    both = rows.join(per, "row").select("row", "doc", "text", "asked")
+    both = rows.join(per.hint("merge"), "row").select("row", "doc", "text", "asked")
 
     def run(batches):
         for batch in batches:
@@ -344,7 +344,7 @@ def dedup(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     spans = repeated_spans(docs, length)
     others = [c for c in docs.columns if c != "text"]
     rows = docs.select(F.xxhash64("doc_id", "text").alias("row"), F.struct(*others).alias("doc"), "text").join(
-        spans, "row", "left").select("doc", "text", "spans")
+        spans.hint("merge"), "row", "left").select("doc", "text", "spans")
     run_type = T.ArrayType(T.StructType([T.StructField("from", T.IntegerType()), T.StructField("to", T.IntegerType())]))
     schema = T.StructType([
         T.StructField("doc", rows.schema["doc"].dataType), T.StructField("text", T.StringType()),

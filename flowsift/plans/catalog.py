@@ -347,7 +347,7 @@ def distribution_compare_tables(spark, sf):
     flows = _cleaned(spark, sf)
     day = F.col("flow_day")
     return stats.distribution_comparison(
-        flows.where(day < SPLIT_DAY), flows.where(day >= SPLIT_DAY), T.EV_FEATURES, (4, 2))
+        flows.where(day < SPLIT_DAY), flows.where(day >= SPLIT_DAY), T.EV_FEATURES, (1, 2))
 
 
 @query

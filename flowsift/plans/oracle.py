@@ -194,12 +194,14 @@ from (
     return f"with {source}" + "\nunion all".join(one)
 
 
-def comparison(source: str, rows: str, names: list[str], first: str, second: str) -> str:
+def comparison(
+    source: str, rows: str, names: list[str], first: str, second: str, digits: int = 4
+) -> str:
     one = [
         f"""
-select '{f}' as feature, round(a, 4) as train_mean, round(b, 4) as shifted_mean,
+select '{f}' as feature, round(a, {digits}) as train_mean, round(b, {digits}) as shifted_mean,
   round(abs(b - a) / (sa + 1e-10::double) * 100.0::double, 2) as mean_change_pct,
-  round(sa, 4) as train_std, round(sb, 4) as shifted_std,
+  round(sa, {digits}) as train_std, round(sb, {digits}) as shifted_std,
   round(abs(sb - sa) / (sa + 1e-10::double) * 100.0::double, 2) as std_change_pct
 from (select avg({f}) filter (where {first}) as a, avg({f}) filter (where {second}) as b,
         stddev_samp({f}) filter (where {first}) as sa,
@@ -543,7 +545,7 @@ select user_id, flow_day, copy_no, raw_label, weight from named join w on c = ra
         LI, "li", T.LI_FEATURES, f"ship_year < {SPLIT_YEAR}", f"ship_year >= {SPLIT_YEAR}"),
     "distribution_compare_tables": comparison(
         CLEANED, "cleaned", EV,
-        f"flow_day < '{SPLIT_DAY}'", f"flow_day >= '{SPLIT_DAY}'"),
+        f"flow_day < '{SPLIT_DAY}'", f"flow_day >= '{SPLIT_DAY}'", 1),
     "perturb_columns": perturbed(),
     "covariance_matrix": covariance(),
     "confusion_binary": f"with {SCORED} select {counts()} from called",

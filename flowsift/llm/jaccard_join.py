@@ -316,17 +316,17 @@ def _joined(labels: DataFrame, links: DataFrame) -> DataFrame:
 
 def _hubs(rows: DataFrame, most: int) -> tuple[DataFrame, DataFrame]:
     """Codes whose classes are in several components: how many pairs are left, and up to `most`
-    rows of the largest component of each, by class."""
-    own = F.struct("class", "comp", "n", "place", "after")
-    per = rows.groupBy("code", "comp").agg(F.count(F.lit(1)).alias("k"))
-    size = F.struct("k", "comp")
+    rows of the largest component of each. A low place in the order means that a class has few
+    shingles of its own, as the text that others were copied from, so low places come first."""
+    per = rows.groupBy("code", "comp").agg(F.count(F.lit(1)).alias("k"), (-F.min("place")).alias("near"))
+    size = F.struct("k", "near", "comp")
     codes = land(per.groupBy("code").agg(
         F.sum("k").alias("k"), F.sum(F.col("k").cast("double") * F.col("k")).alias("squares"),
         F.max(size).alias("top"), F.count(F.lit(1)).alias("comps")).where("comps > 1").select(
         "code", "k", ((F.col("k").cast("double") * F.col("k") - F.col("squares")) / 2).alias("pairs"),
         F.col("top.comp").alias("comp")), "codes")
-    # Of a frequent shingle only the classes of smallest hash are kept, before and after the shuffle.
-    nth = F.row_number().over(Window.partitionBy("code").orderBy("class"))
+    # Of a frequent shingle only so many classes are kept, before and after the shuffle.
+    nth = F.row_number().over(Window.partitionBy("code").orderBy("place", "class"))
     top = rows.join(codes.select("code", "comp"), ["code", "comp"]).withColumn("nth", nth).where(
         F.col("nth") <= most)
     return codes, top.select("code", "class", "comp", "n", "place", "after")

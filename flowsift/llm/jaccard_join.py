@@ -39,7 +39,7 @@ from flowsift.llm.textbytes import PartHashes, parts, scrambled, words
 SIZE = 5
 PERCENT = 75
 #: Shingles of a bucket; bytes of text handled at once.
-BUCKET = 2_000_000
+BUCKET = 4_000_000
 PART_BYTES = 2_000_000
 #: One class in so many is looked at for very frequent shingles, which are those in more than a
 #: 500th of that sample (8 classes at least). So their list has 500 times the mean set size at most.

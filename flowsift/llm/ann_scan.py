@@ -7,9 +7,13 @@ list. A query scans its nearest lists block of columns by block of columns and a
 candidate as soon as a hypothesis test on the partial distance says that it is farther than the
 worst neighbour held. What survives is scored exactly on the original vectors.
 
+How many lists a query needs depends on the vectors and on their number, so it is measured: the
+neighbours of a bounded set of the queries are found by brute force over all rows, and probes, up to
+all lists, and if need be the test's strictness are raised until enough of them are found.
+
 Equal vectors are one candidate with its smallest ids, and equal queries are searched once, so a
-vector with a third of all rows costs as much as any other. Lists and their queries are dealt out
-in blocks of bounded size.
+vector with a third of all rows costs as much as any other. Groups of lists and their queries are
+dealt out in blocks of bounded size.
 
 Cases: vectors that are null, zero, or hold a null or non-finite component take no part; nor do
 vectors of another length than the most frequent one; ties go to the smaller id; fewer candidates
@@ -19,6 +23,8 @@ no rows; other columns of the input are left out.
 
 from __future__ import annotations
 
+from bisect import bisect_left
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -30,11 +36,17 @@ from flowsift.llm.scratch import land
 SAMPLE = 20_000
 LIST_SIZE = 256
 MAX_LISTS = 4_096
-#: Share of the lists a query scans, and how many at least.
+#: Share of the lists a query scans, and how many at least; more where the measured recall asks for it.
 PROBE_SHARE = 0.1
 LEAST_PROBES = 16
-#: Rows of a list, and queries, in one block.
-BLOCK = 4_096
+#: Queries that recall is measured on, and the recall that must be reached less two standard errors.
+TRIED = 256
+WANTED = 0.95
+#: Lists that are dealt out together; rows of such a group, and queries, in one block. Every query
+#: gets k + 1 candidates from each block of rows that it meets, so those are the larger ones.
+GROUP = 64
+BLOCK = 16_384
+ASKERS = 2_048
 #: Columns compared between two tests, and the test's strictness: larger loses fewer neighbours.
 COLUMNS = 16
 EPSILON = 2.1
@@ -83,7 +95,7 @@ def centroids(x: np.ndarray, n: int, rounds: int = 12, seed: int = 42) -> np.nda
 
 
 def nearest(x: np.ndarray, c: np.ndarray, n: int) -> np.ndarray:
-    """The n nearest centroids of each row, in no order."""
+    """The n nearest centroids of each row, in no order. All of them if n is their number."""
     out, half = np.empty((len(x), n), np.int64), (c * c).sum(axis=1) / 2
     for i in range(0, len(x), 1024):
         far = half - x[i:i + 1024] @ c.T
@@ -135,28 +147,29 @@ def search(df: DataFrame, queries: DataFrame, k: int = 20, id_col: str = "vec_id
     index = _index(found, size_row["n"], float(np.sqrt(size_row["longest"])))
     shared = spark.sparkContext.broadcast(index)  # bounded by MAX_LISTS
     n_lists = len(index["centroids"])
-    probes = min(n_lists, max(least_probes, round(probe_share * n_lists)))
+    least = min(n_lists, max(least_probes, round(probe_share * n_lists)))
 
-    in_list = _listed(found, shared, 1, "class long, ids array<long>, vec array<double>")
+    in_list = land(_listed(found, shared), "lists")
     queries_of = found.select("vec", "class").join(wanted, "vec").select(F.col("id").alias("query_id"), "class", "vec")
     queries_of = land(queries_of, "queries")
-    probing = _listed(queries_of.select("class", "vec").distinct(), shared, probes, "class long, vec array<double>")
-    in_list, probing = land(in_list, "lists"), land(probing, "probes")
+    asking = queries_of.select("class", "vec").distinct()
+    probes, epsilon = _effort(in_list, asking, index, k, least)
+    probing = land(_probing(asking, shared, probes), "probes")
 
-    blocks = in_list.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
-    asked = probing.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("askers"))
-    sizes = F.broadcast(blocks.join(asked, "list"))  # a row per list, MAX_LISTS at most
+    blocks = in_list.groupBy("group").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("blocks"))
+    asked = probing.groupBy("group").agg(F.ceil(F.count(F.lit(1)) / ASKERS).cast("int").alias("askers"))
+    sizes = F.broadcast(blocks.join(asked, "group"))  # a row per group, MAX_LISTS / GROUP at most
 
     def dealt(rows, own, other):
-        return rows.join(sizes, "list").withColumn(
+        return rows.join(sizes, "group").withColumn(
             own, F.pmod(F.xxhash64("class"), F.col(own + "s")).cast("int")).withColumn(
             other, F.explode(F.sequence(F.lit(0), F.col(other + "s") - 1)))
 
-    keys = ["list", "block", "asker"]
-    left = dealt(in_list, "block", "asker").select(*keys, "class", "ids", "vec")
-    right = dealt(probing, "asker", "block").select(*keys, "class", "vec")
+    keys = ["group", "block", "asker"]
+    left = dealt(in_list, "block", "asker").select(*keys, "list", "class", "ids", "vec")
+    right = dealt(probing, "asker", "block").select(*keys, "lists", "class", "vec")
     near = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(
-        _scanner(shared, k), "query long, class long, ids array<long>, score double")
+        _scanner(shared, k, epsilon), "query long, class long, ids array<long>, score double")
 
     best = Window.partitionBy("query").orderBy(F.desc("score"), "class")
     few = near.withColumn("nth", F.row_number().over(best)).where(F.col("nth") <= k + 1)
@@ -185,27 +198,123 @@ def _matrix(column) -> np.ndarray:
     return np.asarray(column.flatten(), dtype=np.float64).reshape(len(column), -1)
 
 
-def _listed(rows: DataFrame, shared, n: int, schema: str) -> DataFrame:
-    """Rows with each of their n nearest lists. As a query has no extra dimension of its own, the
-    nearest lists of a query are those of the vector with 0 there."""
-    columns = [f.split()[0] for f in schema.split(", ")]
-
+def _listed(rows: DataFrame, shared) -> DataFrame:
+    """class, ids and vec with the nearest list and its group."""
     def run(batches):
         index = shared.value
         for batch in batches:
             if not len(batch):
                 continue
-            x = _matrix(batch.column("vec"))
-            own = lengthened(x, index["longest"]) if n == 1 else np.pad(x, ((0, 0), (0, 1)))
-            lists = nearest(own @ index["turn"], index["centroids"], n)
-            for j in range(n):
+            x = lengthened(_matrix(batch.column("vec")), index["longest"])
+            lists = nearest(x @ index["turn"], index["centroids"], 1)[:, 0]
+            yield pa.RecordBatch.from_arrays([pa.array(lists // GROUP), pa.array(lists), *batch.columns],
+                                             names=["group", "list", *batch.schema.names])
+
+    return rows.select("class", "ids", "vec").mapInArrow(
+        run, "group long, list long, class long, ids array<long>, vec array<double>")
+
+
+def _turned(queries: np.ndarray, index: dict) -> np.ndarray:
+    """Queries have 0 in the dimension that makes candidates equally long."""
+    return np.pad(queries, ((0, 0), (0, 1))) @ index["turn"]
+
+
+def _effort(in_list: DataFrame, asking: DataFrame, index: dict, k: int, least: int) -> tuple[int, float]:
+    """Lists to probe, `least` of them or more, and epsilon, so that the recall is WANTED.
+
+    A neighbour found by brute force is held for lost if its list is not among the probed ones or if
+    it would be abandoned against the distance of the true k-th; the scan never knows a smaller one."""
+    n_lists, spark = len(index["centroids"]), in_list.sparkSession
+    tried = asking.orderBy(F.xxhash64("class"), "class").limit(TRIED).toArrow()
+    if not len(tried) or least == n_lists and index["turn"].shape[0] <= COLUMNS:  # nothing can be lost
+        return least, EPSILON
+    names, q = np.asarray(tried.column("class")), _matrix(tried.column("vec"))
+    best = _brute(in_list, spark.sparkContext.broadcast(q), k + 1)  # TRIED times k + 1 rows
+    rows = in_list.join(F.broadcast(spark.createDataFrame(best, "query int, class long")), "class").select(
+        "query", "class", "list", F.size("ids").alias("n"), "vec").toArrow()
+    asker, own, n = (np.asarray(rows.column(c)) for c in ("query", "class", "n"))
+    x, turned = _matrix(rows.column("vec")), _turned(q, index)
+    far = (index["centroids"] ** 2).sum(axis=1) / 2 - turned @ index["centroids"].T
+    place = np.argsort(np.argsort(far, axis=1, kind="stable"), axis=1)[asker, np.asarray(rows.column("list"))]
+    strict = _strictness(turned[asker], lengthened(x, index["longest"]) @ index["turn"], asker, k + 1)
+    score = (x * q[asker]).sum(axis=1)
+    n = n - (own == names[asker])  # a row is no neighbour of its own
+    at = np.lexsort((own, -score, asker))
+    share = np.zeros(len(n))  # of the k neighbours of its query
+    for i in range(len(q)):
+        mine = at[asker[at] == i]
+        counted = np.minimum(np.cumsum(n[mine]), k)
+        share[mine] = np.diff(counted, prepend=0) / max(counted[-1], 1)
+    asked = np.unique(asker[share > 0])
+
+    def safe(probes: int, epsilon: float) -> bool:
+        hit = np.bincount(asker, share * ((place < probes) & (strict <= epsilon)), len(q))[asked]
+        return not len(hit) or hit.mean() - 2 * hit.std() / np.sqrt(len(hit)) >= WANTED
+
+    epsilon = next(e for e in (EPSILON, 2 * EPSILON, 4 * EPSILON, 1e6) if e == 1e6 or safe(n_lists, e))
+    return least + bisect_left(range(least, n_lists), True, key=lambda p: safe(p, epsilon)), epsilon
+
+
+def _strictness(queries: np.ndarray, rows: np.ndarray, asker: np.ndarray, k: int) -> np.ndarray:
+    """The least epsilon at which scan() keeps each row, if it knew the k-th distance of its query."""
+    size = rows.shape[1]
+    far = np.cumsum((rows - queries) ** 2, axis=1)
+    worst = np.zeros(asker.max() + 1)
+    np.maximum.at(worst, asker, far[:, -1])
+    worst[np.bincount(asker) < k] = np.inf
+    out = np.zeros(len(rows))
+    for done in range(COLUMNS, size, COLUMNS):
+        part = far[:, done - 1] * size / done / np.maximum(worst[asker], 1e-300)
+        out = np.maximum(out, np.where(far[:, done - 1] > 1e-9, (np.sqrt(part) - 1) * np.sqrt(done), 0))
+    return out
+
+
+def _brute(rows: DataFrame, shared, k: int) -> list[tuple[int, int]]:
+    """Number and class of the k largest inner products of each query, over all rows."""
+    def run(batches):
+        q = shared.value
+        score, own = np.full((len(q), k), -np.inf), np.zeros((len(q), k), np.int64)
+        for batch in batches:
+            for i in range(0, len(batch), 4_096):
+                part = batch.slice(i, 4_096)
+                score = np.concatenate([score, q @ _matrix(part.column("vec")).T], axis=1)
+                own = np.concatenate([own, np.broadcast_to(np.asarray(part.column("class")), (len(q), len(part)))], axis=1)
+                top = np.argpartition(-score, k - 1, axis=1)[:, :k]
+                score, own = np.take_along_axis(score, top, 1), np.take_along_axis(own, top, 1)
+        query, at = np.nonzero(score > -np.inf)
+        yield pa.RecordBatch.from_arrays([pa.array(query.astype(np.int32)), pa.array(own[query, at]),
+                                          pa.array(score[query, at])], names=["query", "class", "score"])
+
+    near = rows.select("class", "vec").mapInArrow(run, "query int, class long, score double")
+    order = Window.partitionBy("query").orderBy(F.desc("score"), "class")
+    tops = near.withColumn("nth", F.row_number().over(order)).where(F.col("nth") <= k)
+    return [(r["query"], r["class"]) for r in tops.select("query", "class").collect()]
+
+
+def _probing(asking: DataFrame, shared, probes: int) -> DataFrame:
+    """Each query with its nearest lists, a row per group of lists."""
+    def run(batches):
+        index = shared.value
+        for batch in batches:
+            for start in range(0, len(batch), step):
+                part = batch.slice(start, step)
+                lists = nearest(_turned(_matrix(part.column("vec")), index), index["centroids"], probes).ravel()
+                row = np.repeat(np.arange(len(part)), probes)
+                order = np.lexsort((lists, row))
+                lists, key = lists[order], row[order] * n_groups + lists[order] // GROUP
+                first = np.flatnonzero(np.diff(key, prepend=-1))
+                ends = pa.array(np.append(first, len(key)).astype(np.int32))
+                taken = part.take(pa.array(row[order][first]))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(lists[:, j]), *(batch.column(c) for c in columns)], names=["list", *columns])
+                    [pa.array(key[first] % n_groups), pa.ListArray.from_arrays(ends, pa.array(lists)),
+                     *taken.columns], names=["group", "lists", *taken.schema.names])
 
-    return rows.select(*columns).mapInArrow(run, f"list long, {schema}")
+    n_groups, step = MAX_LISTS // GROUP + 1, max(1, 500_000 // probes)
+    return asking.select("class", "vec").mapInArrow(
+        run, "group long, lists array<long>, class long, vec array<double>")
 
 
-def _scanner(shared, k: int):
+def _scanner(shared, k: int, epsilon: float):
     fields = pa.schema([("query", pa.int64()), ("class", pa.int64()), ("ids", pa.list_(pa.int64())),
                         ("score", pa.float64())])
 
@@ -215,13 +324,14 @@ def _scanner(shared, k: int):
         index = shared.value
         x, q = _matrix(left.column("vec")), _matrix(right.column("vec"))
         rows = lengthened(x, index["longest"]) @ index["turn"]
-        turned = np.pad(q, ((0, 0), (0, 1))) @ index["turn"]
-        classes_ = np.asarray(left.column("class"))
-        order = np.argsort(classes_, kind="stable")  # the same answer for any order of rows
-        x, rows, classes_ = x[order], rows[order], classes_[order]
+        turned = _turned(q, index)
+        classes_, lists = np.asarray(left.column("class")), np.asarray(left.column("list"))
+        order = np.lexsort((classes_, lists))  # the same answer for any order of rows
+        x, rows, classes_, lists = x[order], rows[order], classes_[order], lists[order]
         queries, taken, scores = [], [], []
-        for i, name in enumerate(right.column("class").to_pylist()):
-            at = scan(turned[i], rows, k + 1)
+        for i, (name, asked) in enumerate(zip(right.column("class").to_pylist(), right.column("lists").to_pylist())):
+            own = np.concatenate([np.arange(*np.searchsorted(lists, [n, n + 1])) for n in asked])
+            at = own[scan(turned[i], rows if len(own) == len(rows) else rows[own], k + 1, epsilon=epsilon)]
             score = (x[at] * q[i]).sum(axis=1)
             first = np.lexsort((classes_[at], -score))[:k + 1]
             queries += [name] * len(first)

@@ -4,6 +4,8 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 
 import corpus_pipeline
@@ -67,6 +69,42 @@ def test_recall_on_the_given_vectors(spark):
     assert hits / total >= 0.9
 
 
+def like_the_given(n, seed=7):
+    """Vectors with the means and covariances of the given ones, label by label."""
+    rng = np.random.default_rng(seed)
+    rows = pq.read_table("/root/testdata/sf0.1/embeddings.parquet").to_pandas()
+    out = []
+    for _, own in rows.groupby("label"):
+        x = np.stack(own["embedding"]).astype(float)
+        out.append(rng.multivariate_normal(x.mean(axis=0), np.cov(x.T), round(n * len(x) / len(rows)) + 1))
+    return rng.permutation(np.concatenate(out))[:n]
+
+
+def test_recall_on_many_vectors(spark):
+    x = like_the_given(20_000)
+    table = pa.table({"vec_id": np.arange(len(x)), "embedding": list(x)})
+    df = spark.createDataFrame(table)
+    found = {}
+    for r in ann_scan.search(df, df.where("vec_id % 200 = 0")).collect():
+        found.setdefault(r["query_id"], set()).add(r["vec_id"])
+    hits = 0
+    for q in range(0, len(x), 200):
+        score = x @ x[q]
+        score[q] = -np.inf
+        hits += len(found[q] & set(np.argsort(-score)[:20].tolist()))
+    assert len(found) == 100 and hits / 2000 >= 0.9, hits / 2000
+
+
+def test_strictness_is_that_of_the_scan():
+    rng = np.random.default_rng(6)
+    rows, q = rng.normal(size=(600, 64)), rng.normal(size=64)
+    rows = rows[np.argsort(((rows - q) ** 2).sum(axis=1))]
+    strict = ann_scan._strictness(np.tile(q, (10, 1)), rows[:10], np.zeros(10, int), 10)
+    for epsilon in (0.2, 0.7, 2.1):  # the first 512 rows hold the 10 nearest; then comes one of them again
+        kept = [512 in ann_scan.scan(q, np.concatenate([rows[:512], rows[i:i + 1]]), 10, epsilon=epsilon) for i in range(10)]
+        assert kept == (strict <= epsilon).tolist()
+
+
 def test_scan_keeps_the_nearest():
     rng = np.random.default_rng(5)
     rows = rng.normal(size=(3000, 64)) @ ann_scan.rotation(64)

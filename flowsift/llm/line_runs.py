@@ -7,7 +7,8 @@ no other one leave, so each round handles only what is repeated. Ranks at min_li
 intervals of suffixes whose longest common prefix is at least that long; doubling further would
 split them but delete the same lines. In every interval the first suffix in document order stays;
 the windows of the others are deleted, and windows that follow each other make up the maximal
-repeated runs.
+repeated runs. With min_words, a single line of so many words counts as a run of its own, as the
+pipeline stage has it; the query and its SQL twin judge runs by lines alone.
 
 Cases: lines are compared by a 64-bit hash, blanks included; lines without a word are never
 deleted; a null text stays null and has no line; a run that overlaps its first copy in the same
@@ -29,6 +30,8 @@ from flowsift.llm.scratch import land
 from flowsift.llm.tokens import batches_by_size
 
 MIN_LINES = 2
+#: Words that make a single line a run, in the pipeline.
+MIN_WORDS = 50
 VISIBLE = r"[^\x20\x09-\x0D]"
 BATCH_BYTES = 16_000_000
 
@@ -38,11 +41,20 @@ def row_key():
     return F.xxhash64("doc_id", "text")
 
 
-def line_table(docs: DataFrame) -> DataFrame:
-    """row, doc_id, at (number among the lines with a word) and line (hash)."""
-    ids = F.transform(F.filter(F.split("text", "\n"), lambda x: x.rlike(VISIBLE)), lambda x: F.xxhash64(x))
+def long_line(line, min_words: int | None):
+    """Whether a line has min_words words or more; none has if that is None."""
+    blank = r"[\x20\x09-\x0D]"
+    return F.lit(False) if min_words is None else line.rlike(
+        f"^{blank}*+(?:{VISIBLE}++{blank}++){{{max(min_words, 1) - 1}}}{VISIBLE}")
+
+
+def line_table(docs: DataFrame, min_words: int | None = None) -> DataFrame:
+    """row, doc_id, at (number among the lines with a word), line (hash) and long."""
+    ids = F.transform(F.filter(F.split("text", "\n"), lambda x: x.rlike(VISIBLE)), lambda x: F.struct(
+        F.xxhash64(x).alias("line"), long_line(x, min_words).alias("long")))
     rows = docs.select(row_key().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), ids.alias("ids"))
-    return rows.select("row", "doc_id", F.posexplode("ids").alias("at", "line"))
+    flat = rows.select("row", "doc_id", F.posexplode("ids").alias("at", "item"))
+    return flat.select("row", "doc_id", "at", "item.line", "item.long")
 
 
 def ranked(keys: DataFrame, by: list[str]) -> DataFrame:
@@ -91,24 +103,30 @@ def suffix_ranks(lines: DataFrame, length: int) -> DataFrame:
     return ranks
 
 
-def later_copies(docs: DataFrame, min_lines: int = MIN_LINES) -> DataFrame:
-    """row and the sorted numbers of its lines to delete."""
-    lines = land(line_table(docs).distinct(), "lines")
-    ranks = suffix_ranks(lines, min_lines)
+def _later_windows(rows: DataFrame, by: str, length: int) -> DataFrame:
+    """row and at of the lines in windows of this length that have the key of an earlier one."""
     order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row", "at")
-    first = ranks.groupBy("rank").agg(F.min(order).alias("first"))
-    later = ranks.join(first, "rank").where(
-        (F.col("row") != F.col("first.row")) | (F.col("at") >= F.col("first.at") + min_lines))
-    windows = later.select("row", F.explode(F.sequence(F.col("at"), F.col("at") + min_lines - 1)).alias("at"))
+    first = rows.groupBy(by).agg(F.min(order).alias("first"))
+    later = rows.join(first, by).where(
+        (F.col("row") != F.col("first.row")) | (F.col("at") >= F.col("first.at") + length))
+    return later.select("row", F.explode(F.sequence(F.col("at"), F.col("at") + length - 1)).alias("at"))
+
+
+def later_copies(docs: DataFrame, min_lines: int = MIN_LINES, min_words: int | None = None) -> DataFrame:
+    """row and the sorted numbers of its lines to delete."""
+    lines = land(line_table(docs, min_words).distinct(), "lines")
+    windows = _later_windows(suffix_ranks(lines, min_lines), "rank", min_lines)
+    if min_words is not None:
+        windows = windows.union(_later_windows(_repeated(lines.where("long"), ["line"]), "rank", 1))
     return windows.groupBy("row").agg(F.sort_array(F.collect_set("at")).alias("gone"))
 
 
-def dedup(docs: DataFrame, min_lines: int = MIN_LINES) -> DataFrame:
+def dedup(docs: DataFrame, min_lines: int = MIN_LINES, min_words: int | None = None) -> DataFrame:
     """The documents with all their columns, text without later copies of line runs, and a struct
     `line_runs` of n_lines, n_removed and n_runs (maximal deleted runs), which takes the place of
     a column of that name."""
     docs = docs.drop("line_runs")
-    gone = land(later_copies(docs, min_lines), "gone")
+    gone = land(later_copies(docs, min_lines, min_words), "gone")
     rows = docs.select(row_key().alias("row"), "text", F.struct(*docs.columns).alias("doc")).join(
         gone.hint("merge"), "row", "left")  # at every size alike, by a shuffle
     flat = rows.select("doc", "text", "gone")
@@ -154,7 +172,7 @@ def without(text: str | None, numbers: list[int]) -> tuple[str | None, tuple[int
 def deduped_documents(docs: DataFrame) -> DataFrame:
     """Documents with their columns; text and n_chars are those after the deletion. A document
     that loses all its lines goes."""
-    done = dedup(docs)
+    done = dedup(docs, min_words=MIN_WORDS)
     left = done.where((F.col("line_runs.n_lines") == 0) | (F.col("line_runs.n_removed") < F.col("line_runs.n_lines")))
     chars = F.when(F.col("line_runs.n_removed") > 0, F.char_length("text")).otherwise(F.col("n_chars"))
     return left.withColumn("n_chars", chars.cast(docs.schema["n_chars"].dataType)).select(docs.columns)

@@ -276,6 +276,47 @@ def test_line_runs_equal_brute_force(spark, length):
         assert (r["text"], *r["line_runs"]) == expected
 
 
+def cut_long_lines(data, length, words):
+    """Like cut_lines, with lines of so many words as runs of one line."""
+    rows = sorted({(d, t) for d, t, *_ in data})
+    seen, out = {}, {}
+    for doc, text in rows:
+        lines = text.split("\n")
+        own = [k for k, x in enumerate(lines) if re.search(WORD, x)]
+        gone = set()
+        for n in (1, length):
+            for i in range(len(own) - n + 1):
+                key = tuple(lines[k] for k in own[i:i + n])
+                if n == length or len(re.findall(WORD, key[0])) >= words:
+                    first = seen.setdefault(key, (doc, text, i))
+                    if first[:2] != (doc, text) or first[2] + n <= i:
+                        gone.update(range(i, i + n))
+        dropped = {own[i] for i in gone}
+        out[doc] = ("\n".join(x for k, x in enumerate(lines) if k not in dropped), len(own), len(gone),
+                    sum(1 for i in gone if i - 1 not in gone))
+    return out
+
+
+def test_long_lines_are_runs(spark):
+    rnd = random.Random(9)
+    pool = [" ".join(rnd.choice("abcdef") for _ in range(n)) + end
+            for n in (3, 49, 50, 51, 200) for end in ("", " ", "\t\r", " y z")] + ["  " + "q " * 50, "", " "]
+    data = [(i, "\n".join(rnd.choice(pool) for _ in range(rnd.choice([1, 1, 2, 5, 9]))), "en", "s", 1) for i in range(60)]
+    for length, words in ((2, 50), (3, 50), (2, 1)):
+        want = cut_long_lines(data, length, words)
+        got = line_runs.dedup(cases.table(spark, data), length, words).collect()
+        assert {r["doc_id"]: (r["text"], *r["line_runs"]) for r in got} == want
+
+
+def test_pipeline_drops_copies_of_one_long_line(spark):
+    long, short = " ".join(f"w{i}" for i in range(50)), " ".join(f"v{i}" for i in range(49))
+    texts = [long, long, f"a b\n{long}\nc d", short, short, f"e f\n{short}\ng h"]
+    data = [(i, t, "en", "s", len(t)) for i, t in enumerate(texts)]
+    left = line_runs.deduped_documents(cases.table(spark, data, clashing=False)).collect()
+    assert {r["doc_id"]: (r["text"], r["n_chars"]) for r in left} == {
+        0: (long, len(long)), 2: ("a b\nc d", 7), **{i: (texts[i], len(texts[i])) for i in (3, 4, 5)}}
+
+
 def test_line_runs_odd_tables(spark):
     data = cases.rows()
     docs = cases.table(spark, data)

@@ -16,12 +16,14 @@ from flowsift.llm import (
     pack_nnls,
     quality_rules,
     suffix_dedup,
+    token_alignment,
 )
 
 QUERIES: dict = {}
 ORACLE: dict = {}
 
 ENGLISH = public_tokenizers.path("byte_bpe_50k.json")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 MULTI = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 PATTERN = public_tokenizers.PATTERN
 
@@ -91,6 +93,11 @@ def op8_jaccard_join(spark, sf):
     return jaccard_join.near_classes(documents(spark, sf))
 
 
+@query
+def op13_token_alignment(spark, sf):
+    return token_alignment.digests(documents(spark, sf), ENGLISH, PIECES, PATTERN)
+
+
 ORACLE["op7_line_runs"] = r"""
 with split as (
   select doc_id, unnest(string_split(text, chr(10))) as line,

@@ -38,12 +38,13 @@ def _cleaned_shuffles(spark: SparkSession):
             spark.conf.set(CLEANUP_CONF, before)
 
 
-def land(df: DataFrame, name: str) -> DataFrame:
-    """Write a table to the shared folder and read it back: lost executors cost no rerun of it."""
+def land(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
+    """Write a table to the shared folder and read it back: lost executors cost no rerun of it. With
+    `by` it is written in a folder per value, so that a filter on it reads only its part."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/llm-{name}-{uuid.uuid4().hex}"
     with _cleaned_shuffles(spark):
-        df.write.parquet(path)
+        df.write.parquet(path, partitionBy=by)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -15,6 +15,7 @@ from flowsift.llm import (
     pack_bfd,
     pack_nnls,
     quality_rules,
+    simhash_pivots,
     suffix_dedup,
     token_alignment,
 )
@@ -98,6 +99,11 @@ def op13_token_alignment(spark, sf):
     return token_alignment.digests(documents(spark, sf), ENGLISH, PIECES, PATTERN)
 
 
+@query
+def op12_simhash_pivots(spark, sf):
+    return simhash_pivots.near_classes(documents(spark, sf))
+
+
 ORACLE["op7_line_runs"] = r"""
 with split as (
   select doc_id, unnest(string_split(text, chr(10))) as line,

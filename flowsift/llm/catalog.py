@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from flowsift.llm import (
     ann_scan,
     bpe_codec,
+    hard_negatives,
     jaccard_join,
     kd_shards,
     language_cnn,
@@ -99,6 +101,18 @@ def op13_token_alignment(spark, sf):
     return token_alignment.digests(documents(spark, sf), ENGLISH, PIECES, PATTERN)
 
 
+def mined_rows(rows: DataFrame) -> DataFrame:
+    """Embeddings with the labels that op11 mines by."""
+    moved = (F.col("label") + 1) % 10
+    return rows.withColumn("label", F.when(F.col("vec_id") % 7 == 0, moved).otherwise(F.col("label")))
+
+
+@query
+def op11_hard_negatives(spark, sf):
+    rows = spark.read.parquet(f"{sf}/embeddings.parquet")
+    return hard_negatives.mine(mined_rows(rows), F.col("vec_id") % 50 == 0)
+
+
 @query
 def op12_simhash_pivots(spark, sf):
     return simhash_pivots.near_classes(documents(spark, sf))

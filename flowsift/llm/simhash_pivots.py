@@ -184,7 +184,10 @@ def _rekeyed(hot_rows: DataFrame) -> DataFrame:
                 rows = batch.take(pa.array(own))
                 masks = np.array(rows.column("masks")[0].as_py(), np.int64).view(np.uint64).tolist()
                 fp = np.asarray(rows.column("fp")).view(np.uint64)
-                yield _rows(block_keys(fp, masks, int(keys[own[0]])), fp, rows.column("distances"))
+                some = max(1, PART_HASHES // math.comb(len(masks), min(NEAR, len(masks))))
+                for k in range(0, len(fp), some):
+                    yield _rows(block_keys(fp[k:k + some], masks, int(keys[own[0]])), fp[k:k + some],
+                                rows.column("distances").slice(k, some))
 
     return hot_rows.select("key", "fp", "distances", "masks").mapInArrow(run, "key long, fp long, distances binary")
 
@@ -194,28 +197,25 @@ def near_pairs(keys: np.ndarray, fp: np.ndarray, table: np.ndarray) -> tuple[np.
     n = len(keys)
     starts = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1]))) if n else np.empty(0, np.int64)
     end = np.repeat(np.append(starts[1:], n), np.diff(np.append(starts, n)))
-    one, two = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+    label = np.arange(n)  # of each row, the first row that it is known to be connected with
     at, step = np.arange(n), 1
     while True:
         at = at[at + step < end[at]]
         if not len(at):
             break
-        pair = at
+        pair = at[label[at] != label[at + step]]
         for k in range(0, table.shape[1], 4):
             differ = np.abs(table[pair, k:k + 4] - table[pair + step, k:k + 4])
             pair = pair[(differ <= NEAR).all(axis=1)]
         pair = pair[np.bitwise_count(fp[pair] ^ fp[pair + step]) <= NEAR]
-        one.append(pair)
-        two.append(pair + step)
+        while len(pair):
+            least = np.minimum(label[pair], label[pair + step])
+            np.minimum.at(label, label[pair], least)
+            np.minimum.at(label, label[pair + step], least)
+            while (label[label] != label).any():
+                label = label[label]
+            pair = pair[label[pair] != label[pair + step]]
         step += 1
-    one, two = np.concatenate(one), np.concatenate(two)
-    label = np.arange(n)
-    while (label[one] != label[two]).any():
-        least = np.minimum(label[one], label[two])
-        np.minimum.at(label, label[one].copy(), least)
-        np.minimum.at(label, label[two].copy(), least)
-        while (label[label] != label).any():
-            label = label[label]
     joined = np.flatnonzero(label != np.arange(n))
     return joined, label[joined]
 

@@ -5,16 +5,18 @@ from __future__ import annotations
 from functools import reduce
 from operator import add, and_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from flowsift.functions.numeric import INF, display, is_infinite, ratio, to_number
 from flowsift.functions.text import binary_label, category_label, na_to_null
-from flowsift.spec import BENIGN, DEFAULT_SPEC, FlowSpec
+from flowsift.sources.observed import write_observed
+from flowsift.spec import ATTACK, BENIGN, DEFAULT_SPEC, FlowSpec
 
 BAD_TEXT = "_bad_text"
 COPIES = "copies"
+USABLE = "usable"
 
 
 def label_flows(df: DataFrame, spec: FlowSpec = DEFAULT_SPEC) -> DataFrame:
@@ -142,6 +144,41 @@ def imbalance(df: DataFrame, label: str, digits: int | None = None) -> DataFrame
     )
 
 
+def report_metrics(features: list[str], spec: FlowSpec = DEFAULT_SPEC) -> dict[str, Column]:
+    """Everything the report counts, as aggregates that can be observed while the de-duplicated rows
+    are written."""
+    label = F.col(f"`{spec.label_col}`")
+    return {
+        **_report_columns(features),
+        **{f"class_{c}": F.count_if(_usable(features) & (label == c)) for c in (ATTACK, BENIGN)},
+    }
+
+
+def write_deduped(
+    deduped: DataFrame, features: list[str], path: str, spec: FlowSpec = DEFAULT_SPEC
+) -> tuple[DataFrame, dict]:
+    """Write de-duplicated rows, usable ones and others in folders of their own, and count them on
+    the way: the cleaned table and the report's counts, in one pass."""
+    marked = deduped.withColumn(USABLE, F.coalesce(_usable(features), F.lit(False)))
+    written, counts = write_observed(marked, path, report_metrics(features, spec), [USABLE])
+    return written.where(F.col(USABLE)).drop(USABLE, COPIES), counts
+
+
+def counted_report(
+    spark: SparkSession, counts: dict, features: list[str], missing: list[str],
+    spec: FlowSpec = DEFAULT_SPEC, source: str | None = None, fingerprint: str | None = None,
+    corrupt: int = 0,
+) -> DataFrame:
+    """validation_report from counts that were observed."""
+    names = list(_report_columns(features))
+    classes = [(c, counts[f"class_{c}"]) for c in (ATTACK, BENIGN) if counts[f"class_{c}"]]
+    schema = ", ".join(f"{n} bigint" for n in names)
+    row = spark.createDataFrame(
+        [(*[counts[n] for n in names], classes)],
+        f"{schema}, classes array<struct<label: string, cleaned_rows: bigint>>")
+    return _report_row(row, features, missing, spec, source, fingerprint, corrupt)
+
+
 def validation_report(
     deduped: DataFrame, features: list[str], missing: list[str],
     spec: FlowSpec = DEFAULT_SPEC, source: str | None = None, fingerprint: str | None = None,
@@ -153,14 +190,21 @@ def validation_report(
     class_distribution of the raw label. `corrupt` is the number of malformed lines
     that were set aside when the files were read.
     """
-    label, original = spec.label_col, spec.original_label_col
-    by_class = deduped.groupBy(F.col(f"`{label}`").alias("label")).agg(
+    by_class = deduped.groupBy(F.col(f"`{spec.label_col}`").alias("label")).agg(
         *[c.alias(k) for k, c in _report_columns(features).items()])
     entry = F.struct(F.col("label"), F.col("cleaned_rows"))
     row = by_class.agg(
         *[F.coalesce(F.sum(k), F.lit(0).cast("bigint")).alias(k) for k in _report_columns(features)],
         F.sort_array(F.collect_list(F.when(F.col("cleaned_rows") > 0, entry))).alias("classes"),
     )
+    return _report_row(row, features, missing, spec, source, fingerprint, corrupt)
+
+
+def _report_row(
+    row: DataFrame, features: list[str], missing: list[str], spec: FlowSpec, source: str | None,
+    fingerprint: str | None, corrupt: int,
+) -> DataFrame:
+    label, original = spec.label_col, spec.original_label_col
     sizes = F.transform("classes", lambda c: c["cleaned_rows"])
     two = (F.size("classes") == 2) & (F.array_min(sizes) > 0)
     return row.select(

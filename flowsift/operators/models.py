@@ -38,7 +38,9 @@ LABEL, WEIGHT = "y", "weight"
 # only there to end a run that never gets there, which Fitted.converged tells.
 MAX_ITER, TOLERANCE = 10_000, 1e-4
 DIMENSIONS = 512
-CELLS_PER_TASK = 4_000_000
+CELLS_PER_TASK = 1_000_000
+#: A tree costs its rows times the trees, so a forest is grown by this many tasks at least.
+FOREST_TASKS = 64
 
 
 @dataclass
@@ -132,7 +134,7 @@ def build_random_forest(
 
 def _fit(
     train: DataFrame, features: list[str], build: Callable[[DataFrame, int], Pipeline],
-    width: int | None = None,
+    width: int | None = None, least_tasks: int = 1,
 ) -> tuple[PipelineModel, float]:
     """Fit on the prepared rows, held in memory and on disk since several passes read them.
 
@@ -142,17 +144,20 @@ def _fit(
     try:
         n = held.count()
         start = time.perf_counter()
-        data = placed(prepare(held, features), features, n * (width or len(features)))
+        data = placed(prepare(held, features), features, n * (width or len(features)), least_tasks)
         model = build(held, n).fit(data)
         return model, time.perf_counter() - start
     finally:
         held.unpersist()
 
 
-def placed(df: DataFrame, features: list[str], cells: int) -> DataFrame:
-    """Rows in partitions and in an order that their content decides: a forest draws its samples
-    per partition, so the fit depends on nothing else."""
-    tasks = max(1, math.ceil(cells / CELLS_PER_TASK))
+def placed(df: DataFrame, features: list[str], cells: int, least_tasks: int = 1) -> DataFrame:
+    """Rows in partitions and in an order that their content decides, and in a number of them that
+    the amount of data decides: a forest draws its samples per partition, so the fit depends on
+    nothing else."""
+    tasks = least_tasks
+    while tasks * CELLS_PER_TASK < cells:
+        tasks *= 2
     content = [F.col(f"`{f}`") for f in features] + [F.col(LABEL)]
     return df.repartition(tasks, F.xxhash64(*content)).sortWithinPartitions(*content)
 
@@ -245,7 +250,8 @@ def train_benchmark(kind: str, train: DataFrame, features: list[str], **settings
     if kind not in BENCHMARKS:
         raise ValueError(f"{kind!r} is none of the benchmark models {sorted(BENCHMARKS)}")
     build = BENCHMARKS[kind][1]
-    model, seconds = _fit(train, features, lambda held, n: build(features, n, **settings))
+    model, seconds = _fit(train, features, lambda held, n: build(features, n, **settings),
+                          least_tasks=FOREST_TASKS if kind == "random_forest" else 1)
     return Fitted(model, features, kind, None, None, seconds)
 
 

@@ -44,7 +44,7 @@ def stratified_sample(
         return ranked.select(CLASS, F.lit(0).alias("cut"), rank.alias("rank"))
 
     by = F.col(label)
-    sliced = slice_rows(df, by, order_hash(seed, *_cols(key)), cuts, 1, "_slice")
+    sliced = slice_rows(df, by, order_hash(seed, *_cols(key)), cuts, 1, "_slice", size)
     return sliced.where(F.col("_slice") == 0).drop("_slice")
 
 
@@ -57,7 +57,7 @@ def top_n_sample(
         rank = F.least(F.col("n"), F.lit(n).cast("bigint"))
         return totals.select(CLASS, F.lit(0).alias("cut"), rank.alias("rank"))
 
-    sliced = slice_rows(df, _class(by), order_hash(seed, *_cols(key)), cuts, 1, "_slice")
+    sliced = slice_rows(df, _class(by), order_hash(seed, *_cols(key)), cuts, 1, "_slice", n)
     return sliced.where(F.col("_slice") == 0).drop("_slice")
 
 

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flowsift.functions.numeric import finite, is_number_text, to_number
+from flowsift.sources.observed import write_observed
 from flowsift.spec import ATTACK, BENIGN
 
 
@@ -118,13 +119,22 @@ def score_with_model(df: DataFrame, model: PipelineModel, features: list[str]) -
         *read, F.col("_score").alias("decision_score"), class_of(F.col("_score")).alias("prediction"))
 
 
-def score_summary(scored: DataFrame) -> DataFrame:
+def summary_metrics() -> dict[str, Column]:
     """Rows in total, scored, left out, and rows per predicted class."""
     p = F.col("prediction")
-    return scored.agg(
-        F.count(F.lit(1)).alias("total_rows"),
-        F.count(p).alias("valid_rows"),
-        F.count_if(p.isNull()).alias("nan_rows_dropped"),
-        F.count_if(p == BENIGN).alias("benign"),
-        F.count_if(p == ATTACK).alias("attack"),
-    )
+    return {
+        "total_rows": F.count(F.lit(1)),
+        "valid_rows": F.count(p),
+        "nan_rows_dropped": F.count_if(p.isNull()),
+        "benign": F.count_if(p == BENIGN),
+        "attack": F.count_if(p == ATTACK),
+    }
+
+
+def score_summary(scored: DataFrame) -> DataFrame:
+    return scored.agg(*[c.alias(k) for k, c in summary_metrics().items()])
+
+
+def write_scored(scored: DataFrame, path: str) -> tuple[DataFrame, dict]:
+    """Write scored rows and summarise them in the same pass."""
+    return write_observed(scored, path, summary_metrics())

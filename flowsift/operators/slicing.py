@@ -10,6 +10,10 @@ Hashes are uniform, so the hash at a rank lies close to rank / rows. One pass
 counts the rows below an interval around it and the hashes inside, which gives
 the exact hash. Repeated keys can spoil the estimate. It is checked, and if an
 interval misses, the hash is found by counting rows per prefix and refining.
+
+When all cuts are at low ranks, as for samples, one scan is enough to find them:
+every task keeps its class sizes and its smallest hashes per class, which are
+merged in two steps, so no task gets more than MERGED sets of a class.
 """
 
 from __future__ import annotations
@@ -18,10 +22,14 @@ from collections.abc import Callable
 from functools import reduce
 from operator import or_
 
+import numpy as np
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from flowsift.operators.small import pin_small
+from flowsift.session import landed
 
 CLASS, HASH, COPIES = "_class", "_hash", "_copies"
 HASH_WIDTH = 32
@@ -31,6 +39,8 @@ STEP = 3  # hex digits per refinement: 4096 prefixes per class
 PREFIX_ROWS = 200_000  # prefix counts of up to 48 classes are kept as a local table
 FINE = 2_000_000  # rows per prefix that one window task may order
 EXPAND = 100_000  # copies written by one explode
+HELD = 200_000  # hashes that a task may hold per class
+MERGED = 64  # sets of hashes of a class that a task merges at first
 
 Cuts = Callable[[DataFrame], DataFrame]
 
@@ -41,13 +51,14 @@ def class_key(c: Column) -> Column:
 
 
 def slice_rows(
-    df: DataFrame, by: Column | None, order: Column, cuts: Cuts, n_cuts: int, out: str = "slice"
+    df: DataFrame, by: Column | None, order: Column, cuts: Cuts, n_cuts: int, out: str = "slice",
+    highest: int | None = None,
 ) -> DataFrame:
     """Add the number of the slice each row falls into, 0 to n_cuts.
 
     cuts gets the class sizes (_class, n) and returns (_class, cut, rank): slice
     `cut` ends with the row of that rank, counted from 1; ranks rise with cut.
-    Without `by` the whole table is one class.
+    Without `by` the whole table is one class. `highest` bounds the ranks, where that is known.
     Rows with equal hashes are cut exactly too: by content, and identical rows
     by number.
     """
@@ -56,8 +67,11 @@ def slice_rows(
     # Without classes all rows share an empty text. A literal would make the joins
     # below pair rows without a key.
     keyed = keyed.withColumn(CLASS, F.substring(HASH, 1, 0) if by is None else class_key(by))
-    found, rows = _estimate(keyed.select(CLASS, HASH), cuts, n_cuts) or _locate(
-        keyed.select(CLASS, HASH), cuts)
+    only = keyed.select(CLASS, HASH)
+    if highest is not None and 0 < highest <= HELD:
+        found, rows = _smallest(only, cuts, highest)
+    else:
+        found, rows = _estimate(only, cuts, n_cuts) or _locate(only, cuts)
     cut_table = _per_class(found, n_cuts)
     if rows is not None:
         cut_table = F.broadcast(cut_table)
@@ -77,6 +91,85 @@ def slice_rows(
     return whole.unionByName(split)
 
 
+_SET = f"{CLASS} string, part int, n long, hashes binary, counts binary"
+
+
+def _smallest(keyed: DataFrame, cuts: Cuts, highest: int):
+    """_locate in one scan, for ranks up to `highest`: the smallest different hashes of each class
+    with their numbers, which hold the row of every such rank."""
+
+    def of_task(batches):
+        held: dict[str, list] = {}
+        for batch in batches:
+            named, raw = batch.column(0).dictionary_encode(), _hashes(batch.column(1))
+            codes = np.asarray(named.indices)
+            for code, name in enumerate(named.dictionary.to_pylist()):
+                own = raw[codes == code]
+                state = held.setdefault(name, [0, [], 0])
+                state[0] += len(own)
+                state[1].append(_counted(own, np.ones(len(own), np.int64), highest))
+                state[2] += len(state[1][-1][0])
+                if state[2] > 2 * highest:
+                    state[1] = [_counted(*map(np.concatenate, zip(*state[1])), highest)]
+                    state[2] = len(state[1][0][0])
+        part = TaskContext.get().partitionId() % MERGED
+        for name, (n, sets, _) in held.items():
+            yield _set_row(name, part, n, *_counted(*map(np.concatenate, zip(*sets)), highest))
+
+    def merged(table: pa.Table) -> pa.Table:
+        raw = np.concatenate([np.frombuffer(v, "S16") for v in table.column("hashes").to_pylist()])
+        counts = np.concatenate([np.frombuffer(v, np.int64) for v in table.column("counts").to_pylist()])
+        return pa.Table.from_batches([_set_row(
+            table.column(CLASS)[0].as_py(), table.column("part")[0].as_py(),
+            sum(table.column("n").to_pylist()), *_counted(raw, counts, highest))])
+
+    sets = keyed.select(CLASS, F.unhex(HASH).alias(HASH)).mapInArrow(of_task, _SET)
+    for by in ([CLASS, "part"], [CLASS]):
+        sets = sets.groupBy(*by).applyInArrow(merged, _SET)
+    sets = landed(sets, "smallest")
+    totals, _ = pin_small(sets.select(CLASS, "n"))
+    wanted = cuts(totals).where("rank > 0")
+
+    def at_rank(batches):
+        for batch in batches:
+            rows = []
+            for name, cut, rank, raw, counts in zip(*(batch.column(k).to_pylist() for k in range(5))):
+                raw, upto = np.frombuffer(raw, "S16"), np.cumsum(np.frombuffer(counts, np.int64))
+                k = int(np.searchsorted(upto, rank))
+                n = int(upto[k] - (upto[k - 1] if k else 0))
+                rows.append((name, cut, raw[k:k + 1].tobytes().hex(), n, rank - int(upto[k]) + n))
+            if rows:
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, t) for c, t in zip(zip(*rows), (pa.string(), pa.int32(), pa.string(), pa.int64(), pa.int64()))],
+                    names=[CLASS, "cut", HASH, "n", "rank"])
+
+    hits = wanted.select(CLASS, F.col("cut").cast("int").alias("cut"), F.col("rank").cast("long").alias("rank")).join(
+        sets.select(CLASS, "hashes", "counts"), CLASS).mapInArrow(
+        at_rank, f"{CLASS} string, cut int, {HASH} string, n long, rank long")
+    return pin_small(hits)
+
+
+def _hashes(column: pa.Array) -> np.ndarray:
+    """16 bytes of each value, which compare as their hex digits do."""
+    width = HASH_WIDTH // 2
+    data = np.frombuffer(column.buffers()[2], np.uint8) if len(column) else np.empty(0, np.uint8)
+    start = column.offset and np.frombuffer(column.buffers()[1], np.int32)[column.offset]
+    return data[start:start + width * len(column)].view(f"S{width}")
+
+
+def _counted(raw: np.ndarray, counts: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """The `most` smallest different hashes and how many rows have them."""
+    different, at = np.unique(raw, return_inverse=True)
+    return different[:most], np.bincount(at, counts, len(different)).astype(np.int64)[:most]
+
+
+def _set_row(name: str, part: int, n: int, raw: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [pa.array([name]), pa.array([part], pa.int32()), pa.array([n], pa.int64()),
+         pa.array([raw.tobytes()], pa.binary()), pa.array([counts.tobytes()], pa.binary())],
+        names=[CLASS, "part", "n", "hashes", "counts"])
+
+
 def _estimate(keyed: DataFrame, cuts: Cuts, n_cuts: int):
     """_locate by intervals around the expected hashes; None when one of them misses."""
     totals, rows = pin_small(keyed.groupBy(CLASS).agg(F.count(F.lit(1)).alias("n")))

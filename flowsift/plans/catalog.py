@@ -86,6 +86,16 @@ def flow_clean_report(spark, sf):
     return clean.clean_report(_deduped(spark, sf), T.EV_FEATURES)
 
 
+@query
+def flow_report_observed(spark, sf):
+    """The report's counts, taken by the job that writes the de-duplicated flows."""
+    _, counts = clean.write_deduped(
+        _deduped(spark, sf), T.EV_FEATURES, scratch_path(spark, "deduped"), T.EV_SPEC)
+    report = clean.counted_report(spark, counts, T.EV_FEATURES, [], T.EV_SPEC)
+    return report.select("raw_rows", "cleaned_rows", "removed_rows", "duplicates_removed",
+                         "inf_replaced", "nan_rows_dropped")
+
+
 def _pairs(c: str) -> Column:
     entries = F.array_sort(F.map_entries(c))
     return F.array_join(F.transform(entries, lambda e: F.concat(
@@ -465,6 +475,14 @@ def score_summary(spark, sf):
     return scoring.score_summary(_batch(spark, sf))
 
 
+@query
+def score_summary_observed(spark, sf):
+    """The same summary, taken by the job that writes the scored flows."""
+    _, counts = scoring.write_scored(_batch(spark, sf), scratch_path(spark, "scored"))
+    schema = ", ".join(f"{k} bigint" for k in counts)
+    return spark.createDataFrame([tuple(counts.values())], schema)
+
+
 @query
 def permutation_importance(spark, sf):
     flows = T.scored_flows(spark, sf)

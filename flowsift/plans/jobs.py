@@ -16,16 +16,16 @@ from flowsift.operators.clean import (
     add_category,
     class_distribution,
     clean_flows,
+    counted_report,
     drop_unusable,
-    validation_report,
-    write_cleaned,
+    write_deduped,
 )
 from flowsift.operators.features import fit_scaling, index_labels, label_index
 from flowsift.operators.importance import linear_coefficients, model_permutation_importance
 from flowsift.operators.sampling import stratified_sample, train_test_split
 from flowsift.operators.scoring import decision_of
 from flowsift.operators.stats import distribution_comparison, perturb_columns
-from flowsift.session import landed
+from flowsift.session import landed, scratch_path
 from flowsift.sources import artifacts
 from flowsift.sources.flow_files import (
     CORRUPT,
@@ -35,6 +35,7 @@ from flowsift.sources.flow_files import (
     shape_flows,
     split_corrupt,
 )
+from flowsift.sources.observed import write_observed
 from flowsift.spec import DEFAULT_SPEC, SAMPLE_SIZE, SEED, FlowSpec
 
 RESULT = (
@@ -192,14 +193,12 @@ def drift_run(
     )
 
 
-def input_summary(raw: DataFrame) -> dict:
-    """Fingerprint of all rows, whatever the number of files, and the number of malformed lines.
-    One pass over the files."""
-    values = [c for c in raw.columns if c != ROW_ID]
-    rows, fingerprint = fingerprint_columns(raw, values)
-    return raw.agg(
-        rows.alias("rows"), fingerprint.alias("fingerprint"),
-        F.count(F.col(CORRUPT)).alias("corrupt")).first().asDict()
+def land_input(raw: DataFrame, path: str) -> tuple[DataFrame, dict]:
+    """Parsed rows, written once, with the number of malformed lines and the fingerprint of all rows,
+    whatever the number of files: the files are parsed in one pass."""
+    rows, fingerprint = fingerprint_columns(raw, [c for c in raw.columns if c != ROW_ID])
+    return write_observed(raw, path, {
+        "rows": rows, "fingerprint": fingerprint, "corrupt": F.count(F.col(CORRUPT))})
 
 
 def training_sample(
@@ -230,17 +229,15 @@ def training_run(
     """
     run_id = artifacts.new_run_id(spark)
     home = f"{out.rstrip('/')}/{run_id}"
-    raw = read_flow_csv(spark, path)
-    known = input_summary(raw)
-    good, bad = split_corrupt(raw)
+    parsed, known = land_input(read_flow_csv(spark, path), scratch_path(spark, "parsed"))
+    good, bad = split_corrupt(parsed)
     if known["corrupt"]:
         bad.write.parquet(f"{home}/quarantine")
     flows, features, missing = shape_flows(good, spec, [ROW_ID])
-    clean_flows(flows, features, [ROW_ID], spec).write.parquet(f"{home}/deduped")
-    deduped = spark.read.parquet(f"{home}/deduped")
-    cleaned = write_cleaned(deduped, features, f"{home}/cleaned")
-    report = validation_report(
-        deduped, features, missing, spec, path, known["fingerprint"], known["corrupt"])
+    cleaned, counts = write_deduped(
+        clean_flows(flows, features, [ROW_ID], spec), features, f"{home}/deduped", spec)
+    report = counted_report(
+        spark, counts, features, missing, spec, path, known["fingerprint"], known["corrupt"])
     written = artifacts.write_json(report, f"{home}/validation_report")
     report = artifacts.read_json(spark, written, report.schema).first().asDict(recursive=True)
     artifacts.write_csv(

@@ -617,3 +617,6 @@ from events, b group by 1""",
 ORACLE["top_changed_features"] = f"""
 select feature, mean_change_pct from ({ORACLE["distribution_compare_tables"]})
 order by mean_change_pct desc, feature limit 3"""
+
+ORACLE["flow_report_observed"] = ORACLE["flow_clean_report"]
+ORACLE["score_summary_observed"] = ORACLE["score_summary"]

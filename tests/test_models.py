@@ -180,3 +180,15 @@ def test_pca_equals_svd(table, frame):
     for k in range(2):
         sign = np.sign(v[k][np.abs(v[k]).argmax()])
         assert out[:, k] == pytest.approx(want[:, k] * sign, abs=1e-8)
+
+
+def test_forest_does_not_depend_on_partitions(spark):
+    rng = np.random.RandomState(3)
+    rows = [(float(a), float(b), int(a + 0.3 * b > 0)) for a, b in rng.normal(0, 1, (400, 2))]
+    trees = set()
+    for parts in (1, 4, 16):
+        df = spark.createDataFrame(rows, "a double, b double, y int").repartition(parts)
+        fitted = models.train_benchmark("random_forest", df, ["a", "b"], trees=5, max_depth=6)
+        trees.add(fitted.model.stages[-1].toDebugString.split("\n", 1)[1])
+        assert models.placed(df, ["a", "b"], 800, models.FOREST_TASKS).rdd.getNumPartitions() == 64
+    assert len(trees) == 1

@@ -176,3 +176,30 @@ def test_runs(spark, tmp_path):
     assert re.fullmatch(r"EXP-\d{4}-\d\d-\d\d-\d{6}", artifacts.new_run_id(spark))
     stamp = datetime.fromisoformat(artifacts.utc_now(spark))
     assert abs((datetime.now(timezone.utc) - stamp).total_seconds()) < 60
+
+
+def test_counts_are_taken_by_the_write(spark, dirty, tmp_path):
+    """The report of the observed write is the aggregate's, and the rows are computed once."""
+    deduped, features, missing = load(spark, dirty)
+    want = clean.validation_report(deduped, features, missing, SPEC, "day.csv", "f", 3).first()
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    watched = deduped.mapInArrow(count, deduped.schema)
+    cleaned, counts = clean.write_deduped(watched, features, str(tmp_path / "deduped"), SPEC)
+    assert seen.value == deduped.count()
+    got = clean.counted_report(spark, counts, features, missing, SPEC, "day.csv", "f", 3).first()
+    assert got == want
+    assert cleaned.count() == got["cleaned_rows"] and seen.value == deduped.count()
+
+
+def test_counts_of_nothing(spark, dirty, tmp_path):
+    deduped, features, missing = load(spark, dirty)
+    cleaned, counts = clean.write_deduped(deduped.where("false"), features, str(tmp_path / "none"), SPEC)
+    assert cleaned.count() == 0 and set(counts.values()) == {0}
+    report = clean.counted_report(spark, counts, features, missing, SPEC).first()
+    assert report["class_distribution"] == {} and report["imbalance_ratio"] == 0.0

@@ -3,8 +3,8 @@
 1. Documents with the same set of shingles are one class; a class is handled once.
 2. Shingles are counted in buckets of bounded size, packed as bytes. A shingle that a bounded,
    sampled list knows to be very frequent is not counted: its rows are dealt out by class, and it
-   orders behind all others. What only one class has cannot be shared, so a class goes on only if
-   enough of its shingles have a second class.
+   orders behind all others. What only one class has cannot be shared; of the rest every class has
+   a narrow row per shingle, and goes on only if enough of its shingles have a second class.
 3. The shingles of a class are ordered rarest first. Two sets that are similar enough share one
    among the first few, so only those are joined on. Pairs pass a length filter, a positional
    filter and a suffix filter (shingles after the shared one, counted by ranges of their hash).
@@ -14,8 +14,8 @@
    few pairs are left between components in the end, are all verified. No pair of different
    components is left out, so components are exact.
 
-Similarity is 100 * shared >= 75 * union on 64-bit hashes of shingles (46 bits or more when two
-sets are compared).
+Similarity is 100 * shared >= 75 * union on hashes of shingles of 63 bits, of which 48 and the number
+of the bucket are compared (all 63 from 32,768 buckets on).
 
 Cases: a document with fewer words than a shingle has its whole word sequence as its set; without
 words or text the set is empty and the document alone; very long texts have all their shingles;
@@ -33,6 +33,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from flowsift.llm.components import connect
+from flowsift.llm.heavy_keys import join_by_key
 from flowsift.llm.scratch import land
 from flowsift.llm.textbytes import PartHashes, parts, scrambled, words
 
@@ -46,7 +47,7 @@ PART_BYTES = 2_000_000
 SAMPLED = 64
 HOT_SHARE = 500
 HOT_LEAST = 8
-LOW = 40  # bits of a shingle within its bucket
+LOW = 48  # bits of a shingle within its bucket, at most
 RANGES = 8  # of the suffix filter
 #: A shingle of at most so many classes has them all paired. Hubs of the first round.
 RARE = 32
@@ -54,6 +55,8 @@ HUBS = 4
 #: From the second round on, all that is left is compared once it is so few pairs a row; nearly all
 #: of these end at the length and positional filters.
 FEW_PAIRS = 2_000
+#: Rows of a code that one task pairs with the few rows on the other side.
+SALT_ROWS = 2_000
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -90,7 +93,7 @@ def class_of(own: np.ndarray) -> int:
 
 
 def set_names(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, class, and for sampled classes their shingles."""
+    """doc_id, n_shingles, class, for sampled classes their shingles, and what tells the row apart."""
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches):
@@ -101,11 +104,11 @@ def set_names(docs: DataFrame) -> DataFrame:
                 kept = [s.tobytes() if c % SAMPLED == 0 else None for s, c in zip(sets, names)]
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0)[row:end], pa.array(map(len, sets), pa.int64()),
-                     pa.array(names, pa.int64()), pa.array(kept, pa.binary())],
-                    names=["doc_id", "n_shingles", "class", "sampled"])
+                     pa.array(names, pa.int64()), pa.array(kept, pa.binary()), batch.column(2)[row:end]],
+                    names=["doc_id", "n_shingles", "class", "sampled", "unit"])
 
-    return docs.select("doc_id", "text").mapInArrow(
-        run, f"doc_id {kind}, n_shingles long, class long, sampled binary")
+    return docs.select("doc_id", "text", unit_of("doc_id", "text")).mapInArrow(
+        run, f"doc_id {kind}, n_shingles long, class long, sampled binary, unit binary")
 
 
 def frequent(names: DataFrame) -> np.ndarray:
@@ -129,8 +132,6 @@ def frequent(names: DataFrame) -> np.ndarray:
 def _dealt(docs: DataFrame, hot, buckets: int) -> DataFrame:
     """Shingles by bucket, packed: a row per bucket and part of the input. Buckets from `buckets`
     on are those of the frequent shingles, dealt by class; theirs are numbers in the list."""
-    domain = np.uint64(buckets << LOW)
-
     def run(batches):
         known = hot.value
         for batch in batches:
@@ -147,8 +148,9 @@ def _dealt(docs: DataFrame, hot, buckets: int) -> DataFrame:
                 is_hot = np.zeros(len(every), bool)
                 if len(known):
                     is_hot = known[np.minimum(at, len(known) - 1)] == every
-                code = np.where(is_hot, at.astype(np.uint64), every % domain)
-                bucket = np.where(is_hot, buckets + names[owner] % buckets, (code >> np.uint64(LOW)).astype(np.int64))
+                within, of = np.divmod(every >> np.uint64(1), np.uint64(buckets))
+                code = np.where(is_hot, at.astype(np.uint64), within & np.uint64((1 << LOW) - 1))
+                bucket = np.where(is_hot, buckets + names[owner] % buckets, of.astype(np.int64))
                 order = np.argsort(bucket, kind="stable")  # within a bucket by class, as before
                 bucket, code, owner = bucket[order], code[order], owner[order]
                 cut = np.concatenate(([0], np.flatnonzero(np.diff(bucket)) + 1, [len(bucket)]))
@@ -174,9 +176,9 @@ def _unpacked(column, kind, width=1) -> np.ndarray:
 
 
 def _shared(dealt: DataFrame, buckets: int) -> DataFrame:
-    """For each class and bucket its shingles that another class has: `codes` (8 bytes each) and
-    `often` (2 bytes each: classes that have it, 65534 at most; 65535 for the frequent ones)."""
-    schema = pa.schema([("class", pa.int64()), ("n", pa.int64()), ("codes", pa.binary()), ("often", pa.binary())])
+    """A row for every shingle of a class that another class has too: the class, the size of its set,
+    the shingle's code, and how many classes have it (65534 at most; 65535 for the frequent ones)."""
+    schema = pa.schema([("class", pa.int64()), ("n", pa.int32()), ("code", pa.int64()), ("often", pa.int32())])
 
     def run(table: pa.Table) -> pa.Table:
         bucket = table.column("bucket")[0].as_py()
@@ -186,65 +188,65 @@ def _shared(dealt: DataFrame, buckets: int) -> DataFrame:
         first = np.zeros(len(names), bool)
         first[np.unique(names, return_index=True)[1]] = True  # copies in several parts: once
         kept = np.repeat(first, counts)
-        names, sizes, counts = names[first], sizes[first].astype(np.int64), counts[first]
+        names, sizes, counts = names[first], sizes[first].astype(np.int32), counts[first]
         code = np.zeros((int(kept.sum()), 8), np.uint8)
         code[:, :LOW // 8] = low[kept]
         code = code.reshape(-1).view(np.uint64)
         if bucket >= buckets:
             code = code | np.uint64(1 << 63)
-            often = np.full(len(code), 65535, "<u2")
+            often = np.full(len(code), 65535, np.int32)
         else:
             order = np.argsort(code, kind="stable")
             run_start = np.flatnonzero(np.concatenate(([True], np.diff(code[order]) != 0)))
             times = np.diff(np.append(run_start, len(code)))
-            often = np.empty(len(code), "<u2")
+            often = np.empty(len(code), np.int32)
             often[order] = np.repeat(np.minimum(times, 65534), times)
-            code = code + np.uint64(bucket << LOW)
+            code = code * np.uint64(buckets) + np.uint64(bucket)
         shared = often > 1
-        ends = np.concatenate(([0], np.cumsum(counts)))
-        held = np.diff(np.concatenate(([0], np.cumsum(shared)))[ends])
-        some = held > 0
-        edges = np.concatenate(([0], np.cumsum(held[some])))
-
-        def packed(values: np.ndarray) -> pa.Array:
-            offsets = (edges * values.dtype.itemsize).astype(np.int32)
-            return pa.Array.from_buffers(pa.binary(), int(some.sum()), [
-                None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(values[shared].tobytes())])
-
-        return pa.table([pa.array(names[some]), pa.array(sizes[some]), packed(code), packed(often)], schema=schema)
-
-    return dealt.groupBy("bucket").applyInArrow(run, "class long, n long, codes binary, often binary")
+        return pa.table([pa.array(np.repeat(names, counts)[shared]), pa.array(np.repeat(sizes, counts)[shared]),
+                         pa.array(code[shared].view(np.int64)), pa.array(often[shared])], schema=schema)
 
-
-def least_shared(n: Column) -> Column:
-    """Shingles that a set of n has in common with any similar set, at least."""
-    return F.floor((n * PERCENT + 99) / 100)
+    return dealt.groupBy("bucket").applyInArrow(run, "class long, n int, code long, often int")
 
 
 def _ordered(shared: DataFrame) -> DataFrame:
     """Classes that can have a similar one: n, their shared shingles rarest first, and how many of
     the first are to be joined on."""
-    per = shared.groupBy("class").agg(
-        F.first("n").alias("n"), F.sum(F.octet_length("often") / 2).cast("long").alias("held"),
-        F.collect_list(F.struct("codes", "often")).alias("packs"))
-    able = per.where(F.col("held") >= least_shared(F.col("n"))).select(
-        "class", "n", "held", F.col("packs.codes").alias("codes"), F.col("packs.often").alias("often"))
+
+    def ordered(rows: list[np.ndarray]) -> pa.RecordBatch:
+        name, n, code, often = rows
+        order = np.lexsort((code.view(np.uint64), often, name))
+        name, n, code = name[order], n[order].astype(np.int64), code[order]
+        start = np.flatnonzero(np.concatenate(([True], name[1:] != name[:-1])))
+        held, n = np.diff(np.append(start, len(name))), n[start]
+        needed = (n * PERCENT + 99) // 100  # what a set has in common with any similar one, at least
+        prefix = n - needed + 1 - (n - held)  # those that no other class has come first
+        able = (held >= needed) & (prefix > 0)
+        offsets = np.concatenate(([0], np.cumsum(held[able]))).astype(np.int32)
+        codes = pa.ListArray.from_arrays(pa.array(offsets), pa.array(code[np.repeat(able, held)]))
+        return pa.RecordBatch.from_arrays(
+            [pa.array(name[start][able]), pa.array(n[able]), codes, pa.array(prefix[able].astype(np.int32))],
+            names=["class", "n", "codes", "prefix"])
 
     def run(batches):
+        waiting: list[list[np.ndarray]] = []  # rows of one class so far
         for batch in batches:
-            held, prefix = [], []
-            for n, codes, often in zip(*(batch.column(k).to_pylist() for k in ("n", "codes", "often"))):
-                codes = np.frombuffer(b"".join(codes), np.uint64)
-                often = np.frombuffer(b"".join(often), "<u2")
-                codes = codes[np.lexsort((codes, often))]
-                alone = n - len(codes)  # those that no other class has come first
-                held.append(codes.view(np.int64))
-                prefix.append(max(0, n - (n * PERCENT + 99) // 100 + 1 - alone))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("class"), batch.column("n"), pa.array(held, pa.list_(pa.int64())),
-                 pa.array(prefix, pa.int32())], names=["class", "n", "codes", "prefix"])
-
-    return able.mapInArrow(run, "class long, n long, codes array<long>, prefix int").where("prefix > 0")
+            rows = [np.asarray(c) for c in batch.columns]
+            if not len(rows[0]):
+                continue
+            whole = int(np.searchsorted(rows[0], rows[0][-1]))
+            if waiting and (whole or waiting[0][0][0] != rows[0][0]):
+                waiting.append([c[:whole] for c in rows])
+                yield ordered([np.concatenate(c) for c in zip(*waiting)])
+                waiting = []
+            elif whole:
+                yield ordered([c[:whole] for c in rows])
+            waiting.append([c[whole:] for c in rows])
+        if waiting:
+            yield ordered([np.concatenate(c) for c in zip(*waiting)])
+
+    return shared.repartition("class").sortWithinPartitions("class").mapInArrow(
+        run, "class long, n long, codes array<long>, prefix int")
 
 
 def _postings(sets: DataFrame) -> DataFrame:
@@ -287,10 +289,14 @@ def _may_be_similar() -> Column:
     return length & place & suffix
 
 
-def _pairs(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Distinct pairs (a < b) of classes of different components that share a code and pass."""
-    other = right.select("code", F.struct("class", "comp", "n", "place", "after").alias("other"))
-    hit = left.join(other, "code").where(
+def _pairs(many: DataFrame, few: DataFrame) -> DataFrame:
+    """Distinct pairs (a < b) of classes of different components that share a code and pass. The rows
+    in `many` of a frequent code are dealt to several tasks, and each of them gets those in `few`."""
+    tasks = F.ceil(F.col("in_all") / SALT_ROWS).cast("int")
+    salted = many.withColumn("salt", F.pmod(F.xxhash64("class"), tasks).cast("int"))
+    other = few.select("code", F.explode(F.sequence(F.lit(0), tasks - 1)).alias("salt"),
+                       F.struct("class", "comp", "n", "place", "after").alias("other"))
+    hit = salted.join(other, ["code", "salt"]).where(
         (F.col("comp") != F.col("other.comp")) & _may_be_similar())
     return hit.select(F.least("class", "other.class").alias("a"),
                       F.greatest("class", "other.class").alias("b")).distinct()
@@ -343,15 +349,18 @@ def components(sets: DataFrame) -> DataFrame:
         left = codes.agg(F.sum("pairs").alias("pairs"), F.sum("k").alias("rows")).first()
         if not left["rows"]:
             return labels
-        going = rows.join(codes.select("code", F.col("k").alias("in_all")), "code")
+        known = codes.select("code", F.col("k").alias("in_all"), F.col("comp").alias("largest"), "k")
+        going = join_by_key(rows, known, "code", "k", left["rows"])
         # Few pairs are left: verify them all. Else the rare shingles, and the hubs of the others.
         last = left["pairs"] <= FEW_PAIRS * left["rows"] and hubs > HUBS
         if last:
-            pairs = _pairs(going, going)
+            # Of two components one is not the largest: no more than twice what is left is compared.
+            pairs = _pairs(going, going.where("comp != largest"))
         else:
             rare = going.where(F.col("in_all") <= RARE)
             frequent_ = going.where(F.col("in_all") > RARE)
-            pairs = _pairs(rare, rare).unionAll(_pairs(frequent_, top)).distinct()
+            pairs = _pairs(rare, rare).unionAll(_pairs(
+                frequent_, top.join(codes.select("code", F.col("k").alias("in_all")), "code"))).distinct()
         if checked is not None:
             pairs = pairs.join(checked, ["a", "b"], "left_anti")
         pairs = land(pairs, "pairs")
@@ -360,29 +369,60 @@ def components(sets: DataFrame) -> DataFrame:
             return labels
         checked = pairs if checked is None else checked.unionAll(pairs)
         rest = frequent_.join(top.select("code", "class"), ["code", "class"], "left_anti")
-        rows = land(rest.drop("comp", "in_all").join(labels, "class"), "postings")
+        rows = land(rest.drop("comp", "in_all", "largest").join(labels, "class"), "postings")
         hubs *= 4
 
 
-def near_classes(docs: DataFrame) -> DataFrame:
-    """One row per row of docs: doc_id, n_shingles, component_id (smallest id reachable by links)."""
+def _components(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Names of the sets, by row, and of each set its component (`comp`), landed."""
     names = land(set_names(docs), "names")
     total = names.agg(F.sum("n_shingles")).first()[0] or 0
     buckets = max(1, -(-total // BUCKET))
     hot = docs.sparkSession.sparkContext.broadcast(frequent(names))
     sets = land(_ordered(_shared(_dealt(docs, hot, buckets), buckets)), "sets")
-    labels = components(sets)
-    classes = names.where("n_shingles > 0").groupBy("class").agg(F.min("doc_id").alias("least"))
-    known = classes.join(labels, "class", "left").withColumn("comp", F.coalesce("comp", "class"))
-    least = known.groupBy("comp").agg(F.min("least").alias("component_id"))
-    classes = known.join(least, "comp").select("class", "component_id")
-    return names.select("doc_id", "n_shingles", "class").join(classes, "class", "left").select(
-        "doc_id", "n_shingles",
-        F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
+    unit = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "unit"))
+    classes = names.where("n_shingles > 0").groupBy("class").agg(
+        F.count(F.lit(1)).alias("n"), F.min("doc_id").alias("least"), unit.alias("first"))
+    known = classes.join(components(sets), "class", "left").withColumn("comp", F.coalesce("comp", "class"))
+    return names, land(known, "classes")
+
+
+def near_classes(docs: DataFrame) -> DataFrame:
+    """One row per row of docs: doc_id, n_shingles, component_id (smallest id reachable by links)."""
+    names, known = _components(docs)
+    per = land(known.groupBy("comp").agg(
+        F.min("least").alias("component_id"), F.count(F.lit(1)).alias("classes")), "components")
+    classes = land(join_by_key(known.select("class", "comp", "n"), per, "comp", "classes").select(
+        "class", "n", "component_id"), "members")
+    linked = join_by_key(names.where("n_shingles > 0"), classes, "class", "n")
+    alone = names.where("n_shingles = 0").withColumn("component_id", F.col("doc_id"))
+    return linked.unionByName(alone).select("doc_id", "n_shingles", "component_id")
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """Documents without near copies of a document with a smaller id, with all columns as they
-    are. Of rows that share an id, all stay or go together; rows without an id stay."""
-    gone = near_classes(docs).where(F.col("component_id") != F.col("doc_id")).select("doc_id").distinct()
-    return docs.join(gone.hint("merge"), "doc_id", "left_anti").select(docs.columns)
+    """One document of each group of near copies, with all columns as they are: the one with the
+    smallest id (rows without an id come last), and of rows alike in id and text any one. Documents
+    without words are alone and stay."""
+    names, known = _components(docs)
+    first = known.groupBy("comp").agg(F.min("first").alias("first")).select("first.unit")
+    copies = names.where("n_shingles > 0").groupBy("unit").agg(F.count(F.lit(1)).alias("n"))
+    first = land(first.join(copies, "unit").withColumn("copies", F.col("n")), "firsts")
+    key, repeated = (_unused(name, docs.columns) for name in ("unit", "copies"))
+    first = first.withColumnsRenamed({"unit": key, "copies": repeated, "n": f"{repeated}_n"})
+    worded = F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    keyed = docs.where(worded).withColumn(key, unit_of("doc_id", "text"))
+    kept = join_by_key(keyed, first, key, f"{repeated}_n")
+    own = [F.col(f"`{c}`") for c in docs.columns]
+    alike = kept.where(F.col(repeated) > 1).groupBy(key).agg(F.any_value(F.struct(*own)).alias("row")).select("row.*")
+    return kept.where(F.col(repeated) == 1).select(*own).unionByName(alike).unionByName(docs.where(~worded))
+
+
+def unit_of(doc_id: str, text: str) -> Column:
+    """16 bytes that tell rows of different id or text apart."""
+    return F.unhex(F.md5(F.concat_ws("|", F.coalesce(F.col(doc_id).cast("string"), F.lit("-")), F.col(text))))
+
+
+def _unused(name: str, columns: list[str]) -> str:
+    while any(c.lower().startswith(name.lower()) for c in columns):
+        name = f"_{name}"
+    return name

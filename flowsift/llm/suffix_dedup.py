@@ -289,14 +289,16 @@ def covered_parts(data: np.ndarray, offsets: np.ndarray, doc: np.ndarray, length
     text = np.ones(len(data) + len(sizes), np.int16)
     text[np.arange(len(data)) + np.repeat(np.arange(len(sizes)), sizes)] = data.astype(np.int16) + 2
     begin = offsets[:-1] + np.arange(len(sizes))
+    owner = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes + 1)
     order = suffix_array(text)
-    of = np.searchsorted(begin, order, "right") - 1
+    of = owner[order]
     inside = order - begin[of] + length <= sizes[of]
     order, of = order[inside], of[inside]
-    same = equal_prefixes(text, order, length)
+    # Windows hold bytes only; where a piece ends, any byte does for what stands between.
+    same = equal_prefixes(np.maximum(text - 2, 0).astype(np.uint8), order, length)
     smallest = np.minimum.reduceat(doc[of], np.flatnonzero(~same))[np.cumsum(~same) - 1]
     order = np.sort(order[smallest < doc[of]])
-    of = np.searchsorted(begin, order, "right") - 1
+    of = owner[order]
     fresh = np.ones(len(order), bool)
     fresh[1:] = (order[1:] != order[:-1] + 1) | (of[1:] != of[:-1])
     first = np.flatnonzero(fresh)

@@ -61,7 +61,7 @@ def op2_quality_rules(spark, sf):
     rules = quality_rules.learn(docs, spark.read.parquet(f"{sf}/labels.parquet"))
     return quality_rules.judge(docs, rules).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
-        "rule", "kept")
+        "kept", "rule")
 
 
 @query

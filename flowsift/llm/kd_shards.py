@@ -3,14 +3,15 @@
 A node that is to become k shards is split along the metadata dimension that is widest in it, at
 the weighted quantile that gives floor(k / 2) shards to the left; weights are bytes. Quantiles are
 found for all nodes of a level at once by counting bytes in ranges of values and narrowing the
-range, so no node's rows are gathered. Rows that share a value are told apart by id, then by the
-other columns, so one source with a third of all rows is split like any other. The tree is one
+range, so no node's rows are gathered. Rows that share a value are told apart by id, by the other
+columns, and rows alike by a number that each got when it was landed, so one source or one row
+with a third of all rows is split like any other. The tree is one
 nested conditional expression. A row's slot is its bucket's first slot plus its place in the
 bucket; buckets are of bounded size.
 
 Cases: null text weighs 1 byte, as an empty one; very long texts weigh what they are; null
-metadata sorts before all other; rows alike in id, size, text hash and metadata stay together;
-an empty table gives no rows; other columns of the input are left out.
+metadata sorts before all other; rows alike in all of this are divided like others, and which of
+them goes where touches no result; an empty table gives no rows; other columns of the input are left out.
 """
 
 from __future__ import annotations
@@ -30,7 +31,7 @@ BUCKET_ROWS = 2_000
 #: Metadata dimensions as whole numbers; the widest is measured against the whole table's width.
 DIMENSIONS = ("d_size", "d_source", "d_lang", "d_id")
 #: What orders rows that share the dimension's value.
-TIES = ("d_id", "text_crc32", "size")
+TIES = ("d_id", "text_crc32", "size", "d_row")
 
 
 @dataclass
@@ -89,6 +90,7 @@ def metadata(docs: DataFrame) -> DataFrame:
         F.crc32(text.cast("binary")).cast("long").alias("text_crc32"),
         code("source").alias("d_source"), code("lang").alias("d_lang"),
         F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2 ** 62))).alias("d_id"),
+        F.monotonically_increasing_id().alias("d_row"),
     ).withColumn("d_size", F.col("size"))
 
 
@@ -211,12 +213,12 @@ def shard(docs: DataFrame, shards: int | None = None, target_bytes: int | None =
     n_leaves = tree.shards
     buckets = max(1, count // (n_leaves * BUCKET_ROWS))
     dealt = rows.withColumn("shard", _node_of(tree)).withColumn(
-        "bucket", F.pmod(F.xxhash64("doc_id"), F.lit(buckets)).cast("int"))
+        "bucket", F.pmod(F.xxhash64("d_row"), F.lit(buckets)).cast("int"))
     # Bytes decide shards, so shards may differ in rows; a bucket has some BUCKET_ROWS of them.
     sizes = dealt.groupBy("shard", "bucket").agg(F.count(F.lit(1)).alias("n"))
     before = Window.partitionBy("shard").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.select("shard", "bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("start"))
-    own = Window.partitionBy("shard", "bucket").orderBy("doc_id", "text_crc32", "size")
+    own = Window.partitionBy("shard", "bucket").orderBy("doc_id", "text_crc32", "size", "d_row")
     return dealt.withColumn("place", F.row_number().over(own)).join(starts, ["shard", "bucket"]).select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), F.col("shard").cast("int").alias("shard"),
         (F.col("start") + F.col("place") - 1).cast("long").alias("slot"),

@@ -17,23 +17,24 @@ _READY: dict[str, object] = {}
 
 
 def rank_encoder(path: str, pattern: str):
-    """The file's vocabulary without its special tokens; one instance per worker process."""
+    """The file's vocabulary with its added tokens; one instance per worker process."""
     if path not in _READY:
         import tiktoken
 
         byte_of = {c: b for b, c in enumerate(byte_characters())}
         with open(path, encoding="utf-8") as file:
             model = json.load(file)
-        special = {t["content"] for t in model.get("added_tokens", [])}
+        special = {t["content"]: t["id"] for t in model.get("added_tokens", [])}
         ranks = {bytes(byte_of[c] for c in token): rank
                  for token, rank in model["model"]["vocab"].items() if token not in special}
-        _READY[path] = tiktoken.Encoding("file", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+        _READY[path] = tiktoken.Encoding("file", pat_str=pattern, mergeable_ranks=ranks, special_tokens=special)
     return _READY[path]
 
 
 def document_ids(encoding, text: str | None, end_id: int) -> bytes:
-    """Little-endian unsigned 16-bit ids of a document and its end id; null counts as empty."""
-    ids = array("H", encoding.encode_ordinary(text or ""))
+    """Little-endian unsigned 16-bit ids of a document and its end id; null counts as empty. The
+    string of an added token in a text is that token, as the tokenizers library reads it."""
+    ids = array("H", encoding.encode(text or "", allowed_special="all"))
     ids.append(end_id)
     if sys.byteorder == "big":
         ids.byteswap()

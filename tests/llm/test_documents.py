@@ -141,13 +141,50 @@ def test_kd_search_narrows_ranges(spark, monkeypatch):
     assert sorted(map(tuple, kd_shards.shard(docs, shards=3).collect()), key=repr) == plain
 
 
+def kd_tree(rows, shards, first=0, whole=None):
+    """(row, shard) by the plain rule; a row is (size, source, lang, id, crc, place)."""
+    if shards == 1 or not rows:
+        return [(r, first) for r in rows]
+    width = [max(r[d] for r in rows) - min(r[d] for r in rows) for d in range(4)]
+    whole = whole or [max(1, w) for w in width]
+    widest = max(range(4), key=lambda d: width[d] / whole[d])
+    rows = sorted(rows, key=lambda r: (r[widest], r[3], r[4], r[0], r[5]))
+    total = sum(r[0] for r in rows)
+    goal, before, cut = total * (shards // 2) / shards, 0, 0
+    while cut < len(rows) - 1 and before + rows[cut][0] < goal:
+        before += rows[cut][0]
+        cut += 1
+    size = rows[cut][0]
+    nearer = size - (goal - before) <= goal - before
+    if not before or (nearer and before + size < total):
+        cut += 1
+    half = shards // 2
+    return kd_tree(rows[:cut], half, first, whole) + kd_tree(rows[cut:], shards - half, first + half, whole)
+
+
+@pytest.mark.parametrize("shards", [3, 16])
+def test_kd_shards_equal_the_plain_tree(spark, monkeypatch, shards):
+    monkeypatch.setattr(kd_shards, "FEW_ROWS", 5)
+    rnd = random.Random(9)
+    data = cases.rows() + [(i, "w" * rnd.choice([1, 9, 90]), rnd.choice(["en", "fr", None]),
+                            "hot" if rnd.random() < 0.4 else f"s{rnd.randrange(9)}", 1) for i in range(500, 900)]
+    data += [data[-1]] * 60
+    code = lambda x: -1 if x is None else zlib.crc32(x.encode())
+    rows = [(len((t or "").encode()) + 1, code(s), code(la), -(2 ** 62) if d is None else d,
+             zlib.crc32((t or "").encode()), k) for k, (d, t, la, s, _) in enumerate(data)]
+    want = Counter((r[3], r[0], r[4], shard) for r, shard in kd_tree(rows, shards))
+    got = kd_shards.shard(cases.table(spark, data), shards=shards).collect()
+    assert Counter((-(2 ** 62) if r["doc_id"] is None else r["doc_id"], r["size"], r["text_crc32"], r["shard"])
+                   for r in got) == want
+
+
 def test_kd_odd_tables(spark):
     data = cases.rows()
     rows, _ = shards_of(kd_shards.shard(cases.table(spark, data), shards=4))
     assert Counter(r["doc_id"] for r in rows) == Counter(d for d, *_ in data)
-    alike = [(1, "same", "en", "s", 4)] * 40
+    alike = [(1, "same", "en", "s", 4)] * 40 + [(None, "none", "en", "s", 4)] * 40
     rows, sizes = shards_of(kd_shards.shard(cases.table(spark, alike), shards=4))
-    assert len(rows) == 40 and len(sizes) == 1
+    assert len(rows) == 80 and set(sizes.values()) == {100}
     assert kd_shards.shard(cases.empty(spark), shards=16).count() == 0
     assert len(shards_of(kd_shards.shard(cases.table(spark, data), target_bytes=4000))[1]) > 3
 

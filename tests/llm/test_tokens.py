@@ -11,7 +11,7 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from flowsift.llm import bpe_codec, pack_bfd, pack_nnls
-from flowsift.llm.token_ids import rank_encoder
+from flowsift.llm.token_ids import document_ids, rank_encoder
 from flowsift.llm.tokens import Encoder, batches_by_size, cuts
 from tests.llm import cases
 
@@ -21,9 +21,7 @@ MULTI = public.path("byte_bpe_multi_50k.tiktoken")
 
 @pytest.fixture(scope="module")
 def english():
-    tokenizer = Tokenizer.from_file(ENGLISH)
-    tokenizer.encode_special_tokens = True
-    return tokenizer
+    return Tokenizer.from_file(ENGLISH)
 
 
 @pytest.fixture(scope="module")
@@ -46,12 +44,20 @@ def test_cuts_join_to_the_text(text):
     assert " ".join(cuts(text)) == text
 
 
+def test_added_token_in_a_text(english):
+    ranks = rank_encoder(ENGLISH, public.PATTERN)
+    for text in ("see <|endoftext|> here", "<|endoftext|><|endoftext|>", " <|endoftext|", "a<|endoftext|>\n b"):
+        want = english.encode(text, add_special_tokens=False).ids
+        assert document_ids(ranks, text, 0) == np.array([*want, 0], "<u2").tobytes()
+
+
 @settings(max_examples=150, deadline=None)
 @given(st.lists(ODD, max_size=5))
 def test_both_libraries_give_the_same_ids(english, multi, model, texts):
     ranks = rank_encoder(ENGLISH, public.PATTERN)
     for text in texts:
-        assert ranks.encode_ordinary(text) == english.encode(text, add_special_tokens=False).ids
+        want = english.encode(text, add_special_tokens=False).ids
+        assert document_ids(ranks, text, 7) == np.array([*want, 7], "<u2").tobytes()
     got = list(Encoder(model).encode(texts))
     assert got == [np.array(multi.encode_ordinary(t), "<u4").tobytes() for t in texts]
 

@@ -18,15 +18,14 @@ from pyspark.ml.classification import (
     OneVsRest,
     RandomForestClassifier,
 )
-from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import PCA, ElementwiseProduct, StandardScaler, VectorAssembler
 from pyspark.ml.linalg import Vectors
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.util import inheritable_thread_target
 
 from flowsift.functions.numeric import display
+from flowsift.operators import kernel_grid
 from flowsift.operators.features import Scaling, cell_variance, fit_scaling, with_class_weights
 from flowsift.operators.fourier import RandomFourier
 from flowsift.operators.sampling import assign_folds
@@ -39,6 +38,8 @@ LABEL, WEIGHT = "y", "weight"
 MAX_ITER, TOLERANCE = 10_000, 1e-4
 DIMENSIONS = 512
 CELLS_PER_TASK = 1_000_000
+#: Lifted cells of a task of the grid search.
+GRID_CELLS = 8_000_000
 #: A tree costs its rows times the trees, so a forest is grown by this many tasks at least.
 FOREST_TASKS = 64
 
@@ -192,11 +193,13 @@ def train_rbf_svm(
 
 def search_rbf_svm(
     train: DataFrame, features: list[str], key: list[str], grid: dict | None = None,
-    folds: int = CV_FOLDS, parallelism: int = 8, seed: int = SEED, **settings,
+    folds: int = CV_FOLDS, seed: int = SEED, dimensions: int = DIMENSIONS,
+    max_iter: int = MAX_ITER, tol: float = TOLERANCE,
 ) -> Fitted:
     """Cross-validated F1 for every C and gamma, refit on all rows with the best.
 
-    `grid` on the result lists the points in order, C outermost.
+    Every fold is scaled by its own training rows. `grid` on the result lists the points in order,
+    C outermost.
     """
     grid = grid or RBF_GRID
     folded = assign_folds(train, LABEL, key, folds, seed)
@@ -205,38 +208,35 @@ def search_rbf_svm(
         F.col(LABEL).cast("double").alias(LABEL), WEIGHT, "fold",
     ).persist()
     start = time.perf_counter()
+    blocks = None
     try:
         n = data.count()
-        few = few_tasks(data, n * settings.get("dimensions", DIMENSIONS))
-        widths = [gamma_value(data, features, g) for g in grid["gamma"]]
-        n_fold = n * (folds - 1) / folds
-        pipeline = build_svm(features, n, "rbf", grid["C"][0], widths[0], seed=seed, **settings)
-        fourier, svc = pipeline.getStages()[-2:]
-        points = (
-            ParamGridBuilder()
-            .addGrid(svc.regParam, [1.0 / (c * n_fold) for c in grid["C"]])
-            .addGrid(fourier.gamma, widths)
-            .build()
-        )
-        f1 = MulticlassClassificationEvaluator(
-            labelCol=LABEL, predictionCol="prediction", metricName="fMeasureByLabel", metricLabel=1.0)
-        search = CrossValidator(
-            estimator=pipeline, estimatorParamMaps=points, evaluator=f1, numFolds=folds,
-            foldCol="fold", parallelism=parallelism,
-        ).fit(few)
-        results = [
-            {"kernel": "rbf", "C": c, "gamma": str(g), "cv_f1_mean": mean, "cv_f1_std": std}
-            for (c, g), mean, std in zip(
-                [(c, g) for c in grid["C"] for g in grid["gamma"]],
-                search.avgMetrics, search.stdMetrics)
-        ]
+        costs, gammas = grid["C"], grid["gamma"]
+        widths = [gamma_value(data, features, g) for g in gammas]
+        scalings, weights = kernel_grid.fold_scalings(data, features, WEIGHT, "fold", folds)
+        # A block is lifted for every gamma and fold; few rows are shared out to all cores still.
+        tasks = max(math.ceil(n * dimensions * folds * len(widths) / GRID_CELLS), 1)
+        blocks = kernel_grid.lifted_blocks(
+            data.repartition(tasks), features, LABEL, WEIGHT, "fold", folds, scalings, widths, dimensions, seed
+        ).persist()
+        walks = kernel_grid.fit_all(
+            blocks, folds * len(widths), costs, dict(enumerate(weights * len(widths))), dimensions, max_iter, tol)
+        f1 = kernel_grid.held_f1(blocks, walks, len(costs))
+        results = []
+        for c, cost in enumerate(costs):
+            for g, gamma in enumerate(gammas):
+                own = [f1.get((g * folds + f, c), 0.0) for f in range(folds)]
+                results.append({"kernel": "rbf", "C": cost, "gamma": str(gamma),
+                                "cv_f1_mean": float(np.mean(own)), "cv_f1_std": float(np.std(own))})
         best = max(range(len(results)), key=lambda i: (results[i]["cv_f1_mean"], -i))
-        C, gamma = results[best]["C"], grid["gamma"][best % len(grid["gamma"])]
-        refit = build_svm(
-            features, n, "rbf", C, widths[best % len(widths)], seed=seed, **settings).fit(few)
-        return Fitted(refit, features, "rbf", C, gamma, time.perf_counter() - start, results)
+        C, g = results[best]["C"], best % len(gammas)
+        refit = build_svm(features, n, "rbf", C, widths[g], dimensions, max_iter, tol, seed).fit(
+            few_tasks(data, n * dimensions))
+        return Fitted(refit, features, "rbf", C, gammas[g], time.perf_counter() - start, results)
     finally:
         data.unpersist()
+        if blocks is not None:
+            blocks.unpersist()
 
 
 # Kind of model -> the name it has in result tables, and its builder.

@@ -231,6 +231,36 @@ def csv_ragged_rows(spark, sf):
                    F.lit(None).cast("string").alias("flow_day"), "line"))
 
 
+def _daily_csv(spark: SparkSession, sf: str) -> str:
+    """Flows as the files of three kinds of days, by day of the month: columns as they are; in
+    another order, blank-padded and one more; and without counts of acknowledgements."""
+    path = scratch_path(spark, "daily-csv")
+    flows = T.event_flows(spark, sf).withColumn("_day", F.col("flow_day").substr(9, 2).cast("int") % 3)
+    names = [*T.EV_KEY, *T.EV_FEATURES, "raw_label"]
+    kinds = [
+        [F.col(c) for c in names],
+        [F.lit("x").alias("surplus"), *[F.col(c).alias(f" {c.upper()} ") for c in reversed(names)]],
+        [F.col(c) for c in names if c != "ack"],
+    ]
+    for k, columns in enumerate(kinds):
+        (flows.where(F.col("_day") == k).select(*columns).write.option("header", True)
+         .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+         .csv(f"{path}/day={k}"))
+    return f"{path}/day=*/*.csv"
+
+
+@query
+def csv_mixed_headers(spark, sf):
+    """Daily exports whose headers differ, read as one table by column name."""
+    found = flow_files.discover(spark, _daily_csv(spark, sf), sf, "flows.csv")
+    good, _ = flow_files.split_corrupt(flow_files.read_flow_files(spark, found))
+    number = lambda c: to_number(F.col(c))
+    return good.select(
+        number("user_id").cast("bigint").alias("user_id"), "flow_day",
+        number("copy_no").cast("bigint").alias("copy_no"), *[number(f).alias(f) for f in (
+            "flow_duration", "tot_fwd", "len_fwd", "rst", "ack")], "raw_label", "surplus")
+
+
 @query
 def training_sample(spark, sf):
     """Sample and split of the training run, from the flow CSV; keyed by what the rows hold."""

@@ -30,8 +30,10 @@ from flowsift.sources import artifacts
 from flowsift.sources.flow_files import (
     CORRUPT,
     ROW_ID,
+    discover,
     fingerprint_columns,
     read_flow_csv,
+    read_flow_files,
     shape_flows,
     split_corrupt,
 )
@@ -229,7 +231,7 @@ def training_run(
     """
     run_id = artifacts.new_run_id(spark)
     home = f"{out.rstrip('/')}/{run_id}"
-    parsed, known = land_input(read_flow_csv(spark, path), scratch_path(spark, "parsed"))
+    parsed, known = land_input(read_flow_files(spark, path), scratch_path(spark, "parsed"))
     good, bad = split_corrupt(parsed)
     if known["corrupt"]:
         bad.write.parquet(f"{home}/quarantine")

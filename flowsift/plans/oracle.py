@@ -488,6 +488,10 @@ kept as (select user_id::varchar as u, flow_day as d, user_id % 7 as kind,
 select case when kind not in (1, 2) then u end as user_id,
   case when kind not in (1, 2) then d end as flow_day,
   case kind when 1 then short || ',' || t || ',surplus' when 2 then short end as line from kept""",
+    "csv_mixed_headers": f"""with {EVENT_FLOWS}
+select user_id, flow_day, copy_no::bigint as copy_no, flow_duration, tot_fwd, len_fwd, rst,
+  case when right(flow_day, 2)::int % 3 <> 2 then ack end as ack, raw_label,
+  case when right(flow_day, 2)::int % 3 = 1 then 'x' end as surplus from flows""",
     "training_sample": training_sample(),
     "category_split_sizes": f"""with {CLEANED},
 rows_ as (select original_label as raw_label from cleaned),

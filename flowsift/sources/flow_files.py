@@ -41,7 +41,7 @@ def read_flow_csv(
     anything is shuffled. A line with more or fewer fields than the header is kept
     whole in `_corrupt`, which is NULL for all others; split_corrupt tells them apart.
     A file whose header differs from the first one's fails the read instead of
-    shifting columns.
+    shifting columns; read_flow_files takes such files together.
     """
     reader = (
         spark.read.option("header", True)
@@ -68,6 +68,54 @@ def read_flow_csv(
     return strip_names(raw.select(*values, line.alias(CORRUPT), position.alias(ROW_ID)))
 
 
+def read_flow_files(
+    spark: SparkSession, path: str | list[str], encoding: str = "ISO-8859-1"
+) -> DataFrame:
+    """read_flow_csv for exports of several days, whose headers may differ.
+
+    Files are grouped by their header line. Each group is read with its own header, and the groups
+    are joined by column name (stripped, and by letters of any case where that names one column);
+    a column that a group lacks is NULL in its rows. The columns stand in the order of the first
+    header in which they appear, headers being ordered by their first file.
+    """
+    groups = _by_header(spark, path, encoding)
+    tables = [read_flow_csv(spark, files, encoding) for files in groups]
+    if len(tables) == 1:
+        return tables[0]
+    names: dict[str, str] = {}
+    for table in tables:
+        own = [c.lower() for c in table.columns]
+        for c in table.columns:
+            if own.count(c.lower()) == 1:
+                names.setdefault(c.lower(), c)
+            else:  # names that differ in case only stay apart
+                names.setdefault(c, c)
+    names.pop(CORRUPT, None), names.pop(ROW_ID, None)
+    aligned = []
+    for table in tables:
+        own = [c.lower() for c in table.columns]
+        holds = {c if own.count(c.lower()) > 1 else c.lower(): c for c in table.columns}
+        aligned.append(table.select(
+            *[(F.col(f"`{holds[k]}`") if k in holds else F.lit(None).cast("string")).alias(name)
+              for k, name in names.items()], CORRUPT, ROW_ID))
+    out = aligned[0]
+    for table in aligned[1:]:
+        out = out.unionByName(table)
+    return out
+
+
+def _by_header(spark: SparkSession, path: str | list[str], encoding: str) -> list[list[str]]:
+    """Files by header line, each group and the groups in the order of their names. Only the first
+    line of each file is taken; there is one row per file."""
+    lines = spark.read.option("encoding", encoding).option("lineSep", "\n").text(path).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("row"), F.rtrim("value").alias("line"))
+    first = lines.where("block = 0").groupBy("file").agg(F.min_by("line", "row").alias("header"))
+    groups = first.groupBy("header").agg(F.sort_array(F.collect_list("file")).alias("files"))
+    found = sorted(r["files"] for r in groups.select("files").collect())
+    return found or [[path] if isinstance(path, str) else path]
+
+
 def split_corrupt(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Well-formed rows without `_corrupt`, and the malformed lines as they stand in the file."""
     good = raw.where(F.col(CORRUPT).isNull()).drop(CORRUPT)

@@ -3,9 +3,10 @@ import pandas as pd
 import pytest
 from pyspark.ml import PipelineModel
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
-from flowsift.operators import models, scoring
+from flowsift.operators import fourier, importance, kernel_grid, models, scoring
 from flowsift.operators.fourier import RandomFourier
 from flowsift.plans import jobs
 
@@ -139,6 +140,41 @@ def test_grid_search(table):
     assert all(r["cv_f1_std"] >= 0 for r in found.grid)
 
 
+def test_shared_passes_reach_the_objective_of_single_fits(table, frame):
+    """Every model of the grid against MLlib's fit of the same training rows, by the plain hinge."""
+    folded = models.with_class_weights(
+        table.withColumn("fold", F.col("id") % 3).withColumn("y", F.col("y").cast("double")), "y", "weight").select(
+        *FEATURES, "y", "weight", "fold").persist()
+    scalings, weights = kernel_grid.fold_scalings(folded, FEATURES, "weight", "fold", 3)
+    blocks = kernel_grid.lifted_blocks(
+        folded, FEATURES, "y", "weight", "fold", 3, scalings, [0.2, 0.5], 64, 42).persist()
+    costs = [0.1, 1.0, 10.0]
+    walks = kernel_grid.fit_all(blocks, 6, costs, dict(enumerate(weights * 2)), 64, 400, 1e-4)
+    assert all(w.converged for w in walks.values())
+    rows = folded.toPandas()
+    x = rows[FEATURES].to_numpy()
+    sign = np.where(rows["y"] == 1, 1.0, -1.0)
+    for (pair, c), walk in walks.items():
+        gamma, fold = [0.2, 0.5][pair // 3], pair % 3
+        own = (rows["fold"] != fold).to_numpy()
+        mean, std = x[own].mean(0), x[own].std(0)
+        assert np.allclose(scalings[fold], (mean, 1 / std))
+        z = fourier.projection(3, gamma, 64, 42).lifted((x - mean) / std)[own]
+
+        def objective(w, b):
+            loss = np.maximum(0, 1 - sign[own] * (z @ w + b)) * rows["weight"].to_numpy()[own]
+            return 0.5 * w @ w + costs[c] * loss.sum()
+
+        if pair in (0, 5):
+            fitted = models._svc("v", costs[c], weights[fold], 1000, 1e-6).fit(table.sparkSession.createDataFrame(
+                [(Vectors.dense(v), float(l > 0), float(w)) for v, l, w in zip(z, sign[own], rows["weight"][own])],
+                ["v", "y", "weight"]))
+            single = objective(fitted.coefficients.toArray(), fitted.intercept)
+            assert objective(walk.x[:-1], walk.x[-1]) <= single * 1.015
+    f1 = kernel_grid.held_f1(blocks, walks, 3)
+    assert len(f1) == 18 and min(f1.values()) > 0.6
+
+
 @pytest.fixture(scope="module")
 def three(spark):
     rng = np.random.RandomState(1)
@@ -192,3 +228,79 @@ def test_forest_does_not_depend_on_partitions(spark):
         trees.add(fitted.model.stages[-1].toDebugString.split("\n", 1)[1])
         assert models.placed(df, ["a", "b"], 800, models.FOREST_TASKS).rdd.getNumPartitions() == 64
     assert len(trees) == 1
+
+
+def kernel_error(z, x, gamma):
+    exact = np.exp(-gamma * ((x[:, None] - x[None]) ** 2).sum(-1))
+    return np.abs(z @ z.T - exact).mean()
+
+
+@pytest.mark.parametrize("width", [4, 15, 300])
+def test_structured_directions_are_closer_to_the_kernel(width):
+    """Less kernel error than independent normal directions, over several seeds; both ways to
+    multiply agree."""
+    rng = np.random.RandomState(1)
+    x = rng.normal(0, 1, (60, width)) / np.sqrt(width)
+    own, plain = [], []
+    for seed in range(8):
+        drawn = fourier.Projection(width, 1.0, 512, seed)
+        own.append(kernel_error(drawn.lifted(x), x, 1.0))
+        r = np.random.RandomState(seed)
+        w, b = r.normal(0, np.sqrt(2.0), (width, 512)), r.uniform(0, 2 * np.pi, 512)
+        plain.append(kernel_error(np.sqrt(2.0 / 512) * np.cos(x @ w + b), x, 1.0))
+        assert np.allclose(drawn.of(x), drawn._turned(x))
+        assert np.allclose(drawn.of(np.eye(width))[1], drawn.column(1))
+    assert np.mean(own) < 0.95 * np.mean(plain)
+
+
+def exact_kernel_svm(x, y, gamma, C):
+    """Dual coordinate ascent on the exact kernel with balanced weights, by the plain rule; the
+    intercept is a constant added to the kernel. Gives the decision function."""
+    kernel = lambda a, b: np.exp(-gamma * ((a[:, None] - b[None]) ** 2).sum(-1)) + 1.0
+    sign = np.where(y == 1, 1.0, -1.0)
+    bound = C * np.where(y == 1, len(y) / (2 * (y == 1).sum()), len(y) / (2 * (y == 0).sum()))
+    k, a = kernel(x, x), np.zeros(len(y))
+    f = np.zeros(len(y))
+    for _ in range(300):
+        for i in range(len(y)):
+            new = min(max(a[i] + (1 - sign[i] * f[i]) / k[i, i], 0.0), bound[i])
+            f += (new - a[i]) * sign[i] * k[:, i]
+            a[i] = new
+    return lambda z: kernel(z, x) @ (a * sign)
+
+
+def test_f1_gap_to_the_exact_kernel(spark):
+    """What the approximation costs on a ring inside a cloud, which no line separates."""
+    rng = np.random.RandomState(4)
+    x = rng.normal(0, 1, (600, 2))
+    y = ((np.hypot(x[:, 0], x[:, 1]) < 0.9) ^ (rng.random_sample(600) < 0.05)).astype(int)
+    df = spark.createDataFrame([(float(a), float(b), int(c)) for (a, b), c in zip(x, y)], "a double, b double, y int")
+    fitted = models.train_rbf_svm(df.limit(400), ["a", "b"], 1.0, 0.5)
+    train = df.limit(400).toPandas()
+    scaled = (x - train[["a", "b"]].to_numpy().mean(0)) / train[["a", "b"]].to_numpy().std(0)
+    decide = exact_kernel_svm(scaled[:400], y[:400], 0.5, 1.0)
+    called = decide(scaled[400:]) > 0
+    tp = (called & (y[400:] == 1)).sum()
+    exact = 2 * tp / (called.sum() + (y[400:] == 1).sum())
+    rest = spark.createDataFrame([(float(a), float(b), int(c)) for (a, b), c in zip(x[400:], y[400:])],
+                                 "a double, b double, y int")
+    own = jobs.evaluate(fitted, rest)["f1"]
+    print(f"F1 {own:.4f} against {exact:.4f} with the exact kernel")
+    assert exact > 0.8 and abs(own - exact) < 0.02
+
+
+def test_walsh_hadamard_is_its_own_inverse():
+    x = np.random.RandomState(0).normal(0, 1, (3, 32))
+    assert np.allclose(fourier.walsh_hadamard(fourier.walsh_hadamard(x)), x)
+    assert np.allclose((fourier.walsh_hadamard(np.eye(32)) ** 2), 1 / 32)
+
+
+def test_importance_by_swapped_columns_equals_rescoring(table, linear, rbf):
+    used = table.select("id", *FEATURES, "y")
+    for fitted in (linear, rbf):
+        short = importance.model_permutation_importance(used, FEATURES, "y", ["id"], fitted.model, 3)
+        long = importance._rescored_importance(used, FEATURES, "y", ["id"], fitted.model, 3, 42)
+        counts = [d._jdf.queryExecution().optimizedPlan().toString().lower().count("explode(sequence(-1") for d in (short, long)]
+        assert counts[0] == 0, counts  # no row per feature
+        for a, b in zip(short.collect(), long.collect(), strict=True):
+            assert a[0] == b[0] and tuple(a)[1:] == pytest.approx(tuple(b)[1:], abs=1e-12)

@@ -203,3 +203,20 @@ def test_counts_of_nothing(spark, dirty, tmp_path):
     assert cleaned.count() == 0 and set(counts.values()) == {0}
     report = clean.counted_report(spark, counts, features, missing, SPEC).first()
     assert report["class_distribution"] == {} and report["imbalance_ratio"] == 0.0
+
+
+def test_files_whose_headers_differ(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("a,b,Label\n1,2,BENIGN\n3,4\n")
+    (tmp_path / "b.csv").write_text(" Label , A ,extra\nBot,5,6\n")
+    (tmp_path / "c.csv").write_text("a,b,Label\n7,8,DDoS\n")
+    (tmp_path / "d.csv").write_text("")
+    rows = flow_files.read_flow_files(spark, str(tmp_path / "*.csv"))
+    assert rows.columns == ["a", "b", "Label", "extra", flow_files.CORRUPT, flow_files.ROW_ID]
+    got = sorted(((r["a"], r["b"], r["Label"], r["extra"], r["_corrupt"]) for r in rows.collect()), key=repr)
+    assert got == sorted([("1", "2", "BENIGN", None, None), ("3", "4", None, None, "3,4"),
+                          ("5", None, "Bot", "6", None), ("7", "8", "DDoS", None, None)], key=repr)
+    flows, features, missing = flow_files.shape_flows(flow_files.split_corrupt(rows)[0], SPEC, [flow_files.ROW_ID])
+    assert (features, missing) == (["a", "b"], ["c"])
+    assert clean.clean_flows(flows, features, [flow_files.ROW_ID], SPEC).count() == 3
+    one = flow_files.read_flow_files(spark, str(tmp_path / "a.csv"))
+    assert one.columns == ["a", "b", "Label", flow_files.CORRUPT, flow_files.ROW_ID]

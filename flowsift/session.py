@@ -14,6 +14,8 @@ SCRATCH_CONF = "spark.checkpoint.dir"
 def local_session(cpus: int | str = "*", app: str = "flowsift") -> SparkSession:
     """Session for tests and the benchmark. A cluster brings its own."""
     n = os.cpu_count() if cpus == "*" else int(cpus)
+    # Tasks share the cores already; clusters set this themselves.
+    os.environ.setdefault("OMP_NUM_THREADS", "1")
     return (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName(app)

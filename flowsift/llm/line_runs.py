@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from flowsift.llm.columns import set_aside, with_chars
 from flowsift.llm.scratch import land
 from flowsift.llm.tokens import batches_by_size
 
@@ -170,9 +171,9 @@ def without(text: str | None, numbers: list[int]) -> tuple[str | None, tuple[int
 
 
 def deduped_documents(docs: DataFrame) -> DataFrame:
-    """Documents with their columns; text and n_chars are those after the deletion. A document
-    that loses all its lines goes."""
-    done = dedup(docs, min_words=MIN_WORDS)
+    """Documents with their columns; text and n_chars (if there) are those after the deletion. A
+    document that loses all its lines goes. A column named line_runs stays as it is."""
+    renamed, own = set_aside(docs, ["line_runs"])
+    done = dedup(renamed, min_words=MIN_WORDS)
     left = done.where((F.col("line_runs.n_lines") == 0) | (F.col("line_runs.n_removed") < F.col("line_runs.n_lines")))
-    chars = F.when(F.col("line_runs.n_removed") > 0, F.char_length("text")).otherwise(F.col("n_chars"))
-    return left.withColumn("n_chars", chars.cast(docs.schema["n_chars"].dataType)).select(docs.columns)
+    return with_chars(left, F.col("line_runs.n_removed") > 0).select(own)

@@ -34,6 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from flowsift.llm.columns import set_aside, with_chars
 from flowsift.llm.difference_cover import equal_prefixes, suffix_array
 from flowsift.llm.scratch import drop, land
 from flowsift.llm.textbytes import PartHashes, flat, parts, scrambled
@@ -381,10 +382,9 @@ def digests(docs: DataFrame) -> DataFrame:
 
 
 def deduped_documents(docs: DataFrame) -> DataFrame:
-    """Documents with their columns; text and n_chars are those after the removal. A document that
-    loses all its bytes goes."""
-    done = dedup(docs)
+    """Documents with their columns; text and n_chars (if there) are those after the removal. A
+    document that loses all its bytes goes. Columns named as those of dedup stay as they are."""
+    renamed, own = set_aside(docs, ["n_bytes", "kept", "removed"])
+    done = dedup(renamed)
     changed = F.size("removed") > 0
-    chars = F.when(changed, F.char_length("text")).otherwise(F.col("n_chars"))
-    return done.where(~changed | (F.octet_length("kept") > 0)).withColumn(
-        "n_chars", chars.cast(docs.schema["n_chars"].dataType)).select(docs.columns)
+    return with_chars(done.where(~changed | (F.octet_length("kept") > 0)), changed).select(own)

@@ -509,3 +509,15 @@ def test_part_hashes_do_not_depend_on_place():
     hashes = PartHashes(data).of(start, end)
     assert hashes[0] == hashes[2] and hashes[1] == hashes[3] and hashes[0] != hashes[1]
     assert flat(pa.array(["x", "yy", "zzz"])[1:])[1].tolist() == [0, 2, 5]
+
+
+@pytest.mark.parametrize("stage", [line_runs.deduped_documents, suffix_dedup.deduped_documents, jaccard_join.one_of_each])
+def test_stages_leave_columns_of_clashing_names(spark, stage):
+    names = ["line_runs", "n_bytes", "KEPT", "removed", "unit", "copies", "row", "spans"]
+    docs = cases.table(spark, cases.rows(), clashing=False).drop("n_chars").withColumns(
+        {c: F.concat(F.lit(f"my {c} "), F.col("doc_id")) for c in names})
+    done = stage(docs)
+    assert done.schema == docs.schema
+    rows = done.collect()
+    assert len(rows) > 20
+    assert all(r[c] == (None if r["doc_id"] is None else f"my {c} {r['doc_id']}") for r in rows for c in names)

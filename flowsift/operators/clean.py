@@ -161,7 +161,16 @@ def write_deduped(
     the way: the cleaned table and the report's counts, in one pass."""
     marked = deduped.withColumn(USABLE, F.coalesce(_usable(features), F.lit(False)))
     written, counts = write_observed(marked, path, report_metrics(features, spec), [USABLE])
-    return written.where(F.col(USABLE)).drop(USABLE, COPIES), counts
+    return _cleaned_of(written), counts
+
+
+def read_cleaned(spark: SparkSession, path: str) -> DataFrame:
+    """The cleaned table among the rows that write_deduped wrote."""
+    return _cleaned_of(spark.read.parquet(path))
+
+
+def _cleaned_of(written: DataFrame) -> DataFrame:
+    return written.where(F.col(USABLE).cast("boolean")).drop(USABLE, COPIES)
 
 
 def counted_report(

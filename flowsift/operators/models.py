@@ -29,6 +29,7 @@ from flowsift.operators import kernel_grid
 from flowsift.operators.features import Scaling, cell_variance, fit_scaling, with_class_weights
 from flowsift.operators.fourier import RandomFourier
 from flowsift.operators.sampling import assign_folds
+from flowsift.session import scratch_path
 from flowsift.sources import artifacts
 from flowsift.spec import CV_FOLDS, RBF_GRID, SEED
 
@@ -66,6 +67,13 @@ class Fitted:
             self.iterations = int(summary.totalIterations)
             if hasattr(last, "getMaxIter"):
                 self.converged = self.iterations < last.getMaxIter()
+        self.model = without_summaries(self.model)
+
+
+def without_summaries(model: PipelineModel) -> PipelineModel:
+    """The pipeline as it is after saving and loading. Training summaries hold on to the session, and
+    once that has observed a write, such a model cannot be sent to tasks any more."""
+    return PipelineModel.load(save_model(model, scratch_path(SparkSession.active(), "fitted")))
 
 
 def prepare(train: DataFrame, features: list[str]) -> DataFrame:

@@ -816,6 +816,28 @@ def stream_score(spark, sf):
     return spark.read.schema(scored.schema).parquet(path)
 
 
+@query
+def stream_score_model(spark, sf):
+    """A stream scored by a saved model that a manifest names; records it cannot use go without."""
+    given = models.PairwiseSVM(
+        T.STREAM_FEATURES, features.Scaling(T.STREAM_FEATURES, *T.STREAM_SCALING), [0, 1, 2], T.STREAM_PAIRS)
+    manifest = scratch_path(spark, "manifest")
+    streams.publish_model(spark, manifest, "v1", given.save(spark, scratch_path(spark, "pairwise")))
+    records = scoring.record_columns(
+        T.as_records(_event_stream(spark, sf)), "record", T.STREAM_FEATURES)
+
+    def score(batch, model):
+        ready = scoring.usable_features(batch, T.STREAM_FEATURES)
+        called = F.when(scoring.all_present(T.STREAM_FEATURES), F.col("prediction"))
+        return model.transform(ready).select("event_id", called.alias("prediction"))
+
+    path = scratch_path(spark, "stream-calls")
+    streams.score_with_published(
+        records, manifest, models.PairwiseSVM.load, score, path,
+        scratch_path(spark, "stream-checkpoint")).awaitTermination()
+    return spark.read.schema("event_id long, prediction int, model_version string").parquet(f"{path}/batch=*")
+
+
 @query
 def stream_quarantine(spark, sf):
     good, bad = scratch_path(spark, "valid"), scratch_path(spark, "quarantine")

@@ -18,6 +18,7 @@ from flowsift.operators.clean import (
     clean_flows,
     counted_report,
     drop_unusable,
+    read_cleaned,
     write_deduped,
 )
 from flowsift.operators.features import fit_scaling, index_labels, label_index
@@ -25,12 +26,11 @@ from flowsift.operators.importance import linear_coefficients, model_permutation
 from flowsift.operators.sampling import stratified_sample, train_test_split
 from flowsift.operators.scoring import decision_of
 from flowsift.operators.stats import distribution_comparison, perturb_columns
-from flowsift.session import landed, scratch_path
+from flowsift.session import landed
 from flowsift.sources import artifacts
 from flowsift.sources.flow_files import (
     CORRUPT,
     ROW_ID,
-    discover,
     fingerprint_columns,
     read_flow_csv,
     read_flow_files,
@@ -222,66 +222,86 @@ def training_run(
     spark: SparkSession, path: str, out: str, spec: FlowSpec = DEFAULT_SPEC,
     sample_size: int = SAMPLE_SIZE, seed: int = SEED, benchmark: bool = False,
     multiclass: bool = False, ablation: bool = False, grid: dict | None = None,
-    repeats: int = 10, **settings,
+    repeats: int = 10, run_id: str | None = None, **settings,
 ) -> str:
     """Load, clean, sample, split, train, evaluate and save everything under `out`.
 
-    Cleaned rows, sample and split are written once and read back, which cuts the
-    lineage before the iterative fits. Malformed lines go to `quarantine`. Returns the run id.
+    Every stage writes its tables and then its record, which cuts the lineage before the iterative
+    fits; started again with the id of a run that was cut short, it goes on with the first stage
+    that has no record. Malformed lines go to `quarantine`. Returns the run id.
     """
-    run_id = artifacts.new_run_id(spark)
+    run_id = run_id or artifacts.new_run_id(spark)
     home = f"{out.rstrip('/')}/{run_id}"
-    parsed, known = land_input(read_flow_files(spark, path), scratch_path(spark, "parsed"))
-    good, bad = split_corrupt(parsed)
-    if known["corrupt"]:
-        bad.write.parquet(f"{home}/quarantine")
-    flows, features, missing = shape_flows(good, spec, [ROW_ID])
-    cleaned, counts = write_deduped(
-        clean_flows(flows, features, [ROW_ID], spec), features, f"{home}/deduped", spec)
-    report = counted_report(
-        spark, counts, features, missing, spec, path, known["fingerprint"], known["corrupt"])
-    written = artifacts.write_json(report, f"{home}/validation_report")
-    report = artifacts.read_json(spark, written, report.schema).first().asDict(recursive=True)
-    artifacts.write_csv(
-        class_distribution(cleaned, spec.original_label_col), f"{home}/original_class_distribution")
-
-    training_sample(cleaned, features, spec, sample_size, seed).write.parquet(f"{home}/sample")
+    stages = artifacts.Stages(spark, home)
+    fit_settings = {k: v for k, v in settings.items() if k in ("max_iter", "tol")}
+
+    def load() -> dict:
+        parsed, known = land_input(read_flow_files(spark, path), f"{home}/parsed")
+        if known["corrupt"]:
+            split_corrupt(parsed)[1].write.mode("overwrite").parquet(f"{home}/quarantine")
+        return known
+
+    known = stages.run("input", load)
+
+    def clean() -> dict:
+        good, _ = split_corrupt(spark.read.parquet(f"{home}/parsed"))
+        flows, features, missing = shape_flows(good, spec, [ROW_ID])
+        cleaned, counts = write_deduped(
+            clean_flows(flows, features, [ROW_ID], spec), features, f"{home}/deduped", spec)
+        report = counted_report(
+            spark, counts, features, missing, spec, path, known["fingerprint"], known["corrupt"])
+        written = artifacts.write_json(report, f"{home}/validation_report")
+        artifacts.write_csv(
+            class_distribution(cleaned, spec.original_label_col), f"{home}/original_class_distribution")
+        read = artifacts.read_json(spark, written, report.schema)
+        return {"features": features, "report": read.first().asDict(recursive=True)}
+
+    cleaned = stages.run("cleaned", clean)
+    features, report = cleaned["features"], cleaned["report"]
+
+    def draw() -> dict:
+        training_sample(
+            read_cleaned(spark, f"{home}/deduped"), features, spec, sample_size, seed
+        ).write.mode("overwrite").parquet(f"{home}/sample")
+        counts = spark.read.parquet(f"{home}/sample").groupBy("is_test").count().collect()
+        sizes = {r["is_test"]: r["count"] for r in counts}
+        return {"train_size": sizes.get(False, 0), "test_size": sizes.get(True, 0)}
+
+    sizes = stages.run("sample", draw)
     sample = spark.read.parquet(f"{home}/sample")
     train, test = sample.where("not is_test"), sample.where("is_test")
 
-    run = binary_experiment(train, test, features, [KEY], grid, seed, repeats, **settings)
-    comparison = run.comparison
-    fit_settings = {k: v for k, v in settings.items() if k in ("max_iter", "tol")}
+    def binary() -> dict:
+        run = binary_experiment(train, test, features, [KEY], grid, seed, repeats, **settings)
+        artifacts.write_csv(run.sweep, f"{home}/threshold_analysis")
+        artifacts.write_csv(run.report, f"{home}/classification_report")
+        artifacts.write_csv(run.importance, f"{home}/feature_importance")
+        run.projection.drop(KEY).write.mode("overwrite").parquet(f"{home}/pca_projection")
+        artifacts.write_json(artifacts.record(spark, run.metrics), f"{home}/metrics")
+        models.save_model(run.best.model, f"{home}/model")
+        return {
+            "best_model": run.best_name, "results": [r.asDict() for r in run.comparison.collect()],
+            "rbf_search": run.grid, "metrics": run.metrics,
+            "model_info": models.model_info(run.best, train), "explained_variance": run.pca.explained,
+        }
+
+    chosen = stages.run("binary", binary)
+    results = chosen.pop("results")
     if benchmark:
-        comparison = M.compare_models([comparison, benchmark_experiment(train, test, features)])
+        results += stages.run("benchmark", lambda: [
+            r.asDict() for r in benchmark_experiment(train, test, features).collect()])
+    table = spark.createDataFrame([tuple(r.values()) for r in results], RESULT)
+    comparison = M.compare_models([table])
     extra = {}
     if multiclass:
-        try:
-            done = multiclass_experiment(
-                sample.drop("is_test", models.LABEL), features, [KEY], spec, seed,
-                **{k: v for k, v in fit_settings.items() if k == "max_iter"})
-        except PySparkException as error:
-            done, extra["multiclass_error"] = None, str(error)
-        if done:
-            artifacts.write_json(done[0], f"{home}/multiclass_metrics")
-            artifacts.write_csv(done[1], f"{home}/multiclass_report")
-            artifacts.write_csv(done[2], f"{home}/multiclass_confusion")
-            done[3].save(spark, f"{home}/multiclass_model")
-            extra["multiclass"] = done[0].first().asDict()
+        extra = stages.run("multiclass", lambda: _multiclass_stage(
+            spark, sample, features, spec, seed, home, fit_settings))
     if ablation:
-        artifacts.write_json(
-            ablation_experiment(train, test, features, spec, **fit_settings), f"{home}/ablation")
+        stages.run("ablation", lambda: artifacts.write_json(
+            ablation_experiment(train, test, features, spec, **fit_settings), f"{home}/ablation"))
 
     artifacts.write_csv(comparison, f"{home}/model_comparison")
-    artifacts.write_csv(run.sweep, f"{home}/threshold_analysis")
-    artifacts.write_csv(run.report, f"{home}/classification_report")
-    artifacts.write_csv(run.importance, f"{home}/feature_importance")
-    run.projection.drop(KEY).write.parquet(f"{home}/pca_projection")
-    artifacts.write_json(artifacts.record(spark, run.metrics), f"{home}/metrics")
-    models.save_model(run.best.model, f"{home}/model")
-    info = models.model_info(run.best, train)
-    sizes = {r["is_test"]: r["count"] for r in sample.groupBy("is_test").count().collect()}
-    meta = {
+    meta = stages.run("metadata", lambda: {
         "experiment_id": run_id,
         "timestamp": artifacts.utc_now(spark),
         "dataset": path,
@@ -289,25 +309,39 @@ def training_run(
         "sample_size": sample_size,
         "features": features,
         "label_mapping": {"BENIGN": 0, "ATTACK": 1},
-        "train_size": sizes.get(False, 0),
-        "test_size": sizes.get(True, 0),
-        "best_model": run.best_name,
+        **sizes,
+        **chosen,
         "results": [r.asDict() for r in comparison.collect()],
-        "rbf_search": run.grid,
-        "metrics": run.metrics,
-        "model_info": info,
-        "explained_variance": run.pca.explained,
         "validation_report": report,
         **extra,
-    }
+    })
     artifacts.save_metadata(spark, meta, f"{home}/metadata")
     artifacts.save_metadata(spark, training_summary(meta), f"{home}/training_summary")
     artifacts.save_run(
-        spark, f"{out.rstrip('/')}/runs", run_id, config=meta, metrics=run.metrics,
+        spark, f"{out.rstrip('/')}/runs", run_id, config=meta, metrics=meta["metrics"],
         features={"features": features, "count": len(features)})
     return run_id
 
 
+def _multiclass_stage(
+    spark: SparkSession, sample: DataFrame, features: list[str], spec: FlowSpec, seed: int, home: str,
+    settings: dict,
+) -> dict:
+    try:
+        done = multiclass_experiment(
+            sample.drop("is_test", models.LABEL), features, [KEY], spec, seed,
+            **{k: v for k, v in settings.items() if k == "max_iter"})
+    except PySparkException as error:
+        return {"multiclass_error": str(error)}
+    if not done:
+        return {}
+    artifacts.write_json(done[0], f"{home}/multiclass_metrics")
+    artifacts.write_csv(done[1], f"{home}/multiclass_report")
+    artifacts.write_csv(done[2], f"{home}/multiclass_confusion")
+    done[3].save(spark, f"{home}/multiclass_model")
+    return {"multiclass": done[0].first().asDict()}
+
+
 def training_summary(meta: dict) -> dict:
     """What a reader of a run wants first: data, models side by side, the chosen one."""
     report = meta["validation_report"]

@@ -605,6 +605,19 @@ s as (select event_id, (0.05::double * try_cast(amount as double) + 0.02::double
 select event_id, case when event_type <> 'error' then decision_score end as decision_score,
   case when event_type = 'error' or decision_score is null then null
        when decision_score > 0 then 'ATTACK' else 'BENIGN' end as prediction from s""",
+    "stream_score_model": f"""with {RECORDS},
+scaled as (
+  select event_id, event_type, try_cast(amount as double) is not null as known,
+    (k::double - 50.0::double) / 25.0::double as a,
+    (try_cast(amount as double) - 30.0::double) / 20.0::double as b from records),
+votes as (
+  select *, {", ".join(f"case when {c}::double + a * {w[0]}::double + b * {w[1]}::double > 0 then {i} else {j} end as w{i}{j}"
+                       for (i, j), (w, c) in T.STREAM_PAIRS.items())} from scaled),
+counts as (
+  select *, {", ".join(f"((w01 = {i})::int + (w02 = {i})::int + (w12 = {i})::int) as v{i}" for i in range(3))}
+  from votes)
+select event_id, case when event_type = 'error' or not known then null when v0 >= v1 and v0 >= v2 then 0
+  when v1 >= v2 then 1 else 2 end::int as prediction, 'v1' as model_version from counts""",
     "stream_quarantine": f"""with {RECORDS}
 select event_id, case when missing = '' and invalid = '' then 'valid' else 'quarantine' end as sink,
   missing, invalid from checked""",

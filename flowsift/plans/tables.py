@@ -40,6 +40,10 @@ LI_COLUMNS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", *LI_FEATUR
 GIVEN_FEATURES = ["rst", "len_fwd", "ack"]
 GIVEN_PAIRS = {(0, 1): ([0.5, -1.0, 0.25], 0.1), (0, 2): ([-0.75, 0.5, 0.0], -0.2),
                (1, 2): ([1.0, 0.3, -0.6], 0.05)}
+# The same for records of a stream: scaling, and pairs over two features.
+STREAM_FEATURES = ["k", "amount"]
+STREAM_SCALING = ([50.0, 30.0], [25.0, 20.0])
+STREAM_PAIRS = {(0, 1): ([0.5, -1.0], 0.125), (0, 2): ([-0.75, 0.5], -0.25), (1, 2): ([1.0, -0.5], 0.0625)}
 GIVEN_NORM = 0.8 * 0.8 + 2 * 0.004 * 0.004
 SCORE_FEATURES = ["rst", "len_fwd", "len_bwd"]
 

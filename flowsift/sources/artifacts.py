@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -81,7 +82,11 @@ def save_run(spark: SparkSession, root: str, run_id: str, **parts) -> str:
 
 
 def append_runs(parts: DataFrame, root: str) -> str:
-    """Add rows (experiment_id, kind, payload) to the experiment table."""
+    """Add rows (experiment_id, kind, payload) to the experiment table. A part of a run that is
+    there already stays as it is, so a repeated append changes nothing."""
+    if path_exists(parts.sparkSession, root):
+        there = parts.sparkSession.read.schema(RUN_SCHEMA).parquet(root).select("experiment_id", "kind")
+        parts = parts.join(there, ["experiment_id", "kind"], "left_anti")
     parts.repartition("experiment_id").write.mode("append").partitionBy("experiment_id").parquet(root)
     return root
 
@@ -99,3 +104,19 @@ def list_runs(spark: SparkSession, root: str) -> DataFrame:
         .agg(*[part(k).alias(k) for k in ("config", "metrics", "features")])
         .orderBy("experiment_id")
     )
+
+
+class Stages:
+    """What a run has finished. A stage leaves its result, a small record, beside its tables when it
+    is done; a rerun takes the record and skips the stage. A stage that was cut short runs again
+    and has to overwrite what it left."""
+
+    def __init__(self, spark: SparkSession, home: str) -> None:
+        self.spark, self.home = spark, f"{home}/stages"
+
+    def run(self, name: str, work: Callable[[], object]):
+        saved = load_metadata(self.spark, f"{self.home}/{name}")
+        if not saved:
+            save_metadata(self.spark, {"value": work()}, f"{self.home}/{name}")
+            saved = load_metadata(self.spark, f"{self.home}/{name}")
+        return saved["value"]

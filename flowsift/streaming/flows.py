@@ -6,6 +6,8 @@ DataFrame goes through them as it is. This module adds the sinks and the windows
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -13,6 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 from flowsift.functions.numeric import percent_of
 from flowsift.operators.scoring import score_rows, validate_records
 from flowsift.operators.small import pin_small
+from flowsift.sources import artifacts
 
 
 def stream_scores(
@@ -32,6 +35,39 @@ def write_available(stream: DataFrame, path: str, checkpoint: str) -> StreamingQ
     )
 
 
+def publish_model(spark: SparkSession, manifest: str, version: str, path: str) -> str:
+    """Name the saved model that streams are to score with from their next batch on."""
+    return artifacts.save_metadata(spark, {"version": version, "path": path}, manifest)
+
+
+def score_with_published(
+    stream: DataFrame, manifest: str, load: Callable[[SparkSession, str], object],
+    score: Callable[[DataFrame, object], DataFrame], path: str, checkpoint: str,
+) -> StreamingQuery:
+    """Score a stream with a fitted model. Each batch looks into the manifest, so a newer model is
+    taken up between batches; `model_version` says which one scored a row. A repeated batch
+    overwrites its own folder."""
+    held: dict[str, object] = {}
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        named = artifacts.load_metadata(spark, manifest)
+        if not named:
+            raise FileNotFoundError(f"{manifest} names no model")
+        if named["path"] not in held:
+            held.clear()
+            held[named["path"]] = load(spark, named["path"])
+        scored = score(batch, held[named["path"]]).withColumn("model_version", F.lit(named["version"]))
+        scored.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+
+    return (
+        stream.writeStream.foreachBatch(write)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+
+
 def split_records(
     stream: DataFrame, record: str, required: list[str], valid_path: str, quarantine_path: str,
     checkpoint: str,

@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from flowsift.operators import clean, models, numbering
+from flowsift.operators import clean, models, numbering, scoring
 from flowsift.plans import jobs
 from flowsift.sources import artifacts, flow_files
 from flowsift.spec import FEATURE_GROUPS, FEATURES, FlowSpec
@@ -31,6 +31,42 @@ def test_stream_scores(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "out")).count() == 3
 
 
+def test_a_newer_model_is_taken_up_between_batches(spark, tmp_path):
+    from flowsift.operators.features import Scaling
+
+    rows = [[(1, 1.0), (2, -1.0)], [(3, 2.0)]]
+    manifest, out, cp = (str(tmp_path / n) for n in ("manifest", "out", "cp"))
+    score = lambda batch, model: model.transform(batch)
+    load = models.PairwiseSVM.load
+    for version, (sign, batch) in enumerate(zip((1.0, -1.0), rows)):
+        given = models.PairwiseSVM(["a"], Scaling(["a"], [0.0], [1.0]), [0, 1], {(0, 1): ([sign], 0.0)})
+        saved = given.save(spark, str(tmp_path / f"model{version}"))
+        streams.publish_model(spark, manifest, f"v{version}", saved)
+        spark.createDataFrame(batch, "id int, a double").coalesce(1).write.parquet(str(tmp_path / f"in/b={version}"))
+        stream = spark.readStream.schema("id int, a double").parquet(str(tmp_path / "in/b=*"))
+        streams.score_with_published(stream, manifest, load, score, out, cp).awaitTermination()
+    got = spark.read.parquet(out).orderBy("id").collect()
+    assert [(r["id"], r["prediction"], r["model_version"]) for r in got] == [(1, 0, "v0"), (2, 1, "v0"), (3, 1, "v1")]
+
+
+def test_a_fitted_pipeline_scores_a_stream(spark, tmp_path):
+    """Fourier features included: the stream's scores are those of the batch."""
+    rng = np.random.RandomState(3)
+    rows = [(i, float(a), float(b), int(a * b > 0)) for i, (a, b) in enumerate(rng.normal(0, 1, (120, 2)))]
+    df = spark.createDataFrame(rows, "id int, a double, b double, y int")
+    fitted = models.train_rbf_svm(df, ["a", "b"], 1.0, 0.5, dimensions=32, max_iter=5)
+    manifest, out = str(tmp_path / "manifest"), str(tmp_path / "out")
+    streams.publish_model(spark, manifest, "v1", models.save_model(fitted.model, str(tmp_path / "model")))
+    df.coalesce(1).write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(df.schema).parquet(str(tmp_path / "in"))
+    score = lambda batch, model: scoring.score_with_model(batch, model, ["a", "b"])
+    streams.score_with_published(
+        stream, manifest, models.load_model, score, out, str(tmp_path / "cp")).awaitTermination()
+    want = scoring.score_with_model(df, fitted.model, ["a", "b"]).select("id", "decision_score")
+    got = spark.read.parquet(out).select("id", "decision_score")
+    assert sorted(got.collect()) == sorted(want.collect())
+
+
 def test_split_records(spark, tmp_path):
     stream = folder_stream(
         spark, tmp_path, [[(1, {"a": "1"})], [(2, {}), (3, {"a": "x"}), (4, {"a": "2"})]],
@@ -113,6 +149,34 @@ def test_training_run_end_to_end(spark, flow_file, tmp_path):
     assert scored.where("_corrupt is not null and prediction is null").count() == 2
 
 
+def test_a_run_that_was_cut_short_goes_on(spark, flow_file, tmp_path, monkeypatch):
+    """Finished stages are not run again, the rest is, and the registry holds the run once."""
+    spec = FlowSpec(features=FEATURES, groups=FEATURE_GROUPS, categories={"benign": "BENIGN"})
+    out, run = str(tmp_path / "runs"), "EXP-2024-01-01-000000"
+    settings = dict(sample_size=200, grid={"C": [1.0], "gamma": [0.1]}, repeats=1, dimensions=16, max_iter=3)
+
+    def stop(*args, **kwargs):
+        raise RuntimeError("cut short")
+
+    with monkeypatch.context() as m:
+        m.setattr(jobs, "binary_experiment", stop)
+        with pytest.raises(RuntimeError):
+            jobs.training_run(spark, flow_file, out, spec, run_id=run, **settings)
+    assert artifacts.list_runs(spark, f"{out}/runs").count() == 0
+    sample = sorted(map(tuple, spark.read.parquet(f"{out}/{run}/sample").collect()))
+    with monkeypatch.context() as m:
+        m.setattr(jobs, "land_input", stop)
+        m.setattr(jobs, "training_sample", stop)
+        jobs.training_run(spark, flow_file, out, spec, run_id=run, **settings)
+    assert sorted(map(tuple, spark.read.parquet(f"{out}/{run}/sample").collect())) == sample
+    first = artifacts.list_runs(spark, f"{out}/runs").collect()
+    with monkeypatch.context() as m:
+        m.setattr(jobs, "binary_experiment", stop)
+        jobs.training_run(spark, flow_file, out, spec, run_id=run, **settings)
+    assert artifacts.list_runs(spark, f"{out}/runs").collect() == first and len(first) == 1
+    assert spark.read.parquet(f"{out}/runs").count() == 3
+
+
 def test_training_sample_depends_on_the_rows_alone(spark, flow_file, tmp_path):
     spec = FlowSpec(features=FEATURES, groups=FEATURE_GROUPS)
     (tmp_path / "moved").mkdir()

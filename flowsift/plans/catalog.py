@@ -661,6 +661,93 @@ def model_importance(spark, sf):
         split.where("is_test"), T.EV_FEATURES, models.LABEL, T.EV_KEY, fitted.model)
 
 
+def _checked(scored: DataFrame, agrees: Column | None = None) -> DataFrame:
+    """What is certain about a fitted model's rows: how many there are of each label and side, how
+    many have a score, and whether every prediction follows from its score."""
+    follows = (F.col("decision_score") > 0) == (F.col("prediction") == "ATTACK")
+    return scored.groupBy(models.LABEL, "is_test").agg(
+        F.count(F.lit(1)).alias("n"), F.count("decision_score").alias("scored"),
+        F.bool_and(follows if agrees is None else follows & agrees).alias("consistent"))
+
+
+@query
+def linear_svm_checked(spark, sf):
+    """Linear SVM, saved and loaded: its score is that of its coefficients as a column."""
+    split = _split_flows(spark, sf)
+    fitted = models.train_linear_svm(split.where("not is_test"), T.EV_FEATURES)
+    path = models.save_model(fitted.model, scratch_path(spark, "model"))
+    scored = scoring.score_with_model(split, models.load_model(spark, path), T.EV_FEATURES)
+    column = models.linear_score(fitted)
+    near = F.abs(F.col("decision_score") - column) <= 1e-9 * (1 + F.abs(column))
+    return _checked(scored, near)
+
+
+@query
+def logreg_checked(spark, sf):
+    """Logistic regression: the score is the margin of its probability."""
+    split = _split_flows(spark, sf)
+    fitted = models.train_benchmark("logistic_regression", split.where("not is_test"), T.EV_FEATURES)
+    return _checked(scoring.score_with_model(split, fitted.model, T.EV_FEATURES))
+
+
+@query
+def rf_checked(spark, sf):
+    """Random forest: the score is a share of the trees less one half."""
+    split = _split_flows(spark, sf)
+    fitted = models.train_benchmark("random_forest", split.where("not is_test"), T.EV_FEATURES)
+    scored = scoring.score_with_model(split, fitted.model, T.EV_FEATURES)
+    return _checked(scored, F.abs("decision_score") <= 0.5)
+
+
+@query
+def rff_svm_checked(spark, sf):
+    """SVM on Fourier features; the margin is bounded by its coefficients, as features are."""
+    split = _split_flows(spark, sf)
+    fitted = models.train_rbf_svm(split.where("not is_test"), T.EV_FEATURES, 1.0, "scale")
+    svc = fitted.model.stages[-1]
+    most = abs(float(svc.intercept)) + float(svc.coefficients.norm(2)) * (1 + 1e-9)
+    scored = scoring.score_with_model(split, fitted.model, T.EV_FEATURES)
+    return _checked(scored, F.abs("decision_score") <= most)
+
+
+@query
+def score_csv_checked(spark, sf):
+    """File scoring: which rows of the flow CSV have a score, and whether predictions follow."""
+    train = _split_flows(spark, sf).where("not is_test")
+    fitted = models.train_benchmark("logistic_regression", train, T.EV_FEATURES)
+    saved = models.save_model(fitted.model, scratch_path(spark, "model"))
+    scored = jobs.score_file(spark, _flow_csv(spark, sf), saved, T.EV_FEATURES)
+    follows = (F.col("decision_score") > 0) == (F.col("prediction") == "ATTACK")
+    return scored.groupBy(F.col("decision_score").isNotNull().alias("has_score")).agg(
+        F.count(F.lit(1)).alias("n"), F.coalesce(F.bool_and(follows), F.lit(True)).alias("consistent"))
+
+
+@query
+def multiclass_checked(spark, sf):
+    """Pairwise and one-against-rest models name a known class for every row."""
+    split = _category_split(spark, sf)
+    train = split.where("not is_test")
+    pairwise = models.train_pairwise_svm(train, T.EV_FEATURES, max_iter=100)
+    other = models.train_one_vs_rest(train, T.EV_FEATURES, max_iter=100).model
+    known = [F.lit(c) for c in pairwise.classes]
+    called = other.transform(pairwise.transform(split).withColumnRenamed("prediction", "_pairwise"))
+    good = F.col("_pairwise").isin(*known) & F.col("prediction").cast("int").isin(*known)
+    return called.groupBy("category", models.LABEL, "is_test").agg(
+        F.count(F.lit(1)).alias("n"), F.bool_and(good).alias("known"))
+
+
+@query
+def pca_all_features(spark, sf):
+    """All components of the standardised columns together give back their correlations."""
+    li = T.lineitem_flows(spark, sf)
+    names = T.LI_FEATURES
+    fitted = models.fit_pca(features.fit_scaling(li, names).transform(li), names, len(names))
+    rows = [(a, b, sum(e * w[i] * w[j] for e, w in zip(fitted.explained, fitted.loadings)) * len(names))
+            for i, a in enumerate(names) for j, b in enumerate(names)]
+    return spark.createDataFrame(rows, "a string, b string, correlation double").select(
+        "a", "b", (F.round("correlation", 6) + 0.0).alias("correlation"))
+
+
 def _category_split(spark: SparkSession, sf: str) -> DataFrame:
     cleaned = clean.add_category(_cleaned(spark, sf), "category", T.EV_SPEC)
     flows = landed(features.index_labels(cleaned, "category", models.LABEL), "categories")

@@ -637,3 +637,13 @@ order by mean_change_pct desc, feature limit 3"""
 
 ORACLE["flow_report_observed"] = ORACLE["flow_clean_report"]
 ORACLE["score_summary_observed"] = ORACLE["score_summary"]
+
+for _name in ("linear_svm_checked", "logreg_checked", "rf_checked", "rff_svm_checked"):
+    ORACLE[_name] = f"""
+select *, n as scored, true as consistent from ({ORACLE["binary_split_sizes"]})"""
+ORACLE["multiclass_checked"] = f"select *, true as known from ({ORACLE['category_split_sizes']})"
+ORACLE["score_csv_checked"] = f"""with {EVENT_FLOWS}
+select {USABLE} as has_score, count(*) as n, true as consistent from flows group by 1"""
+ORACLE["pca_all_features"] = f"with {LI} " + " union all ".join(
+    f"select '{a}' as a, '{b}' as b, round(corr({a}, {b}), 6) + 0.0::double as correlation from li"
+    for a in T.LI_FEATURES for b in T.LI_FEATURES)

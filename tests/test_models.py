@@ -175,6 +175,29 @@ def test_shared_passes_reach_the_objective_of_single_fits(table, frame):
     assert len(f1) == 18 and min(f1.values()) > 0.6
 
 
+def test_models_of_samples_are_walked_on_over_all_rows(table, monkeypatch):
+    """A table beyond START_ROWS ends where one task ends that sees all of it; a small one needs no pass."""
+    rows = models.prepare(table, FEATURES).withColumn("fold", F.lit(-1)).repartition(12, "f1").persist()
+    scalings, weights = kernel_grid.fold_scalings(rows, FEATURES, "weight", "fold", 1)
+    blocks = kernel_grid.lifted_blocks(
+        rows, FEATURES, "y", "weight", "fold", 1, scalings, [0.2], 32, 42).persist()
+    assert blocks.count() > 4
+    fit = lambda: kernel_grid.fit_all(blocks, 1, [1.0], {0: weights[0]}, 32, 400, 1e-4)[0, 0]
+    passes, walk = [], kernel_grid._walk
+    monkeypatch.setattr(kernel_grid, "_walk", lambda *given: passes.append(walk(*given)))
+    small = fit()
+    assert small.converged and not passes
+    monkeypatch.setattr(kernel_grid, "START_ROWS", 150)
+    large = fit()
+    assert large.converged and len(passes) == 1
+    assert large.f == pytest.approx(small.f, rel=2e-3)
+
+
+def test_tasks_of_a_pass_do_not_grow_with_the_table(table):
+    most = models.TASKS_PER_CORE * table.sparkSession.sparkContext.defaultParallelism
+    assert models.pass_tasks(table, 1) == 1 and models.pass_tasks(table, 10**13) == most
+
+
 @pytest.fixture(scope="module")
 def three(spark):
     rng = np.random.RandomState(1)

@@ -193,6 +193,14 @@ def test_models_of_samples_are_walked_on_over_all_rows(table, monkeypatch):
     assert large.f == pytest.approx(small.f, rel=2e-3)
 
 
+def test_tasks_of_fits_do_not_grow_with_the_table(table):
+    forest = models.build_random_forest(FEATURES, 300).getStages()[-1]
+    assert forest.getCacheNodeIds()
+    tasks = [models.placed(table, FEATURES, 10**12, *bounds).rdd.getNumPartitions()
+             for bounds in ((), (models.LEAST_FOREST_TASKS, models.FOREST_TASKS))]
+    assert tasks == [models.MOST_TASKS, models.FOREST_TASKS]
+
+
 def test_tasks_of_a_pass_do_not_grow_with_the_table(table):
     most = models.TASKS_PER_CORE * table.sparkSession.sparkContext.defaultParallelism
     assert models.pass_tasks(table, 1) == 1 and models.pass_tasks(table, 10**13) == most

@@ -6,7 +6,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
-from flowsift.operators import fourier, importance, kernel_grid, models, scoring
+from flowsift.operators import fourier, importance, kernel_grid, linear_walk, models, scoring
 from flowsift.operators.fourier import RandomFourier
 from flowsift.plans import jobs
 
@@ -229,6 +229,44 @@ def test_pairwise_and_one_vs_rest(three, tmp_path):
     assert ovr.model.transform(three).where("prediction = y").count() >= 150
 
 
+def test_multiclass_fits_share_their_passes(three, monkeypatch):
+    """All pairs in the same few jobs, as near to the minimum from samples as from all rows at once."""
+    tracker = three.sparkSession.sparkContext.statusTracker()
+    data = np.array(three.select("a", "b", "y").collect(), float)
+
+    def objectives(fitted):
+        x = (data[:, :2] - fitted.scaling.mean) / fitted.scaling.std
+        rate = len(data) / (3 * np.bincount(data[:, 2].astype(int)))[data[:, 2].astype(int)]
+        out = []
+        for (a, b), (w, c) in sorted(fitted.pairs.items()):
+            own = np.isin(data[:, 2], (a, b))
+            sign = np.where(data[own, 2] == a, 1.0, -1.0)
+            loss = rate[own] * np.maximum(0, 1 - sign * (x[own] @ w + c))
+            out.append(loss.sum() + np.dot(w, w) / 2)
+        return np.array(out)
+
+    three.sparkSession.sparkContext.setJobGroup("pairs", "pairs")
+    whole = models.train_pairwise_svm(three, ["a", "b"])
+    assert len(tracker.getJobIdsForGroup("pairs")) < 20
+    three.sparkSession.sparkContext.setJobGroup("", "")
+    passes, one = [], linear_walk._pass
+    monkeypatch.setattr(linear_walk, "_pass", lambda b, m, points: passes.append(len(points)) or one(b, m, points))
+    monkeypatch.setattr(linear_walk, "START_CELLS", 60)
+    monkeypatch.setattr(linear_walk, "BLOCK_ROWS", 8)
+    sampled = models.train_pairwise_svm(three, ["a", "b"])
+    assert passes and passes[0] == 3
+    monkeypatch.setattr(models, "TOLERANCE", 1e-9)
+    monkeypatch.setattr(linear_walk, "START_CELLS", 10**9)
+    best = objectives(models.train_pairwise_svm(three, ["a", "b"]))
+    assert (objectives(whole) <= 1.01 * best).all() and (objectives(sampled) <= 1.01 * best).all()
+
+
+def test_multiclass_fit_rejects_missing_values(three):
+    broken = three.withColumn("a", F.when(F.col("a") < 3, F.col("a")))
+    with pytest.raises(Exception, match="finite number"):
+        models.train_pairwise_svm(broken, ["a", "b"])
+
+
 def test_forest_does_not_depend_on_partitions(table):
     settings = {"trees": 5, "max_depth": 6}
     one, two = (models.train_benchmark("random_forest", t, FEATURES, **settings).model.stages[-1]

@@ -2,17 +2,25 @@
 
 from __future__ import annotations
 
+from urllib.parse import quote
+
+import pyarrow as pa
+import pyarrow.fs as pa_fs
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from flowsift.functions import digest
 from flowsift.functions.order import row_text
 from flowsift.functions.text import na_to_null
+from flowsift.session import landed
 from flowsift.spec import DEFAULT_SPEC, FlowSpec
 
 ROW_ID = "_row"
 CORRUPT = "_corrupt"
+#: Bytes of a file that a task hashes, and that it holds at a time.
+PIECE, READ_BYTES = 256 << 20, 4 << 20
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -165,15 +173,64 @@ def shape_flows(
 
 
 def file_fingerprints(spark: SparkSession, path: str, glob: str | None = None) -> DataFrame:
-    """First 16 hex digits of every file's SHA-256. One file is one row, so below 2 GB each."""
+    """First 16 hex digits of every file's SHA-256; Spark's file source has no row for an empty file.
+
+    A file of up to PIECE bytes is one row of Spark's file source. SHA-256 has no parts that could be
+    joined, so a longer file is read piece by piece, a job for each, and the state is handed from a task
+    to the next.
+    """
     reader = spark.read.format("binaryFile")
     if glob:
         reader = reader.option("pathGlobFilter", glob)
-    return reader.load(path).select(
-        F.element_at(F.split("path", "/"), -1).alias("file"),
-        F.col("length").alias("bytes"),
-        F.substring(F.sha2("content", 256), 1, 16).alias("fingerprint"),
-    )
+    files, length = reader.load(path), F.col("length")
+    name, size = F.element_at(F.split("path", "/"), -1).alias("file"), length.alias("bytes")
+    if not digest.resumable():
+        return files.select(name, size, F.substring(F.sha2("content", 256), 1, 16).alias("fingerprint"))
+    short = files.where(length <= PIECE).select(
+        name, size, F.substring(F.sha2("content", 256), 1, 16).alias("fingerprint"))
+    long = files.where(length > PIECE)
+    n, longest = long.agg(F.count(F.lit(1)), F.max("length")).first()
+    if not n:
+        return short
+    hashed = _hashed_by_piece(long.select("path", "length"), n, longest)
+    return short.unionByName(hashed.select(name, size, F.substring("digest", 1, 16).alias("fingerprint")))
+
+
+def _hashed_by_piece(files: DataFrame, n: int, longest: int) -> DataFrame:
+    """path, length and SHA-256 of n files, of which a task reads PIECE bytes at most."""
+    piece, block = PIECE, READ_BYTES
+    held = files.withColumns({"state": F.lit(None).cast("binary"), "digest": F.lit(None).cast("string")})
+    for start in range(0, longest, piece):
+
+        def run(batches, start=start):
+            for batch in batches:
+                rows = batch.to_pylist()
+                for row in rows:
+                    end = min(start + piece, row["length"])
+                    if start >= end:
+                        continue
+                    system, place = pa_fs.FileSystem.from_uri(quoted(row["path"]))
+                    with system.open_input_file(place) as source:
+                        source.seek(start)
+                        for at in range(start, end, block):
+                            data = source.read(min(block, end - at))
+                            if len(data) < min(block, end - at):
+                                raise OSError(f"{row['path']} is shorter than its {row['length']} bytes")
+                            row["state"] = digest.advanced(row["state"], data)
+                    if end == row["length"]:
+                        row["digest"] = digest.finished(row["state"])
+                if rows:
+                    yield pa.RecordBatch.from_pylist(rows, schema=batch.schema)
+
+        # From one partition rows are dealt out in turn, one to a task.
+        held = landed(held.coalesce(1).repartition(n).mapInArrow(run, held.schema), "sha256")
+    return held
+
+
+def quoted(path: str) -> str:
+    """A path as Spark names it, as a URI: scheme and host stay, other characters are escaped."""
+    scheme, colon, rest = path.partition(":")
+    return f"{scheme}{colon}{quote(rest)}" if colon else f"file:{quote(path)}"
 
 
 def row_fingerprint(df: DataFrame, columns: list[str]) -> DataFrame:

@@ -128,6 +128,21 @@ def test_discovery(spark, dirty, tmp_path):
         flow_files.discover(spark, None, f"{folder}/empty", "none.csv")
 
 
+def test_fingerprints_of_long_files_by_piece(spark, tmp_path, monkeypatch):
+    """No task reads more than a piece, and the SHA-256 is that of the whole file."""
+    contents = {f"a b%20{n}.bin": bytes(i * 7 % 251 for i in range(n)) for n in (1, 63, 999, 1000, 1001, 2000, 5003)}
+    for name, content in contents.items():
+        (tmp_path / name).write_bytes(content)
+    monkeypatch.setattr(flow_files, "PIECE", 1000)
+    monkeypatch.setattr(flow_files, "READ_BYTES", 300)
+    rounds, landed = [], flow_files.landed
+    monkeypatch.setattr(flow_files, "landed", lambda df, name: rounds.append(name) or landed(df, name))
+    got = {r["file"]: (r["bytes"], r["fingerprint"])
+           for r in flow_files.file_fingerprints(spark, str(tmp_path), "*.bin").collect()}
+    assert got == {k: (len(v), hashlib.sha256(v).hexdigest()[:16]) for k, v in contents.items()}
+    assert len(rounds) == 6
+
+
 def test_fingerprints(spark, dirty):
     row = flow_files.file_fingerprints(spark, str(dirty)).first()
     assert row["fingerprint"] == hashlib.sha256(dirty.read_bytes()).hexdigest()[:16]

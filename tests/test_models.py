@@ -229,6 +229,13 @@ def test_pairwise_and_one_vs_rest(three, tmp_path):
     assert ovr.model.transform(three).where("prediction = y").count() >= 150
 
 
+def test_converged_kernel_model_has_a_result_row(spark, table):
+    """What the solver says of its end goes into the comparison table."""
+    fitted = models.train_rbf_svm(table, FEATURES, 1.0, 0.5, dimensions=32)
+    row = jobs.result_row(spark, "RBF", fitted, jobs.evaluate(fitted, table)).first()
+    assert row["converged"] is True and row["iterations"] > 1
+
+
 def test_multiclass_fits_share_their_passes(three, monkeypatch):
     """All pairs in the same few jobs, as near to the minimum from samples as from all rows at once."""
     tracker = three.sparkSession.sparkContext.statusTracker()

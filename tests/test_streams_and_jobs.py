@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from flowsift.operators import clean, models, numbering, scoring
 from flowsift.plans import jobs
 from flowsift.sources import artifacts, flow_files
-from flowsift.spec import FEATURE_GROUPS, FEATURES, FlowSpec
+from flowsift.sources.flow_files import ROW_ID
+from flowsift.spec import DEFAULT_SPEC, FEATURE_GROUPS, FEATURES, FlowSpec
 from flowsift.streaming import flows as streams
 
 
@@ -113,6 +114,16 @@ def flow_file(tmp_path_factory):
     return str(path)
 
 
+def test_training_sample_is_split_without_the_table(spark, tmp_path):
+    """The split's passes read the sample, not the cleaned table that it was drawn from."""
+    rows = [(float(i), float(i % 7), "BENIGN" if i % 3 else "Bot", i) for i in range(300)]
+    path = str(tmp_path / "cleaned")
+    spark.createDataFrame(rows, f"a double, b double, `{DEFAULT_SPEC.label_col}` string, {ROW_ID} int").write.parquet(path)
+    sample = jobs.training_sample(spark.read.parquet(path), ["a", "b"], DEFAULT_SPEC, 60)
+    assert sample.count() == 60 and sample.where("is_test").count() == 12
+    assert not [f for f in sample.inputFiles() if "/cleaned/" in f]
+
+
 def test_training_run_end_to_end(spark, flow_file, tmp_path):
     out = str(tmp_path / "runs")
     spec = FlowSpec(

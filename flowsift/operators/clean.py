@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from flowsift.functions.numeric import INF, display, is_infinite, ratio, to_number
+from flowsift.functions.numeric import INF, display, is_infinite, ratio, with_numbers
 from flowsift.functions.text import binary_label, category_label, na_to_null
 from flowsift.sources.observed import write_observed
 from flowsift.spec import ATTACK, BENIGN, DEFAULT_SPEC, FlowSpec
@@ -39,14 +39,14 @@ def coerce_features(df: DataFrame, features: list[str]) -> DataFrame:
     a row with a bad text from a row with a missing value.
     """
     text = [f for f in features if isinstance(df.schema[f].dataType, StringType)]
-    numbers = {f: to_number(F.col(f"`{f}`"), df.schema[f].dataType) for f in features}
+    read, numbers, side = with_numbers(df, features)
     bad = [
         F.when(numbers[f].isNull() & na_to_null(F.col(f"`{f}`")).isNotNull(),
                F.concat(F.lit(f"{f}="), F.col(f"`{f}`")))
         for f in text
     ]
     kept = F.concat_ws("\n", *bad) if bad else F.lit("")
-    return df.withColumns({**numbers, BAD_TEXT: kept})
+    return read.withColumns({**numbers, BAD_TEXT: kept}).drop(side)
 
 
 def duplicate_count(df: DataFrame, keys: list[str]) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flowsift.functions.numeric import finite, is_number_text, to_number
+from flowsift.functions.numeric import finite, is_number_text, to_number, with_numbers
 from flowsift.sources.observed import write_observed
 from flowsift.spec import ATTACK, BENIGN
 
@@ -62,8 +62,10 @@ def record_columns(df: DataFrame, record: str, features: list[str]) -> DataFrame
 
 def usable_features(df: DataFrame, features: list[str]) -> DataFrame:
     """Features as finite doubles, anything else NULL."""
-    types = {f: df.schema[f].dataType for f in features}
-    return df.withColumns({f: finite(to_number(F.col(f"`{f}`"), t)) for f, t in types.items()})
+    read, numbers, side = with_numbers(df, features)
+    # finite is a step of its own, for it takes the number twice.
+    ready = read.withColumns(numbers).drop(side)
+    return ready.withColumns({f: finite(F.col(f"`{f}`")) for f in features})
 
 
 def _set_aside(df: DataFrame, features: list[str]) -> tuple[DataFrame, list[Column]]:

@@ -4,6 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from flowsift.functions import numeric, order, text
+from flowsift.operators.clean import coerce_features
+from flowsift.operators.scoring import usable_features
 from flowsift.spec import DEFAULT_SPEC
 
 
@@ -45,6 +47,22 @@ def test_to_number(spark):
     assert values(spark, cases, numeric.to_number(F.col("x"))) == list(cases.values())
 
 
+def test_to_number_strips_what_a_pattern_lets_pass(spark):
+    cases = {"5\n": 5.0, "5\u0085": 5.0, "\u20285": 5.0, "\u3000-inf\xa0": -math.inf, "5\n6": None, "5 d\n": None}
+    assert values(spark, cases, numeric.to_number(F.col("x"))) == list(cases.values())
+
+
+def test_texts_of_a_row_are_read_by_one_function(spark):
+    names = [f"f {i}" for i in range(14)] + ["n"]
+    row = [" 1 ", "x", None, "inf", "nan", *["2.5"] * 9, 7]
+    df = spark.createDataFrame([tuple(row)], ", ".join(f"`{c}` string" for c in names[:-1]) + ", n int")
+    want = [1.0, None, None, math.inf, None, *[2.5] * 9, 7.0]
+    for ready, infinite in ((coerce_features(df, names).drop("_bad_text"), math.inf), (usable_features(df, names), None)):
+        assert ready.columns == names
+        assert list(ready.first()) == [infinite if v == math.inf else v for v in want]
+        assert ready._jdf.queryExecution().optimizedPlan().toString().count("RLIKE") == 2
+
+
 def test_is_number_text(spark):
     got = values(spark, ["nan", "1.0", "-inf", "x", ""], numeric.is_number_text(F.col("x")))
     assert got == [True, True, True, False, False]

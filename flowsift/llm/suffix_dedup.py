@@ -7,7 +7,9 @@ Consecutive windows with the same sampled gram are a run, and its bytes are the
 
 1. Runs are dealt by their gram in buckets of bounded size, packed as bytes; copies of a context
    within a part of the input go as one. Grams that one document alone has drop out here. A
-   context that a smaller document has too is removed whole.
+   context that a smaller document has too is removed whole. Prose shares most of its grams, so a
+   run drops out too unless another document has the same gram with the bytes that go on for half
+   a window before it, or after it: equal windows agree in one of the two.
 2. What is left are different contexts of a gram. Their bytes are fetched, equal ones combined, and
    dealt by gram. In every group the contexts' suffixes are sorted by the difference-cover
    algorithm: sort sampled triples, recurse on names, merge the others. Adjacent prefixes of
@@ -47,6 +49,8 @@ MANY = 20_000
 #: Windows of a run at most; bytes of text handled at once; runs aimed at in a bucket.
 RUN = 64
 PART_BYTES = 1_500_000
+#: Bytes of text whose runs are dealt together.
+HELD_BYTES = 8_000_000
 BUCKET = 700_000
 #: Bytes of contexts aimed at in a group that is sorted.
 SORTED_BYTES = 1_000_000
@@ -76,12 +80,12 @@ def window_minima(hashes: np.ndarray, width: int) -> np.ndarray:
     return out
 
 
-def runs(data: np.ndarray, offsets: np.ndarray, length: int, gram: int):
-    """Row, start in the buffer, number of windows and sampled gram of each run."""
-    if len(data) < length:
+def runs(grams: np.ndarray, offsets: np.ndarray, length: int, gram: int):
+    """Row, start in the buffer, number of windows and sampled gram of each run, by the hashes of its grams."""
+    if len(grams) < length - gram + 1:
         none = np.empty(0, np.int64)
         return none, none, none, np.empty(0, np.uint64)
-    names = window_minima(gram_hashes(data, gram), length - gram + 1)
+    names = window_minima(grams, length - gram + 1)
     starts, sizes = offsets[:-1], np.maximum(np.diff(offsets) - length + 1, 0)
     inside = np.zeros(len(names) + 1, np.int8)
     some = sizes > 0
@@ -107,97 +111,180 @@ def keyed(docs: DataFrame) -> DataFrame:
         F.xxhash64("doc_id", "text").alias("row"), F.col("doc_id").cast("long").alias("doc"), "text")
 
 
+def halves(grams: np.ndarray, hashes: PartHashes, start: np.ndarray, count: np.ndarray, name: np.ndarray,
+           length: int):
+    """Of each run: the hash of its gram with the bytes before it, of its gram with the bytes after it,
+    and whether it is `loose`. Equal windows agree in one of the two, as one of the two sides of the gram
+    has half of the window's other bytes. 0 stands for a side that no window of the run reaches that far.
+    A loose run holds the gram at several places, has neither, and may equal any run of its gram."""
+    spare = length - GRAM
+    before = (spare + 1) // 2
+    after = spare - before + 1
+    place = np.zeros(len(start), np.int64)  # of the first such gram in the run's first window
+    for k in range(spare, -1, -1):
+        place[grams[start + k] == name] = k
+    loose = place < count - 1
+    at = start + place
+    left = ~loose & (place >= before)
+    right = ~loose & (place - (count - 1) < before)
+    out = []
+    for own, first, end in ((left, at - before, at + GRAM), (right, at, at + GRAM + after)):
+        value = np.zeros(len(start), np.uint64)
+        value[own] = hashes.of(first[own], end[own]) % np.uint64(2 ** 24 - 1) + np.uint64(1)
+        out.append(value)
+    return *out, loose
+
+
+#: Columns of a packed run and the bytes that each has: bytes of one weight stand together, so that those that
+#: are 0 nearly everywhere pack well. `flags` has count - 1, 64 for the first run of a row, 128 for a loose one.
+RUN_BYTES = {"context": 8, "name": 4, "left": 3, "right": 3, "at": 4, "flags": 1}
+PLACE = RUN_BYTES["at"] + RUN_BYTES["flags"]
+
+
+def _planes(values: np.ndarray, size: int) -> np.ndarray:
+    """The lowest `size` bytes of the values, a row for the bytes of each weight."""
+    return values.astype("<u8").view(np.uint8).reshape(-1, 8).T[:size]
+
+
+def _values(planes: np.ndarray) -> np.ndarray:
+    out = np.zeros((planes.shape[1], 8), np.uint8)
+    out[:, :len(planes)] = planes.T
+    return out.view("<u8").ravel()
+
+
 def _dealt(rows: DataFrame, buckets: int, length: int) -> DataFrame:
     """Runs by bucket of their gram, packed. A context that came before in the same part, in a
     document with a smaller id, goes to a bucket of its own kind: it is removed whole."""
 
+    def found(keys, docs, data, offsets):
+        grams, hashes = gram_hashes(data, GRAM), PartHashes(data)
+        of, start, count, name = runs(grams, offsets, length, GRAM)
+        context = hashes.of(start, start + count + length - 1)
+        left, right, loose = halves(grams, hashes, start, count, name, length)
+        key, doc = keys[of], docs[of]
+        order = np.lexsort((start, doc, context))
+        same = np.zeros(len(order), bool)
+        same[1:] = context[order[1:]] == context[order[:-1]]
+        group = np.cumsum(~same) - 1
+        least = doc[order[np.flatnonzero(~same)]][group]
+        covered = np.zeros(len(order), bool)
+        covered[order] = doc[order] > least
+        bucket = (name % np.uint64(buckets)).astype(np.int64)
+        bucket[covered] = buckets + key[covered] % buckets
+        columns = {"context": context, "name": name // np.uint64(buckets), "left": left, "right": right,
+                   "at": start - offsets[of], "flags": count - 1 + 128 * loose}
+        return of, bucket, np.concatenate([_planes(columns[c], n) for c, n in RUN_BYTES.items()])
+
+    def packed(held):
+        keys, docs, of, bucket, planes = zip(*held)
+        shift = np.cumsum([0] + [len(k) for k in keys])
+        of = np.concatenate([o + s for o, s in zip(of, shift)])
+        bucket, planes = np.concatenate(bucket), np.concatenate(planes, axis=1)
+        who = np.concatenate([_planes(np.concatenate(v), 8) for v in (docs, keys)])
+        order = np.argsort(bucket, kind="stable")  # rows ascend within a bucket
+        of, bucket, planes = of[order], bucket[order], planes[:, order]
+        first = np.ones(len(of), bool)
+        first[1:] = (of[1:] != of[:-1]) | (bucket[1:] != bucket[:-1])
+        planes[-1] |= np.where(first, 64, 0).astype(np.uint8)
+        who = who[:, of[first]]
+        cut = np.concatenate(([0], np.flatnonzero(np.diff(bucket)) + 1, [len(bucket)]))
+        rows_at = np.concatenate(([0], np.cumsum(first)))[cut]
+        spans = [(a, b, 0 if bucket[a] < buckets else len(planes) - PLACE) for a, b in zip(cut[:-1], cut[1:])]
+        return pa.RecordBatch.from_arrays(
+            [pa.array(bucket[cut[:-1]], pa.int64()),
+             pa.array([who[:, a:b].tobytes() for a, b in zip(rows_at[:-1], rows_at[1:])], pa.binary()),
+             pa.array([planes[top:, a:b].tobytes() for a, b, top in spans], pa.binary())],
+            names=["bucket", "who", "runs"])
+
     def run(batches):
+        held, size = [], 0
         for batch in batches:
             keys, docs = np.asarray(batch.column(0)), np.asarray(batch.column(1))
             for row, end, data, offsets in parts(batch.column(2), PART_BYTES):
-                of, start, count, name = runs(data, offsets, length, GRAM)
-                if not len(of):
-                    continue
-                context = PartHashes(data).of(start, start + count + length - 1)
-                key, doc = keys[row:end][of], docs[row:end][of]
-                order = np.lexsort((start, doc, context))
-                same = np.zeros(len(order), bool)
-                same[1:] = context[order[1:]] == context[order[:-1]]
-                group = np.cumsum(~same) - 1
-                least = doc[order[np.flatnonzero(~same)]][group]
-                covered = np.zeros(len(order), bool)
-                covered[order] = doc[order] > least
-                bucket = (name % np.uint64(buckets)).astype(np.int64)
-                bucket[covered] = buckets + key[covered] % buckets
-                order = np.argsort(bucket, kind="stable")
-                sorted_ = bucket[order]
-                cut = np.concatenate(([0], np.flatnonzero(np.diff(sorted_)) + 1, [len(sorted_)]))
-                at = (start - offsets[of]).astype("<i4")
-                columns = {"bucket": [], "own": [], "docs": [], "keys": [], "names": [], "contexts": [],
-                           "at": [], "count": []}
-                for a, b in zip(cut[:-1], cut[1:]):
-                    pick = order[a:b]
-                    who, own = np.unique(of[pick], return_inverse=True)
-                    columns["bucket"].append(int(sorted_[a]))
-                    columns["own"].append(own.astype("<i4").tobytes())
-                    columns["docs"].append(docs[row:end][who].tobytes())
-                    columns["keys"].append(keys[row:end][who].tobytes())
-                    hidden = sorted_[a] >= buckets
-                    columns["names"].append(b"" if hidden else name[pick].tobytes())
-                    columns["contexts"].append(b"" if hidden else context[pick].tobytes())
-                    columns["at"].append(at[pick].tobytes())
-                    columns["count"].append(count[pick].astype(np.uint8).tobytes())
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(v, pa.int64() if k == "bucket" else pa.binary()) for k, v in columns.items()],
-                    names=list(columns))
+                own = found(keys[row:end], docs[row:end], data, offsets)
+                if len(own[0]):
+                    held.append((keys[row:end].copy(), docs[row:end].copy(), *own))
+                    size += len(data)
+                if size >= HELD_BYTES:
+                    yield packed(held)
+                    held, size = [], 0
+        if held:
+            yield packed(held)
 
-    return rows.mapInArrow(run, "bucket long, own binary, docs binary, keys binary, names binary, "
-                                "contexts binary, at binary, count binary")
+    return rows.mapInArrow(run, "bucket long, who binary, runs binary")
 
 
 FOUND = "row long, doc long, at int, size int, name long, whole boolean, many boolean"
 
 
 def _judged(dealt: DataFrame, buckets: int, length: int) -> DataFrame:
-    """Runs that are removed whole (bytes at .. at + size), and, for grams with different contexts
-    of different documents, one run of each context to be compared."""
+    """Runs that are removed whole (bytes at .. at + size), and, for grams with different contexts of
+    different documents, one run of each context that may have a window of another document."""
     schema = pa.schema([("row", pa.int64()), ("doc", pa.int64()), ("at", pa.int32()), ("size", pa.int32()),
                         ("name", pa.int64()), ("whole", pa.bool_()), ("many", pa.bool_())])
 
-    def joined(table, column, kind):
-        return np.frombuffer(b"".join(v.as_py() for v in table.column(column)), kind)
+    def joined(table, column, height):
+        return np.concatenate([np.frombuffer(v.as_py(), np.uint8).reshape(height, -1)
+                               for v in table.column(column)], axis=1)
+
+    def shared(by_name, half, doc):
+        """Whether another document has the same half of the same gram."""
+        out = np.zeros(len(doc), bool)
+        own = np.flatnonzero(half)
+        if len(own):
+            kind = by_name[own] << 24 | half[own].astype(np.int64)
+            own = own[np.argsort(kind)]
+            kind = by_name[own] << 24 | half[own].astype(np.int64)
+            fresh = np.concatenate(([True], kind[1:] != kind[:-1]))
+            heads = np.flatnonzero(fresh)
+            several = np.minimum.reduceat(doc[own], heads) < np.maximum.reduceat(doc[own], heads)
+            out[own] = several[np.cumsum(fresh) - 1]
+        return out
 
     def run(table: pa.Table) -> pa.Table:
         bucket = table.column("bucket")[0].as_py()
-        shift = np.cumsum([0] + [len(v.as_py()) // 8 for v in table.column("docs")][:-1])
-        length_of = [len(v.as_py()) // 4 for v in table.column("own")]
-        own = joined(table, "own", "<i4") + np.repeat(shift, length_of)
-        doc, row = joined(table, "docs", np.int64)[own], joined(table, "keys", np.int64)[own]
-        at, count = joined(table, "at", "<i4"), joined(table, "count", np.uint8).astype(np.int32)
-        size = count + np.int32(length - 1)
-        if bucket >= buckets:
+        hidden = bucket >= buckets
+        who = joined(table, "who", 16)
+        planes = joined(table, "runs", PLACE if hidden else sum(RUN_BYTES.values()))
+        columns, top = {}, 0
+        for c in ("at", "flags") if hidden else RUN_BYTES:
+            columns[c] = _values(planes[top:top + RUN_BYTES[c]])
+            top += RUN_BYTES[c]
+        flags, at = columns["flags"].astype(np.int32), columns["at"].astype(np.int32)
+        own = np.cumsum(flags >> 6 & 1) - 1
+        doc, row = _values(who[:8]).view(np.int64)[own], _values(who[8:]).view(np.int64)[own]
+        size = (flags & 63) + np.int32(length)
+        if hidden:
             return pa.table(list(map(pa.array, (
                 row, doc, at, size, np.zeros(len(row), np.int64), np.ones(len(row), bool),
                 np.zeros(len(row), bool)))), schema=schema)
-        name, context = joined(table, "names", np.uint64), joined(table, "contexts", np.uint64)
+        name, context = columns["name"], columns["context"]
         order = np.lexsort((at, doc, context, name))
-        name, context, doc, row, at, size = (v[order] for v in (name, context, doc, row, at, size))
+        name, context, doc, row, at, size, flags = (v[order] for v in (name, context, doc, row, at, size, flags))
         new_name = np.concatenate(([True], name[1:] != name[:-1]))
         new_context = new_name | np.concatenate(([True], context[1:] != context[:-1]))
+        names = np.flatnonzero(new_name)
         by_context = np.cumsum(new_context) - 1
         by_name = np.cumsum(new_name) - 1
         first = doc[new_context][by_context]  # documents ascend within a context
-        least = np.minimum.reduceat(doc, np.flatnonzero(new_name))[by_name]
-        most = np.maximum.reduceat(doc, np.flatnonzero(new_name))[by_name]
-        contexts = np.add.reduceat(new_context.astype(np.int64), np.flatnonzero(new_name))[by_name]
+        least = np.minimum.reduceat(doc, names)[by_name]
+        most = np.maximum.reduceat(doc, names)[by_name]
+        contexts = np.add.reduceat(new_context.astype(np.int64), names)[by_name]
+        loose = np.maximum.reduceat(flags >> 7, names)[by_name] > 0
         whole = doc > first
         # One run of each context stands for it; a document may hold the context several times, and
         # then all its runs are asked for, as each has to be marked.
         ask = ~whole & (contexts > 1) & (most > least)
+        may = np.flatnonzero(ask & ~loose)
+        from_ = order[may]
+        ask[may] = (shared(by_name[may], columns["left"][from_], doc[may])
+                    | shared(by_name[may], columns["right"][from_], doc[may]))
+        many = np.add.reduceat((new_context & ask).astype(np.int64), names)[by_name] > MANY
         kept = whole | ask
+        named = name[kept] * np.uint64(buckets) + np.uint64(bucket)
         return pa.table(list(map(pa.array, (
-            row[kept], doc[kept], at[kept], size[kept], name[kept].view(np.int64), whole[kept],
-            (contexts > MANY)[kept]))), schema=schema)
+            row[kept], doc[kept], at[kept], size[kept], named.view(np.int64), whole[kept], many[kept]))),
+            schema=schema)
 
     return dealt.groupBy("bucket").applyInArrow(run, FOUND)
 
@@ -246,12 +333,15 @@ def _pieces(out: list[list]) -> pa.RecordBatch:
                                       names=["name", "row", "doc", "at", "size", "bytes"])
 
 
-def _compared(pieces: DataFrame, groups: int, length: int) -> DataFrame:
-    """Intervals of the pieces that smaller documents cover, by suffix sorting in every group."""
-    # A piece that several documents have is sorted once, for the smallest of them; the others
-    # contain nothing that it does not.
-    least = land(pieces.groupBy("name", "hash").agg(
+def _least(pieces: DataFrame) -> DataFrame:
+    """A piece that several documents have is sorted once, for the smallest of them; the others
+    contain nothing that it does not."""
+    return land(pieces.groupBy("name", "hash").agg(
         F.min("doc").alias("first"), F.first("bytes").alias("bytes")), "least")
+
+
+def _compared(pieces: DataFrame, least: DataFrame, groups: int, length: int) -> DataFrame:
+    """Intervals of the pieces that smaller documents cover, by suffix sorting in every group."""
     places = pieces.select("name", "hash", "row", "doc", "at", "size")
     same = places.join(least.select("name", "hash", "first"), ["name", "hash"]).where("doc > first").select(
         "row", "at", "size")
@@ -317,9 +407,10 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     bytes_asked = asked.agg(F.sum("size")).first()[0] or 0
     pieces = land(_fetched(rows, asked, length), "pieces")
     groups = max(1, bytes_asked // SORTED_BYTES)
-    spans = found.where("whole").select("row", "at", "size").unionAll(_compared(pieces, groups, length))
+    least = _least(pieces)
+    spans = found.where("whole").select("row", "at", "size").unionAll(_compared(pieces, least, groups, length))
     out = land(spans.groupBy("row").agg(F.sort_array(F.collect_set(F.struct("at", "size"))).alias("spans")), "spans")
-    drop(found, pieces)
+    drop(found, pieces, least)
     return out
 
 

@@ -476,6 +476,30 @@ def test_suffix_dedup_on_spliced_texts(spark, monkeypatch, seed):
     check_strings(spark, data)
 
 
+def noise(rnd, n):
+    return "".join(rnd.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(n))
+
+
+def test_suffix_dedup_fetches_only_runs_that_may_repeat(spark):
+    rnd = random.Random(4)
+    phrases = [noise(rnd, 24) for _ in range(5)]  # shared grams, but no shared window
+    data = [(i, "".join(noise(rnd, 30) + rnd.choice(phrases) for _ in range(20)), "en", "s", 1) for i in range(40)]
+    rows = suffix_dedup.keyed(cases.table(spark, data))
+    found = suffix_dedup._judged(suffix_dedup._dealt(rows, 1, 50), 1, 50)
+    assert found.count() == 0
+    check_strings(spark, data)
+
+
+def test_suffix_dedup_of_barely_equal_windows(spark):
+    rnd = random.Random(6)
+    data = []
+    for i in range(120):
+        same = noise(rnd, 49 + i % 4)  # one byte short of a window, a window, a little more
+        data += [(2 * i + k, noise(rnd, rnd.randint(0, 60)) + same + noise(rnd, rnd.randint(0, 60)), "en", "s", 1)
+                 for k in (0, 1)]
+    check_strings(spark, data)
+
+
 def test_suffix_dedup_of_documents(spark):
     data = cases.rows()
     docs = cases.table(spark, data, clashing=False)
